@@ -37,7 +37,7 @@ def path_summary(
     )
     run = F.lit(0).cast("bigint")
     if longest > rows_per_run:
-        run = F.floor(F.col("step") / F.lit(rows_per_run))
+        run = F.col("step") - F.pmod(F.col("step"), F.lit(rows_per_run))
     moves = moves.withColumn("run", run)
 
     in_run = Window.partitionBy("key", "run")

@@ -340,7 +340,7 @@ def _after_large_batch(spark: SparkSession, sf_dir: str) -> VersionedTable:
         )
     )
     write_table(batch, f"{root}/batch")
-    upsert_into(versioned, scan(spark, f"{root}/batch"))
+    upsert_into(versioned, scan(spark, f"{root}/batch"), rebalance=True)
     return versioned
 
 

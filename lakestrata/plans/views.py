@@ -1,8 +1,10 @@
 """Views that give the input tables the columns the operators work on.
 
-Joins are written from the small tables up, so that the largest table meets one
-ready-made table and is shuffled once. Which of them are broadcast is left to
-Spark, which knows the file sizes; at scale only nation and region are.
+Order lines and events meet one ready-made table, so the largest table is
+shuffled once. That join is hinted as sort-merge: Spark takes the product of the
+sizes for the size of a chain of joins, so without the hint it would take the
+largest table for the small side and broadcast it. Adaptive execution splits
+crowded keys in such a join. Nation and region are broadcast by their file size.
 """
 
 from __future__ import annotations
@@ -23,12 +25,11 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, region."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    located = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    customer = table(spark, sf_dir, "customer")
-    return customer.join(located, customer.c_nationkey == located.n_nationkey).select(
-        F.col("c_custkey").alias("user_id"), F.col("r_name").alias("region")
+    return (
+        table(spark, sf_dir, "customer")
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("c_custkey").alias("user_id"), F.col("r_name").alias("region"))
     )
 
 
@@ -65,7 +66,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").alias("quantity"),
     )
-    return lines.join(placed, "order_id").select(
+    return lines.join(placed.hint("merge"), "order_id").select(
         "order_id",
         "user_id",
         "event_timestamp",
@@ -104,7 +105,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("price"),
         (F.lit(1) + F.col("event_id") % 9).cast("int").alias("quantity"),
     )
-    return raw.join(users(spark, sf_dir), "user_id").select(
+    return raw.join(users(spark, sf_dir).hint("merge"), "user_id").select(
         "event_id",
         "user_id",
         "event_timestamp",

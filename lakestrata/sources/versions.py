@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,9 +49,10 @@ class VersionedTable:
         ``rebalance=False`` saves the shuffle where ``df`` still lies in files
         by partition value, as after a column was added to the current version.
         """
-        version = self._next_version()
+        latest = self.latest_version()
+        version = 0 if latest is None else latest + 1
         folder = self._write_folder(df, version, partition_by, rebalance)
-        return self._commit(version, operation, [folder])
+        return self._commit(version, operation, [folder], self._count(folder))
 
     def append(
         self,
@@ -60,29 +61,34 @@ class VersionedTable:
         partition_by: Sequence[str] = (),
     ) -> int:
         """Commit the current rows plus ``df``; absent columns become NULL."""
-        latest = self.latest_version()
-        earlier = [] if latest is None else self._folders(latest)
-        version = 0 if latest is None else latest + 1
+        latest = self._record()
+        version = 0 if latest is None else latest["version"] + 1
         folder = self._write_folder(df, version, partition_by, rebalance=True)
-        return self._commit(version, operation, [*earlier, folder])
+        folders, n_rows = [folder], self._count(folder)
+        if latest is not None:
+            folders = [*map(tuple, latest["folders"]), folder]
+            n_rows += latest["n_rows"]
+        return self._commit(version, operation, folders, n_rows)
 
     # -- reading ---------------------------------------------------------
 
     def current(self) -> DataFrame:
         """The rows of the latest version."""
-        latest = self.latest_version()
-        if latest is None:
+        record = self._record()
+        if record is None:
             raise ValueError(f"no version committed at {self.root}")
-        return self.as_of(latest)
+        return self._rows(record)
 
     def as_of(self, version: int) -> DataFrame:
         """The rows of one version, with the columns that version had."""
-        parts = [self._read_folder(path, columns) for path, columns in self._folders(version)]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        record = self._record(version)
+        if record is None:
+            raise ValueError(f"version {version} was never committed at {self.root}")
+        return self._rows(record)
 
     def latest_version(self) -> int | None:
-        records = self._records()
-        return None if records is None else records.agg(F.max("version")).first()[0]
+        record = self._record()
+        return None if record is None else record["version"]
 
     def history(self) -> DataFrame:
         """One row per version: what wrote it, when, and its number of rows."""
@@ -116,16 +122,18 @@ class VersionedTable:
                 return None
             raise
 
-    def _next_version(self) -> int:
-        latest = self.latest_version()
-        return 0 if latest is None else latest + 1
-
-    def _folders(self, version: int) -> list[tuple[str, str]]:
+    def _record(self, version: int | None = None) -> Row | None:
+        """The record of one version, by default of the latest."""
         records = self._records()
-        record = None if records is None else records.filter(F.col("version") == version).first()
-        if record is None:
-            raise ValueError(f"version {version} was never committed at {self.root}")
-        return [(folder["path"], folder["columns"]) for folder in record["folders"]]
+        if records is None:
+            return None
+        if version is not None:
+            records = records.filter(F.col("version") == version)
+        return records.orderBy(F.desc("version")).first()
+
+    def _rows(self, record: Row) -> DataFrame:
+        parts = [self._read_folder(path, columns) for path, columns in record["folders"]]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     def _write_folder(
         self, df: DataFrame, version: int, partition_by: Sequence[str], rebalance: bool
@@ -144,10 +152,14 @@ class VersionedTable:
         schema = StructType.fromJson(json.loads(columns))
         return self.spark.read.schema(schema).parquet(f"{self.root}/{path}").select(*schema.names)
 
-    def _commit(self, version: int, operation: str, folders: list[tuple[str, str]]) -> int:
+    def _count(self, folder: tuple[str, str]) -> int:
         # Counted from the written files, whose footers hold the row counts:
         # right even if tasks were run again during the write.
-        n_rows = sum(self._read_folder(*folder).count() for folder in folders)
+        return self._read_folder(*folder).count()
+
+    def _commit(
+        self, version: int, operation: str, folders: list[tuple[str, str]], n_rows: int
+    ) -> int:
         record = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.current_timestamp().alias("committed_at"),
