@@ -17,7 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from lakestrata.operators import count_rows, region_type_stats  # noqa: E402
+from lakestrata.operators import (  # noqa: E402
+    category_revenue,
+    count_rows,
+    daily_revenue,
+    rank_in_day,
+    region_type_stats,
+    rolling_revenue,
+    user_region_revenue,
+)
 from lakestrata.plans import QUERIES, views  # noqa: E402
 from lakestrata.sources import read_table, run_folder, write_table  # noqa: E402
 
@@ -45,20 +53,24 @@ def consume(df: DataFrame) -> None:
 
 
 def seconds(action: Callable[[], None]) -> float:
+    """Fastest run; an action that takes long is not run again."""
     best = float("inf")
     for _ in range(RUNS):
         started = time.perf_counter()
         action()
         best = min(best, time.perf_counter() - started)
+        if best > 4:
+            break
     return round(best, 3)
 
 
-def storage_times(spark: SparkSession) -> dict[str, float]:
-    """Write, full count and filtered count per format of one stored table, and
-    its aggregation into a stored result."""
+def stored_table_times(spark: SparkSession) -> dict[str, float]:
+    """Times over one stored table: write, full count and filtered count per
+    format, and each job from the stored table to a stored result."""
     root = run_folder(spark, "bench")
     write_table(views.sales(spark, SF_DIR), f"{root}/silver")
     silver = read_table(spark, f"{root}/silver")
+    products = views.listed_products(spark, SF_DIR)
     times = {}
     for fmt in ("parquet", "orc"):
         path = f"{root}/{fmt}"
@@ -69,18 +81,25 @@ def storage_times(spark: SparkSession) -> dict[str, float]:
         times[f"filtered_scan_{fmt}"] = seconds(
             lambda: consume(count_rows(read_table(spark, path, fmt), "ASIA"))
         )
-    times["aggregate_to_parquet"] = seconds(
-        lambda: write_table(region_type_stats(silver), f"{root}/agg_result")
-    )
+    jobs = {
+        "aggregation": lambda: region_type_stats(silver),
+        "broadcast_join": lambda: category_revenue(silver, products, "broadcast"),
+        "shuffle_join": lambda: category_revenue(silver, products, "shuffle"),
+        "windows": lambda: rank_in_day(rolling_revenue(daily_revenue(silver))),
+        "user_revenue_sorted": lambda: user_region_revenue(silver),
+    }
+    for name, build in jobs.items():
+        times[f"job_{name}"] = seconds(lambda: write_table(build(), f"{root}/{name}"))
     return times
 
 
 def main() -> None:
     spark = session()
+    consume(QUERIES["revenue_by_region_type"](spark, SF_DIR))  # starts the JVM's compilers
     times = {
         name: seconds(lambda: consume(build(spark, SF_DIR))) for name, build in QUERIES.items()
     }
-    times.update(storage_times(spark))
+    times.update(stored_table_times(spark))
     line = {
         "metric": "total_query_time",
         "value": round(sum(times.values()), 3),

@@ -225,8 +225,8 @@ def score_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of a sample of fixed size, the events with the smallest keys."""
-    sample = first_rows(views.events(spark, sf_dir), SAMPLE_ROWS, "event_id")
-    scored = score(sample, REGION_WEIGHTS)
+    sample = first_rows(views.raw_events(spark, sf_dir), SAMPLE_ROWS, "event_id")
+    scored = score(views.with_region(sample, views.users(spark, sf_dir)), REGION_WEIGHTS)
     return scored.select("event_id", "region", F.round("score", 6).alias("score"))
 
 
@@ -237,10 +237,10 @@ def score_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returns = views.table(spark, sf_dir, "events").select(
-        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
+    returns = views.raw_events(spark, sf_dir).select(
+        "product_id",
         F.col("event_id").alias("step"),
-        ((F.col("value") - 50) / 10000).alias("log_return"),
+        ((F.col("price") - 50) / 10000).alias("log_return"),
     )
     return path_summary(returns, views.products(spark, sf_dir))
 

@@ -94,9 +94,9 @@ def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event with the unique key event_id."""
-    raw = table(spark, sf_dir, "events").select(
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per event with the unique key event_id, without its region."""
+    return table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         F.col("ts").alias("event_timestamp"),
@@ -105,13 +105,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("price"),
         (F.lit(1) + F.col("event_id") % 9).cast("int").alias("quantity"),
     )
-    return raw.join(users(spark, sf_dir).hint("merge"), "user_id").select(
-        "event_id",
-        "user_id",
-        "event_timestamp",
-        "event_type",
-        "product_id",
-        "price",
-        "quantity",
-        "region",
-    )
+
+
+def with_region(rows: DataFrame, located_users: DataFrame) -> DataFrame:
+    """Add the region of the user as the last column."""
+    return rows.join(located_users, "user_id").select(*rows.columns, "region")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events with the region of their user."""
+    return with_region(raw_events(spark, sf_dir), users(spark, sf_dir).hint("merge"))

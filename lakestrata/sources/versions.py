@@ -1,11 +1,11 @@
 """Tables with numbered versions, kept as ordinary Parquet folders.
 
 ``root/data/`` holds one folder per write and ``root/commits/`` one small record
-per version that names the folders the version consists of. The record is
-written last, so a write that dies half way leaves a folder nobody reads, and
-can simply be run again. A new version made by ``overwrite`` is a full copy;
-``append`` writes only the new rows and names the older folders again. One
-writer at a time: two writers could both take the same version number.
+per version: the columns of the version and the folders it consists of. The
+record is written last, so a write that dies half way leaves a folder nobody
+reads, and can simply be run again. ``overwrite`` copies the whole table,
+``append`` writes only the new rows and ``add_column`` writes no rows at all.
+One writer at a time: two writers could both take the same version number.
 """
 
 from __future__ import annotations
@@ -24,10 +24,14 @@ from .tables import spread_for_write
 
 _RECORD = (
     "version bigint, committed_at timestamp, operation string, n_rows bigint, "
-    "folders array<struct<path: string, columns: string>>"
+    "columns string, folders array<struct<path: string, columns: string>>"
 )
 
 
+def _schema(text: str) -> StructType:
+    return StructType.fromJson(json.loads(text))
+
+
 class VersionedTable:
     """Numbered versions 0, 1, 2, ... of one table below ``root``."""
 
@@ -47,12 +51,12 @@ class VersionedTable:
         """Commit ``df`` with its own schema as the next version.
 
         ``rebalance=False`` saves the shuffle where ``df`` still lies in files
-        by partition value, as after a column was added to the current version.
+        by partition value, as rows that were only filtered or changed do.
         """
         latest = self.latest_version()
         version = 0 if latest is None else latest + 1
         folder = self._write_folder(df, version, partition_by, rebalance)
-        return self._commit(version, operation, [folder], self._count(folder))
+        return self._commit(version, operation, df.schema, [folder], self._count(folder))
 
     def append(
         self,
@@ -60,24 +64,40 @@ class VersionedTable:
         operation: str = "APPEND",
         partition_by: Sequence[str] = (),
     ) -> int:
-        """Commit the current rows plus ``df``; absent columns become NULL."""
+        """Commit the current rows plus ``df``; columns absent on either side
+        are NULL there."""
         latest = self._record()
         version = 0 if latest is None else latest["version"] + 1
         folder = self._write_folder(df, version, partition_by, rebalance=True)
-        folders, n_rows = [folder], self._count(folder)
-        if latest is not None:
-            folders = [*map(tuple, latest["folders"]), folder]
-            n_rows += latest["n_rows"]
-        return self._commit(version, operation, folders, n_rows)
+        if latest is None:
+            return self._commit(version, operation, df.schema, [folder], self._count(folder))
+        known = _schema(latest["columns"])
+        columns = StructType(
+            [*known.fields, *(f for f in df.schema.fields if f.name not in known.names)]
+        )
+        folders = [*map(tuple, latest["folders"]), folder]
+        n_rows = latest["n_rows"] + self._count(folder)
+        return self._commit(version, operation, columns, folders, n_rows)
+
+    def add_column(self, name: str, data_type: str, operation: str = "EVOLVE") -> int:
+        """Commit the current rows with one more column, NULL in every row.
+
+        The new version names the folders of the current one, so the cost does
+        not depend on the size of the table.
+        """
+        latest = self._latest()
+        columns = _schema(latest["columns"])
+        if name in columns.names:
+            raise ValueError(f"column {name} is already there")
+        columns = StructType([*columns.fields, *StructType.fromDDL(f"{name} {data_type}").fields])
+        folders = [*map(tuple, latest["folders"])]
+        return self._commit(latest["version"] + 1, operation, columns, folders, latest["n_rows"])
 
     # -- reading ---------------------------------------------------------
 
     def current(self) -> DataFrame:
         """The rows of the latest version."""
-        record = self._record()
-        if record is None:
-            raise ValueError(f"no version committed at {self.root}")
-        return self._rows(record)
+        return self._rows(self._latest())
 
     def as_of(self, version: int) -> DataFrame:
         """The rows of one version, with the columns that version had."""
@@ -131,9 +151,16 @@ class VersionedTable:
             records = records.filter(F.col("version") == version)
         return records.orderBy(F.desc("version")).first()
 
+    def _latest(self) -> Row:
+        record = self._record()
+        if record is None:
+            raise ValueError(f"no version committed at {self.root}")
+        return record
+
     def _rows(self, record: Row) -> DataFrame:
-        parts = [self._read_folder(path, columns) for path, columns in record["folders"]]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        columns = _schema(record["columns"])
+        parts = [self._read_folder(*folder, columns) for folder in record["folders"]]
+        return reduce(DataFrame.unionByName, parts)
 
     def _write_folder(
         self, df: DataFrame, version: int, partition_by: Sequence[str], rebalance: bool
@@ -146,29 +173,42 @@ class VersionedTable:
         writer.parquet(f"{self.root}/{path}")
         return path, df.schema.json()
 
-    def _read_folder(self, path: str, columns: str) -> DataFrame:
+    def _read_folder(self, path: str, stored: str, columns: StructType) -> DataFrame:
         # With the recorded schema, partition values keep their type and columns
         # their order; inference would turn a region named "7" into a number.
-        schema = StructType.fromJson(json.loads(columns))
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{path}").select(*schema.names)
+        schema = _schema(stored)
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{path}")
+        return rows.select(
+            *(
+                f.name if f.name in schema.names else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in columns.fields
+            )
+        )
 
     def _count(self, folder: tuple[str, str]) -> int:
         # Counted from the written files, whose footers hold the row counts:
         # right even if tasks were run again during the write.
-        return self._read_folder(*folder).count()
+        path, stored = folder
+        return self._read_folder(path, stored, _schema(stored)).count()
 
     def _commit(
-        self, version: int, operation: str, folders: list[tuple[str, str]], n_rows: int
+        self,
+        version: int,
+        operation: str,
+        columns: StructType,
+        folders: list[tuple[str, str]],
+        n_rows: int,
     ) -> int:
         record = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.current_timestamp().alias("committed_at"),
             F.lit(operation).alias("operation"),
             F.lit(n_rows).cast("bigint").alias("n_rows"),
+            F.lit(columns.json()).alias("columns"),
             F.array(
                 *(
-                    F.struct(F.lit(path).alias("path"), F.lit(columns).alias("columns"))
-                    for path, columns in folders
+                    F.struct(F.lit(path).alias("path"), F.lit(stored).alias("columns"))
+                    for path, stored in folders
                 )
             ).alias("folders"),
         )

@@ -72,9 +72,19 @@ def test_formats_keep_every_row(spark, tmp_path, fmt):
     assert "EqualTo(region,north)" in plan
 
 
-def test_first_rows_are_the_smallest_keys(spark):
-    df = many_events(spark).repartition(5, "product_id")
-    assert tuples(first_rows(df, 3, "event_id"), "event_id") == [(0,), (1,), (2,)]
+@pytest.mark.parametrize("n", [1, 3, 17, 60, 100])
+def test_first_rows_are_the_smallest_keys(spark, n):
+    # Clustered keys, far apart, also below zero, and a row without a key.
+    keys = [-(10**15), *range(0, 40), *range(10**6, 10**6 + 10), *range(10**15, 10**15 + 9)]
+    df = events(spark, event(None), *(event(k) for k in keys)).repartition(5, "event_id")
+    found = sorted(r.event_id for r in first_rows(df, n, "event_id").collect())
+    assert found == sorted(keys)[:n]
+
+
+def test_first_rows_bound_reaches_the_scan(spark, tmp_path):
+    write_table(many_events(spark), str(tmp_path / "t"))
+    sample = first_rows(scan(spark, str(tmp_path / "t")), 5, "event_id")
+    assert "LessThanOrEqual(event_id,7)" in sample._jdf.queryExecution().toString()
 
 
 def test_run_folder_is_fresh_and_in_the_shared_folder(spark):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +56,26 @@ def test_append_adds_rows_and_keeps_the_past(spark, versioned):
     ).count() == 75
 
 
+def test_added_column_copies_no_rows(spark, versioned):
+    versioned.overwrite(some_events(spark), partition_by=["region"])
+    written = set(Path(versioned.root).glob("data/**/*.parquet"))
+    versioned.add_column("discount", "double")
+    assert set(Path(versioned.root).glob("data/**/*.parquet")) == written
+    assert dict(versioned.current().dtypes)["discount"] == "double"
+    with pytest.raises(ValueError, match="already"):
+        versioned.add_column("discount", "double")
+
+
+def test_append_after_added_column(spark, versioned):
+    versioned.overwrite(some_events(spark, 4))
+    versioned.add_column("discount", "double")
+    versioned.append(some_events(spark, 3).withColumn("note", F.lit("x")))
+    current = versioned.current()
+    assert current.columns[-2:] == ["discount", "note"]
+    assert current.filter("discount is null").count() == 7
+    assert current.filter("note = 'x'").count() == 3
+
+
 def test_append_to_nothing_is_version_zero(spark, versioned):
     assert versioned.append(some_events(spark)) == 0
 
