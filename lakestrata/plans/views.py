@@ -11,60 +11,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..sources import scan
 
+_PRODUCT_COLUMNS = ("p_partkey AS product_id", "p_type AS category", "p_retailprice AS base_price")
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan(spark, f"{sf_dir}/{name}.parquet")
+    """An input table. Its files do not change during an application, so their
+    schema is looked up once; each look-up is a Spark job of its own."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = scan(spark, path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
+    return table(spark, sf_dir, "region").selectExpr("r_name AS region")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, region."""
     return (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("c_custkey").alias("user_id"), F.col("r_name").alias("region"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("c_custkey AS user_id", "r_name AS region")
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product_id, category, base_price of every product."""
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("base_price"),
-    )
+    return table(spark, sf_dir, "part").selectExpr(*_PRODUCT_COLUMNS)
 
 
 def listed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products of size 40 or less, so that some sold products are not listed."""
-    part = table(spark, sf_dir, "part").filter(F.col("p_size") <= 40)
-    return part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("base_price"),
-    )
+    return table(spark, sf_dir, "part").filter("p_size <= 40").selectExpr(*_PRODUCT_COLUMNS)
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line; order_id is not unique."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id", "o_custkey AS user_id"
     )
     placed = orders.join(users(spark, sf_dir), "user_id")
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_shipdate").alias("event_timestamp"),
-        F.col("l_returnflag").alias("event_type"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("quantity"),
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_shipdate AS event_timestamp",
+        "l_returnflag AS event_type",
+        "l_partkey AS product_id",
+        "l_extendedprice AS price",
+        "l_quantity AS quantity",
     )
     return lines.join(placed.hint("merge"), "order_id").select(
         "order_id",
@@ -80,30 +81,28 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales, with damage by rule: the input itself has no bad rows."""
-
-    def every(n: int):
-        return F.col("order_id") % n == 0
-
-    return sales(spark, sf_dir).withColumns(
-        {
-            "event_type": F.when(~every(97), F.col("event_type")),
-            "price": F.when(every(89), 0.0).otherwise(F.col("price")),
-            "quantity": F.when(every(83), -1.0).otherwise(F.col("quantity")),
-            "user_id": F.when(~every(79), F.col("user_id")),
-        }
+    return sales(spark, sf_dir).selectExpr(
+        "order_id",
+        "CASE WHEN order_id % 79 <> 0 THEN user_id END AS user_id",
+        "event_timestamp",
+        "CASE WHEN order_id % 97 <> 0 THEN event_type END AS event_type",
+        "product_id",
+        "CASE WHEN order_id % 89 = 0 THEN 0D ELSE price END AS price",
+        "CASE WHEN order_id % 83 = 0 THEN -1D ELSE quantity END AS quantity",
+        "region",
     )
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event with the unique key event_id, without its region."""
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
-        F.col("ts").alias("event_timestamp"),
+        "ts AS event_timestamp",
         "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
-        F.col("value").alias("price"),
-        (F.lit(1) + F.col("event_id") % 9).cast("int").alias("quantity"),
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS product_id",
+        "value AS price",
+        "CAST(1 + event_id % 9 AS INT) AS quantity",
     )
 
 
