@@ -13,6 +13,15 @@ def scan(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def raw_tables(
+    spark: SparkSession, folder: str, dimensions: Sequence[str] = ("users", "products")
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Raw events from all ``events_*.parquet`` files of a folder, and its
+    dimension tables, one file each."""
+    events = scan(spark, f"{folder}/events_*.parquet")
+    return events, {name: scan(spark, f"{folder}/{name}.parquet") for name in dimensions}
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A table stored in the given format."""
     return spark.read.format(fmt).load(path)

@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
-        connection.execute(
-            f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')"
-        )
+        files = f"{path}/*.parquet" if path.is_dir() else path
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     return connection
 
 

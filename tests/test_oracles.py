@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import os
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+import __spark_entry__ as contract
 
-import __spark_entry__ as contract  # noqa: E402
-from comparison import connect, differences  # noqa: E402
+from comparison import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

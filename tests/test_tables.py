@@ -4,10 +4,18 @@ import glob
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakestrata.functions import exact_sum, revenue
 from lakestrata.plans import run_jobs, run_pipeline
-from lakestrata.sources import first_rows, read_table, run_folder, scan, write_table
+from lakestrata.sources import (
+    first_rows,
+    raw_tables,
+    read_table,
+    run_folder,
+    scan,
+    write_table,
+)
 
 from rows import event, events, tuples
 
@@ -40,6 +48,29 @@ def test_files_by_glob_pattern(spark, tmp_path):
     assert tuples(scan(spark, str(tmp_path / "events_*.parquet"))) == tuples(df)
 
 
+def test_raw_folder_through_the_pipeline(spark, tmp_path):
+    raw = tmp_path / "raw"
+    df = many_events(spark).withColumn("quantity", F.col("quantity").cast("tinyint"))
+    for part in range(2):
+        write_table(df.filter(f"event_id % 2 = {part}"), str(raw / f"events_{part}.parquet"))
+    users = spark.createDataFrame([(1, 30, "north")], "user_id int, age tinyint, region string")
+    products = spark.createDataFrame([(i, "abc"[i % 3], float(i)) for i in range(4)], PRODUCTS)
+    write_table(users, str(raw / "users.parquet"))
+    write_table(products, str(raw / "products.parquet"))
+
+    events_read, dimensions = raw_tables(spark, str(raw))
+    tables = run_pipeline(spark, events_read, dimensions, str(tmp_path / "out"))
+    assert {n: scan(spark, p).count() for n, p in tables.bronze_dimensions.items()} == {
+        "users": 1, "products": 4,
+    }
+    current = tables.silver.current()
+    assert dict(current.dtypes)["quantity"] == "int"
+    assert dict(current.dtypes)["event_timestamp"] == "timestamp"
+    assert current.count() == 60
+    rows = [tuple(r) for r in tables.silver.history().drop("committed_at").collect()]
+    assert rows == [(0, "WRITE", 60), (1, "EVOLVE", 60), (2, "MERGE", 60)]
+
+
 def test_region_folders_and_partition_discovery(spark, tmp_path):
     path = str(tmp_path / "bronze")
     df = many_events(spark)
