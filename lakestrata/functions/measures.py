@@ -3,20 +3,22 @@
 Adding doubles in another order changes the last digits, so a re-run task could
 change a total, a rank or a top-k list. Adding decimals is exact but was measured
 ten times slower here (12.5 s against 1.2 s for 60 million rows). ``exact_sum``
-adds whole units in two long columns instead: exact, and as fast as the doubles.
+adds whole units in two long columns instead, in 1.5 s.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-DEFAULT_SCALE = 4
+SCALE = 4
+_UNITS = float(10**SCALE)
+_LARGEST_UNITS = 2.0**52
+_ROUNDING_ERROR = 2.0**-48
 _LOW_BITS = 20
-_EXACT_LIMIT = 2.0**52
 
 
 def revenue(price: str = "price", quantity: str = "quantity") -> Column:
@@ -24,32 +26,36 @@ def revenue(price: str = "price", quantity: str = "quantity") -> Column:
     return F.col(price).cast("double") * F.col(quantity)
 
 
-def exact_sum(value: Column, scale: int | None = DEFAULT_SCALE) -> Column:
-    """Sum of ``value`` taken to ``scale`` decimals, as a double.
+def exact_sum(value: Column, window: WindowSpec | None = None) -> Column:
+    """Sum of ``value`` as a double, grouped or over a window.
 
-    Each value becomes a whole number of 10**-scale units, split into a high and
-    a low part so that neither sum can overflow before trillions of rows. NaN,
-    infinities and values too large for exact units are added as doubles, so
-    they show in the total as they would in a plain sum. ``scale=None`` gives
-    the plain double sum.
+    Values of up to four decimals are added as whole units of 0.0001. The units
+    are split into a high and a low part so that neither sum overflows before
+    trillions of rows. Other values (more decimals, NaN, infinities, beyond
+    450 billion) are added as doubles, as in a plain sum.
     """
+
+    def total(part: Column) -> Column:
+        return F.sum(part) if window is None else F.sum(part).over(window)
+
     value = value.cast("double")
-    if scale is None:
-        return F.sum(value)
-    factor = 10**scale
-    regular = F.abs(value) < F.lit(_EXACT_LIMIT / factor)
-    units = F.when(regular, F.rint(value * F.lit(float(factor))).cast("bigint"))
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND((1 << _LOW_BITS) - 1)).cast("decimal(20,0)")
-    unit = F.lit(Decimal(1).scaleb(-scale))
+    scaled = value * F.lit(_UNITS)
+    whole = F.rint(scaled)
+    regular = (F.abs(scaled) < F.lit(_LARGEST_UNITS)) & (
+        F.abs(scaled - whole) <= F.abs(scaled) * F.lit(_ROUNDING_ERROR)
+    )
+    units = F.when(regular, whole.cast("bigint"))
+    high = total(F.shiftright(units, _LOW_BITS)).cast("decimal(20,0)")
+    low = total(units.bitwiseAND((1 << _LOW_BITS) - 1)).cast("decimal(20,0)")
+    unit = F.lit(Decimal(1).scaleb(-SCALE))
     exact = ((high * F.lit(Decimal(1 << _LOW_BITS)) + low) * unit).cast("double")
-    rest = F.sum(F.when(~regular, value))
+    rest = total(F.when(~regular, value))
     return F.coalesce(exact + rest, exact, rest)
 
 
-def exact_avg(value: Column, scale: int | None = DEFAULT_SCALE) -> Column:
+def exact_avg(value: Column) -> Column:
     """Average over the non-NULL values, from the exact sum."""
-    return exact_sum(value, scale) / F.count(value)
+    return exact_sum(value) / F.count(value)
 
 
 def nan_to_null(df: DataFrame, *columns: str) -> DataFrame:

@@ -7,29 +7,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact_avg, exact_sum, nan_to_null, revenue
-from ..functions.measures import DEFAULT_SCALE
 
 
 def revenue_by_region_type(
-    events: DataFrame, key: str = "event_id", scale: int | None = DEFAULT_SCALE
+    events: DataFrame, key: str = "event_id"
 ) -> DataFrame:
     """Revenue and number of events with a key, by region and event type."""
     return (
         events.groupBy("region", "event_type")
         .agg(
-            exact_sum(revenue(), scale).alias("total_revenue"),
+            exact_sum(revenue()).alias("total_revenue"),
             F.count(key).alias("event_count"),
         )
         .orderBy("region", "event_type")
     )
 
 
-def region_type_stats(events: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataFrame:
+def region_type_stats(events: DataFrame) -> DataFrame:
     """Row count, revenue, average and highest price by region and event type."""
     return events.groupBy("region", "event_type").agg(
         F.count(F.lit(1)).alias("n"),
-        exact_sum(revenue(), scale).alias("total_revenue"),
-        exact_avg(F.col("price"), scale).alias("avg_price"),
+        exact_sum(revenue()).alias("total_revenue"),
+        exact_avg(F.col("price")).alias("avg_price"),
         F.max("price").alias("max_price"),
     )
 
@@ -48,7 +47,6 @@ def top_products(
     products: DataFrame,
     event_type: str = "purchase",
     k: int = 10,
-    scale: int | None = DEFAULT_SCALE,
 ) -> DataFrame:
     """The k products with the highest revenue, with their product columns.
 
@@ -59,7 +57,7 @@ def top_products(
     best = (
         events.filter(F.col("event_type") == event_type)
         .groupBy("product_id")
-        .agg(exact_sum(revenue(), scale).alias("total_revenue"))
+        .agg(exact_sum(revenue()).alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "product_id")
         .limit(k)
     )
@@ -74,7 +72,7 @@ def top_products(
 
 
 def user_region_revenue(
-    events: DataFrame, num_partitions: int | None = None, scale: int | None = DEFAULT_SCALE
+    events: DataFrame, num_partitions: int | None = None
 ) -> DataFrame:
     """Revenue by user and region, highest first.
 
@@ -83,7 +81,7 @@ def user_region_revenue(
     raw ones, so a busy user is not gathered in one task.
     """
     totals = events.groupBy("user_id", "region").agg(
-        exact_sum(revenue(), scale).alias("user_revenue")
+        exact_sum(revenue()).alias("user_revenue")
     )
     order = [F.desc("user_revenue"), F.asc("user_id"), F.asc("region")]
     if num_partitions is None:
@@ -91,7 +89,7 @@ def user_region_revenue(
     return totals.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
 
 
-def grand_totals(events: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataFrame:
+def grand_totals(events: DataFrame) -> DataFrame:
     """Total revenue and number of revenues over rows with both group keys.
 
     NaN counts as missing here, in the sum and in the number.
@@ -101,13 +99,13 @@ def grand_totals(events: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataFr
         "revenue",
     )
     return usable.agg(
-        F.coalesce(exact_sum(F.col("revenue"), scale), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(exact_sum(F.col("revenue")), F.lit(0.0)).alias("total_revenue"),
         F.count("revenue").alias("n"),
     )
 
 
 def region_features(
-    events: DataFrame, regions: DataFrame, scale: int | None = DEFAULT_SCALE
+    events: DataFrame, regions: DataFrame
 ) -> DataFrame:
     """One row of features per listed region, in a single pass over the events.
 
@@ -120,9 +118,9 @@ def region_features(
         .groupBy("region")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
-            exact_avg(F.col("price"), scale).alias("mean_price"),
+            exact_avg(F.col("price")).alias("mean_price"),
             F.stddev_samp("price").alias("price_std"),
-            exact_sum(revenue(), scale).alias("total_revenue"),
+            exact_sum(revenue()).alias("total_revenue"),
             F.avg("quantity").alias("avg_quantity"),
         )
     )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact_sum, fits_broadcast, revenue
-from ..functions.measures import DEFAULT_SCALE
 from ..functions.sizing import DEFAULT_BROADCAST_BYTES
 
 
@@ -15,7 +14,6 @@ def category_revenue(
     products: DataFrame,
     strategy: str = "broadcast",
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    scale: int | None = DEFAULT_SCALE,
 ) -> DataFrame:
     """Revenue per category; unknown products fall in the NULL category.
 
@@ -31,7 +29,7 @@ def category_revenue(
         joined = events.join(F.broadcast(categories), "product_id", "left")
         amount = revenue()
     else:
-        sums = events.groupBy("product_id").agg(exact_sum(revenue(), scale).alias("revenue"))
+        sums = events.groupBy("product_id").agg(exact_sum(revenue()).alias("revenue"))
         joined = sums.join(categories.hint("merge"), "product_id", "left")
         amount = F.col("revenue")
-    return joined.groupBy("category").agg(exact_sum(amount, scale).alias("revenue"))
+    return joined.groupBy("category").agg(exact_sum(amount).alias("revenue"))

@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exact_sum, revenue
-from ..functions.measures import DEFAULT_SCALE
 
 
-def daily_revenue(events: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataFrame:
+def daily_revenue(events: DataFrame) -> DataFrame:
     """Revenue per region and calendar day."""
     return events.groupBy("region", F.to_date("event_timestamp").alias("date")).agg(
-        exact_sum(revenue(), scale).alias("daily_revenue")
+        exact_sum(revenue()).alias("daily_revenue")
     )
 
 
@@ -24,7 +23,6 @@ def rolling_revenue(
     daily: DataFrame,
     days: int = 7,
     frame: str = "rows",
-    scale: int | None = DEFAULT_SCALE,
 ) -> DataFrame:
     """Add the revenue of the current and the preceding days of the region.
 
@@ -38,10 +36,9 @@ def rolling_revenue(
         window = by_region.orderBy(F.unix_date("date")).rangeBetween(1 - days, Window.currentRow)
     else:
         raise ValueError(f"frame must be 'rows' or 'days', not {frame!r}")
-    total = F.sum("daily_revenue").over(window)
-    if scale is not None:
-        total = F.round(total, scale)
-    return daily.withColumn(f"rolling_{days}d_revenue", total)
+    return daily.withColumn(
+        f"rolling_{days}d_revenue", exact_sum(F.col("daily_revenue"), window)
+    )
 
 
 def rank_in_day(daily: DataFrame) -> DataFrame:

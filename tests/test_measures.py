@@ -7,14 +7,15 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions import exact_avg, exact_sum, fits_broadcast, measured_bytes, nan_to_null
 
 
-def total(spark, values, scale=4):
+def total(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    return df.agg(exact_sum(F.col("v"), scale).alias("s")).first()["s"]
+    return df.agg(exact_sum(F.col("v")).alias("s")).first()["s"]
 
 
 def test_exact_sum_does_not_depend_on_order(spark):
@@ -32,7 +33,7 @@ def test_exact_sum_does_not_depend_on_order(spark):
 @given(st.lists(st.integers(-(10**12), 10**12), min_size=1, max_size=30))
 def test_exact_sum_equals_decimal_sum(spark, units):
     values = [u / 100 for u in units]
-    assert total(spark, values, 2) == float(sum(Decimal(u) for u in units) / 100)
+    assert total(spark, values) == float(sum(Decimal(u) for u in units) / 100)
 
 
 def test_values_beyond_exact_units_are_not_lost(spark):
@@ -48,8 +49,25 @@ def test_sum_and_average_skip_null(spark):
     assert df.agg(exact_avg(F.col("v"))).first()[0] == 1.5
 
 
-def test_plain_sum_without_scale(spark):
-    assert total(spark, [0.123456789, 1.0], None) == 0.123456789 + 1.0
+def test_more_decimals_are_not_cut_off(spark):
+    assert total(spark, [0.123456789, 1.0]) == 0.123456789 + 1.0
+    assert total(spark, [1.2e-7] * 3) == pytest.approx(3.6e-7, rel=1e-12)
+
+
+def test_products_of_prices_and_factors_are_exact(spark):
+    rng = random.Random(11)
+    prices = [rng.randrange(1, 50000) for _ in range(3000)]
+    wanted = float(sum(Decimal(p) * 9 for p in prices) / 1000)
+    values = [p / 100 * 0.9 for p in prices]
+    assert total(spark, values) == wanted
+    assert total(spark, values[::-1]) == wanted
+
+
+def test_sum_over_a_window(spark):
+    df = spark.createDataFrame([(i, i / 10) for i in range(1, 6)], "i int, v double")
+    window = Window.orderBy("i").rowsBetween(-1, 0)
+    rows = df.select("i", exact_sum(F.col("v"), window).alias("s")).orderBy("i").collect()
+    assert [r.s for r in rows] == [0.1, 0.3, 0.5, 0.7, 0.9]
 
 
 def test_nan_to_null_only_touches_floats(spark):
