@@ -13,7 +13,6 @@ from ..operators import (
     clean,
     daily_event_counts,
     daily_revenue,
-    merge_upsert,
     rank_in_day,
     region_type_stats,
     revenue_by_region_type,
@@ -78,18 +77,6 @@ def late_batch(table: VersionedTable, path: str, n: int = LATE_ROWS) -> DataFram
     return scan(table.spark, path)
 
 
-def upsert_into(
-    table: VersionedTable, batch: DataFrame, key: str = "event_id", rebalance: bool = False
-) -> int:
-    """Commit the current rows with the batch merged in.
-
-    A small batch leaves the rows where their files are; ``rebalance=True`` is
-    for a batch so large that the merge shuffles the table by its key.
-    """
-    merged = merge_upsert(table.current(), batch, key)
-    return table.overwrite(merged, "MERGE", partition_by=["region"], rebalance=rebalance)
-
-
 # -- gold ------------------------------------------------------------------
 
 
@@ -132,7 +119,8 @@ def run_pipeline(
         rebalance=False,
     )
     evolve_with_discount(silver)
-    upsert_into(silver, late_batch(silver, f"{root}/late/events"))
+    batch = late_batch(silver, f"{root}/late/events")
+    silver.merge(batch, "event_id", partition_by=["region"])
 
     gold = {}
     results = gold_tables(silver.current(), scan(spark, folders["products"]))

@@ -38,7 +38,6 @@ from .pipeline import (
     late_batch,
     run_jobs,
     run_pipeline,
-    upsert_into,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,7 +318,8 @@ def late_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     versioned = VersionedTable(spark, f"{root}/events")
     versioned.overwrite(views.events(spark, sf_dir), partition_by=["region"])
     evolve_with_discount(versioned)
-    upsert_into(versioned, late_batch(versioned, f"{root}/batch"))
+    batch = late_batch(versioned, f"{root}/batch")
+    versioned.merge(batch, "event_id", partition_by=["region"])
     return versioned.current().select("event_id", "price", "discount")
 
 
@@ -340,7 +340,9 @@ def _after_large_batch(spark: SparkSession, sf_dir: str) -> VersionedTable:
         )
     )
     write_table(batch, f"{root}/batch")
-    upsert_into(versioned, scan(spark, f"{root}/batch"), rebalance=True)
+    versioned.merge(
+        scan(spark, f"{root}/batch"), "event_id", partition_by=["region"], rebalance=True
+    )
     return versioned
 
 

@@ -3,9 +3,11 @@
 ``root/data/`` holds one folder per write and ``root/commits/`` one small record
 per version: the columns of the version and the folders it consists of. The
 record is written last, so a write that dies half way leaves a folder nobody
-reads, and can simply be run again. ``overwrite`` copies the whole table,
-``append`` writes only the new rows and ``add_column`` writes no rows at all.
-One writer at a time: two writers could both take the same version number.
+reads, and can simply be run again. ``overwrite`` writes the whole table,
+``append`` only the new rows, ``merge`` only the files that hold rows to replace
+(the record says which files of the older folders no longer count), and
+``add_column`` no rows at all. One writer at a time: two writers could both take
+the same version number.
 """
 
 from __future__ import annotations
@@ -13,21 +15,51 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.upsert import merge_upsert
 from .tables import spread_for_write
 
+MAX_REWRITTEN_FILES = 10_000
+
 _RECORD = (
     "version bigint, committed_at timestamp, operation string, n_rows bigint, "
-    "columns string, folders array<struct<path: string, columns: string>>"
+    "columns string, "
+    "folders array<struct<path: string, columns: string, without: array<string>>>"
 )
 
 
+@dataclass(frozen=True)
+class Folder:
+    """Files of one write, less those that a merge has replaced since."""
+
+    path: str
+    columns: str
+    without: tuple[str, ...] = ()
+
+    def file_name(self) -> Column:
+        """Name of a row's file below the folder."""
+        return F.substring_index(F.col("_metadata.file_path"), f"{self.path}/", -1)
+
+    def as_column(self) -> Column:
+        names = F.array(*map(F.lit, self.without)).cast("array<string>")
+        return F.struct(
+            F.lit(self.path).alias("path"),
+            F.lit(self.columns).alias("columns"),
+            names.alias("without"),
+        )
+
+
+def _folders(record: Row) -> list[Folder]:
+    return [Folder(f["path"], f["columns"], tuple(f["without"])) for f in record["folders"]]
+
+
 def _schema(text: str) -> StructType:
     return StructType.fromJson(json.loads(text))
 
@@ -75,7 +107,7 @@ class VersionedTable:
         columns = StructType(
             [*known.fields, *(f for f in df.schema.fields if f.name not in known.names)]
         )
-        folders = [*map(tuple, latest["folders"]), folder]
+        folders = [*_folders(latest), folder]
         n_rows = latest["n_rows"] + self._count(folder)
         return self._commit(version, operation, columns, folders, n_rows)
 
@@ -90,8 +122,69 @@ class VersionedTable:
         if name in columns.names:
             raise ValueError(f"column {name} is already there")
         columns = StructType([*columns.fields, *StructType.fromDDL(f"{name} {data_type}").fields])
-        folders = [*map(tuple, latest["folders"])]
-        return self._commit(latest["version"] + 1, operation, columns, folders, latest["n_rows"])
+        return self._commit(
+            latest["version"] + 1, operation, columns, _folders(latest), latest["n_rows"]
+        )
+
+    def merge(
+        self,
+        batch: DataFrame,
+        key: str | Sequence[str],
+        operation: str = "MERGE",
+        partition_by: Sequence[str] = (),
+        rebalance: bool = False,
+        max_rewritten_files: int = MAX_REWRITTEN_FILES,
+    ) -> int:
+        """Commit the current rows with ``batch`` merged in by ``key``.
+
+        One pass over the key finds the files that hold rows to replace; only
+        those are read whole and written anew. If they are more than
+        ``max_rewritten_files``, the whole table is written. ``rebalance=True``
+        is for a batch so large that the join shuffles the table by its key.
+        """
+        keys = [key] if isinstance(key, str) else list(key)
+        latest = self._latest()
+        columns, folders = _schema(latest["columns"]), _folders(latest)
+        places = [
+            self._scan(folder).select(
+                *keys, F.lit(i).alias("_folder"), folder.file_name().alias("_file")
+            )
+            for i, folder in enumerate(folders)
+        ]
+        touched = (
+            reduce(DataFrame.unionByName, places)
+            .join(batch.select(*keys), keys, "left_semi")
+            .select("_folder", "_file")
+            .distinct()
+            .limit(max_rewritten_files + 1)
+            .collect()
+        )
+        if len(touched) > max_rewritten_files:
+            merged = merge_upsert(self._rows(latest), batch, keys)
+            return self.overwrite(merged, operation, partition_by, rebalance)
+
+        files = [{t["_file"] for t in touched if t["_folder"] == i} for i in range(len(folders))]
+        replaced = reduce(
+            DataFrame.unionByName,
+            [
+                self._with_columns(
+                    self._scan(folder).filter(folder.file_name().isin(*names)), folder, columns
+                )
+                for folder, names in zip(folders, files)
+            ],
+        )
+        version = latest["version"] + 1
+        merged = merge_upsert(replaced, batch, keys)
+        new = self._write_folder(merged, version, partition_by, rebalance)
+        left = latest["n_rows"] - replaced.count()
+        kept = [
+            replace(folder, without=(*folder.without, *sorted(names)))
+            for folder, names in zip(folders, files)
+        ]
+        # Where every row lay in a touched file, the new folder is the table.
+        return self._commit(
+            version, operation, columns, [*kept, new] if left else [new], left + self._count(new)
+        )
 
     # -- reading ---------------------------------------------------------
 
@@ -159,44 +252,50 @@ class VersionedTable:
 
     def _rows(self, record: Row) -> DataFrame:
         columns = _schema(record["columns"])
-        parts = [self._read_folder(*folder, columns) for folder in record["folders"]]
+        parts = [self._with_columns(self._scan(f), f, columns) for f in _folders(record)]
         return reduce(DataFrame.unionByName, parts)
 
     def _write_folder(
         self, df: DataFrame, version: int, partition_by: Sequence[str], rebalance: bool
-    ) -> tuple[str, str]:
+    ) -> Folder:
         path = f"data/v{version:06d}-{uuid.uuid4().hex}"
         rows = spread_for_write(df, partition_by) if rebalance else df
         writer = rows.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{path}")
-        return path, df.schema.json()
+        return Folder(path, df.schema.json())
 
-    def _read_folder(self, path: str, stored: str, columns: StructType) -> DataFrame:
-        # With the recorded schema, partition values keep their type and columns
-        # their order; inference would turn a region named "7" into a number.
-        schema = _schema(stored)
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{path}")
+    def _scan(self, folder: Folder) -> DataFrame:
+        # With the recorded schema, partition values keep their type; inference
+        # would turn a region named "7" into a number.
+        rows = self.spark.read.schema(_schema(folder.columns)).parquet(
+            f"{self.root}/{folder.path}"
+        )
+        # A condition on the file name leaves the other files unread.
+        return rows.filter(~folder.file_name().isin(*folder.without)) if folder.without else rows
+
+    def _with_columns(self, rows: DataFrame, folder: Folder, columns: StructType) -> DataFrame:
+        """All columns of a version, in order; NULL where the folder lacks one."""
+        stored = _schema(folder.columns).names
         return rows.select(
             *(
-                f.name if f.name in schema.names else F.lit(None).cast(f.dataType).alias(f.name)
+                f.name if f.name in stored else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in columns.fields
             )
         )
 
-    def _count(self, folder: tuple[str, str]) -> int:
+    def _count(self, folder: Folder) -> int:
         # Counted from the written files, whose footers hold the row counts:
         # right even if tasks were run again during the write.
-        path, stored = folder
-        return self._read_folder(path, stored, _schema(stored)).count()
+        return self._scan(folder).count()
 
     def _commit(
         self,
         version: int,
         operation: str,
         columns: StructType,
-        folders: list[tuple[str, str]],
+        folders: list[Folder],
         n_rows: int,
     ) -> int:
         record = self.spark.range(1).select(
@@ -205,12 +304,7 @@ class VersionedTable:
             F.lit(operation).alias("operation"),
             F.lit(n_rows).cast("bigint").alias("n_rows"),
             F.lit(columns.json()).alias("columns"),
-            F.array(
-                *(
-                    F.struct(F.lit(path).alias("path"), F.lit(stored).alias("columns"))
-                    for path, stored in folders
-                )
-            ).alias("folders"),
+            F.array(*(folder.as_column() for folder in folders)).alias("folders"),
         )
         record.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return version

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators import merge_upsert
 from lakestrata.plans.pipeline import evolve_with_discount
 from lakestrata.sources import VersionedTable
+from lakestrata.sources.versions import _folders
 
 from rows import event, events, tuples
 
@@ -80,6 +81,68 @@ def test_append_to_nothing_is_version_zero(spark, versioned):
     assert versioned.append(some_events(spark)) == 0
 
 
+def test_merge_writes_only_files_with_rows_to_replace(spark, versioned):
+    df = events(spark, *(event(i, region=f"region {i % 5}") for i in range(100)))
+    versioned.overwrite(df, partition_by=["region"])
+    versioned.add_column("discount", "double")
+    batch = (
+        versioned.current()
+        .filter("event_id in (3, 8)")
+        .withColumns({"price": F.lit(1.0), "discount": F.lit(0.1)})
+        .unionByName(
+            versioned.current().filter("event_id = 4").withColumn("event_id", F.lit(1000).cast("bigint"))
+        )
+    )
+    before = set(Path(versioned.root).glob("data/**/*.parquet"))
+    versioned.merge(batch, "event_id", partition_by=["region"])
+    new = set(Path(versioned.root).glob("data/**/*.parquet")) - before
+    assert {p.parent.name for p in new} == {"region=region 3", "region=region 4"}
+    assert spark.read.parquet(*map(str, new)).count() == 21
+    current = versioned.current()
+    assert current.count() == current.select("event_id").distinct().count() == 101
+    assert tuples(current.filter("discount = 0.1"), "event_id", "price") == [(3, 1.0), (8, 1.0)]
+    assert tuples(versioned.as_of(0)) == tuples(df)
+    assert versioned.as_of(1).count() == 100
+
+    # A second merge into rows of both folders, then a key that is nowhere.
+    batch = versioned.current().filter("event_id in (3, 50)").withColumn("price", F.lit(2.0))
+    versioned.merge(batch, "event_id", partition_by=["region"])
+    versioned.merge(batch.withColumn("event_id", F.col("event_id") + 2000), "event_id")
+    current = versioned.current()
+    assert current.count() == current.select("event_id").distinct().count() == 103
+    assert tuples(current.filter("price = 2.0"), "event_id") == [(2003,), (2050,), (3,), (50,)]
+    assert [r.n_rows for r in versioned.history().collect()] == [100, 100, 101, 101, 103]
+
+
+def test_merge_with_too_many_files_writes_the_table(spark, versioned):
+    versioned.overwrite(some_events(spark), partition_by=["region"])
+    batch = versioned.current().filter("event_id < 2").withColumn("price", F.lit(1.0))
+    versioned.merge(batch, "event_id", partition_by=["region"], max_rewritten_files=1)
+    assert versioned.current().count() == 20
+    assert versioned.current().filter("price = 1.0").count() == 2
+    assert len(versioned._record()["folders"]) == 1
+
+
+def test_replaced_files_are_not_read(spark, versioned):
+    df = events(spark, *(event(i, region=f"r{i % 5}") for i in range(100)))
+    versioned.overwrite(df, partition_by=["region"])
+    batch = versioned.current().filter("event_id = 3").withColumn("price", F.lit(1.0))
+    versioned.merge(batch, "event_id", partition_by=["region"])
+    old = versioned._scan(_folders(versioned._record())[0])
+    old.collect()
+    plan = old._jdf.queryExecution().executedPlan()
+    scans = plan.collectLeaves().head().metrics()
+    assert scans.apply("numFiles").value() == 4
+
+
+def test_two_batch_rows_for_one_key_raise(spark, versioned):
+    versioned.overwrite(some_events(spark))
+    batch = versioned.current().filter("event_id = 3")
+    with pytest.raises(ValueError, match="several"):
+        versioned.merge(batch.unionByName(batch), "event_id")
+    assert versioned.latest_version() == 0
+
+
 def test_history_and_diff(spark, versioned):
     versioned.overwrite(some_events(spark, 10))
     evolve_with_discount(versioned)
