@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -47,14 +47,6 @@ class Folder:
         """Name of a row's file below the folder."""
         return F.substring_index(F.col("_metadata.file_path"), f"{self.path}/", -1)
 
-    def as_column(self) -> Column:
-        names = F.array(*map(F.lit, self.without)).cast("array<string>")
-        return F.struct(
-            F.lit(self.path).alias("path"),
-            F.lit(self.columns).alias("columns"),
-            names.alias("without"),
-        )
-
 
 def _folders(record: Row) -> list[Folder]:
     return [Folder(f["path"], f["columns"], tuple(f["without"])) for f in record["folders"]]
@@ -298,13 +290,20 @@ class VersionedTable:
         folders: list[Folder],
         n_rows: int,
     ) -> int:
-        record = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.current_timestamp().alias("committed_at"),
-            F.lit(operation).alias("operation"),
-            F.lit(n_rows).cast("bigint").alias("n_rows"),
-            F.lit(columns.json()).alias("columns"),
-            F.array(*(folder.as_column() for folder in folders)).alias("folders"),
+        text = json.dumps(
+            {
+                "version": version,
+                "operation": operation,
+                "n_rows": n_rows,
+                "columns": columns.json(),
+                "folders": [asdict(folder) for folder in folders],
+            }
+        )
+        record = (
+            self.spark.range(1)
+            .select(F.from_json(F.lit(text), _RECORD).alias("record"))
+            .select("record.*")
+            .withColumn("committed_at", F.current_timestamp())
         )
         record.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return version
