@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold
+from .simhash import simhash_components
 from .toxicity import is_toxic, score_toxicity, train_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxicity").alias("score"),
         is_toxic().cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 4-word shingles, 4 bits."""
+    return simhash_components(table(spark, sf_dir, "documents"))
