@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold
+from .decontaminate import benchmark_leaks
 from .simhash import simhash_components
 from .toxicity import is_toxic, score_toxicity, train_toxicity
 
@@ -41,3 +42,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, 4 bits."""
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, and the item."""
+    leaks = benchmark_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return leaks.select("doc_id", "item_id", "n_windows", "coverage", "exact")
