@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import fold
 from .decontaminate import benchmark_leaks
+from .mixing import mix_sources, taken_words
 from .simhash import simhash_components
 from .toxicity import is_toxic, score_toxicity, train_toxicity
 
@@ -51,3 +52,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
     return leaks.select("doc_id", "item_id", "n_windows", "coverage", "exact")
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes of each, by weights 1, 2, 3 in turn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return taken_words(mix_sources(docs))
