@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import run_folder
 from .common import fold
 from .decontaminate import benchmark_leaks
 from .mixing import mix_sources, taken_words
 from .simhash import simhash_components
+from .token_store import read_documents, write_token_store
 from .toxicity import is_toxic, score_toxicity, train_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +24,10 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def tokenizer_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,3 +66,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes of each, by weights 1, 2, 3 in turn."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return taken_words(mix_sources(docs))
+
+
+@query
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, written as directly addressable codes, read back."""
+    path = run_folder(spark, "token-store")
+    write_token_store(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return read_documents(spark, path)
