@@ -12,6 +12,7 @@ from ..sources import run_folder
 from .common import fold
 from .decontaminate import benchmark_leaks
 from .mixing import mix_sources, taken_words
+from .repeats import remove_repeats
 from .simhash import simhash_components
 from .token_store import read_documents, write_token_store
 from .toxicity import is_toxic, score_toxicity, train_toxicity
@@ -74,3 +75,11 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_folder(spark, "token-store")
     write_token_store(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return read_documents(spark, path)
+
+
+@query
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without repeated strings of 200 bytes."""
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
