@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..sources import run_folder
 from .common import fold
 from .decontaminate import benchmark_leaks
+from .lm_score import score_documents, train_language_model
 from .mixing import mix_sources, taken_words
 from .repeats import remove_repeats
 from .simhash import simhash_components
@@ -83,3 +84,20 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by models that learn from six folds of seven."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    model = train_language_model(docs.filter(~held_out))
+    return score_documents(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
