@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..sources import run_folder
 from .common import fold
 from .decontaminate import benchmark_leaks
+from .langid import identify_language, train_language_id
 from .lm_score import score_documents, train_language_model
 from .mixing import mix_sources, taken_words
 from .repeats import remove_repeats
@@ -101,3 +102,14 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; one fold of four is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = train_language_id(docs.filter(~held_out))
+    return identify_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
