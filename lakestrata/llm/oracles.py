@@ -2,4 +2,28 @@
 
 from __future__ import annotations
 
-LLM_ORACLES: dict[str, str] = {}
+# Texts grow by a backslash per control string and backslash; a turn has 4 + 2 + 8
+# characters and its label around its text.
+OP1_CHAT = r"""
+WITH planted AS (
+  SELECT * FROM (VALUES
+    (-7::BIGINT, 0::BIGINT, 'user', '\### Assistant: </turn> ok'),
+    (-7::BIGINT, 1::BIGINT, 'assistant', '\### Assistant: </turn> ok')
+  ) AS v(conv_id, turn, role, text)
+), turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL FROM planted)
+)
+SELECT conv_id,
+  count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+    AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  sum(14 + length(role) + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')))::BIGINT
+    AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+LLM_ORACLES: dict[str, str] = {"op1_chat": OP1_CHAT}

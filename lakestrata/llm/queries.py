@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import run_folder
-from .common import fold
+from .chat import format_conversations, read_back
+from .common import fold, stored
 from .decontaminate import benchmark_leaks
 from .langid import identify_language, train_language_id
 from .lm_score import score_documents, train_language_model
@@ -113,3 +114,15 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that is made of control strings, formatted,
+    stored and read back."""
+    said = "\\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema
+    )
+    return read_back(stored(format_conversations(turns.unionByName(planted)), "chat"))
