@@ -26,4 +26,23 @@ SELECT conv_id,
 FROM turns GROUP BY conv_id
 """
 
-LLM_ORACLES: dict[str, str] = {"op1_chat": OP1_CHAT}
+OP10_TOPK = """
+WITH v AS (
+  SELECT DISTINCT vec_id,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored
+) WHERE rank <= 10
+"""
+
+LLM_ORACLES: dict[str, str] = {"op1_chat": OP1_CHAT, "op10_topk": OP10_TOPK}

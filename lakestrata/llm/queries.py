@@ -18,6 +18,7 @@ from .mixing import mix_sources, taken_words
 from .repeats import remove_repeats
 from .simhash import simhash_components
 from .token_store import read_documents, write_token_store
+from .topk import top_k
 from .toxicity import is_toxic, score_toxicity, train_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +127,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema
     )
     return read_back(stored(format_conversations(turns.unionByName(planted)), "chat"))
+
+
+@query
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows by inner product for every hundredth embedding."""
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k(rows, F.col("vec_id") % 100 == 0)
