@@ -14,28 +14,39 @@ the ids of all shards before each.
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from . import dac
+from .common import row_blocks, text_bytes
 
 SEGMENT_IDS = 1 << 18
-KNOWN_PIECES = 1 << 18
-ENCODED_AT_ONCE = 1 << 20
+KNOWN_PIECES = 1 << 19
+ENCODED_AT_ONCE = 8 << 20
+WORDS_A_TEXT = 100
 _SEGMENT = (
     "shard int, segment int, first long, n_ids int, codes binary, "
     "doc_ids array<long>, ends array<int>"
 )
-# A space with white space beside it, or at either end of a text.
-_LOOSE = re.compile(r" \s|\s |^ | $")
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+# A space at either end of a text, or with white space beside it.
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_LOOSE = f"^ | $| {_WHITE}|{_WHITE} "
+
+
+class _Known(dict):
+    """Number of a word, -1 for a word that is not known."""
+
+    def __missing__(self, word: str) -> int:
+        return -1
 
 
 class PieceEncoder:
@@ -43,63 +54,90 @@ class PieceEncoder:
 
     Byte-level pre-tokenizers never join what comes before a single space with
     what follows it, so a text is cut before such spaces and each distinct piece
-    is encoded once. Texts of other tokenizers are encoded whole.
+    is encoded once. Texts with other white space around spaces, and texts of
+    other tokenizers, are encoded whole.
     """
 
     def __init__(self, path: str):
+        # Tasks are the parallel part; threads of its own would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.by_piece = "ByteLevel" in str(self.tokenizer.pre_tokenizer) and (
             self.tokenizer.normalizer is None
         )
+        vocabulary = self.tokenizer.get_vocab()
+        # A byte-level token has one character per byte.
+        self.widths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.widths[i] = len(token)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 12, np.int64)
-        self.used = 0
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = self._encode(pieces)
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32)
-        n = len(self.known)
-        ends = self.used + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        while len(self.ids) < self.used + len(flat):
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _learn(self, words: list[str], sizes: np.ndarray) -> None:
+        """Encode words, each after a space, many in one text; where a word ends is
+        seen from the bytes of its tokens."""
+        groups = [words[i : i + WORDS_A_TEXT] for i in range(0, len(words), WORDS_A_TEXT)]
+        flat = np.concatenate(self._encode([" " + " ".join(g) for g in groups]))
+        goal = np.cumsum(sizes + 1)
+        reached = np.cumsum(self.widths[flat])
+        last = np.searchsorted(reached, goal)
+        if not np.array_equal(reached[last], goal):
+            raise ValueError("the tokenizer joins text over a single space")
+        n, used = len(self.known), int(self.ends[len(self.known)])
+        while len(self.ids) < used + len(flat):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.ends) < n + len(found) + 1:
+        while len(self.ends) < n + len(words) + 1:
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.ends[n + 1 : n + 1 + len(found)] = ends
-        self.used += len(flat)
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """A text cut before every space between two characters that are not
-        white space."""
-        if _LOOSE.search(text):
-            return _CUT.split(text)
-        head, *tail = text.split(" ")
-        return [head, *map(" ".__add__, tail)]
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        self.ids[used : used + len(flat)] = flat
+        self.ends[n + 1 : n + 1 + len(words)] = used + last + 1
+        self.known.update(zip(words, range(n, n + len(words))))
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; NULL counts as empty."""
+        texts = texts.fill_null("")
         if not self.by_piece:
-            return [np.array(ids, np.uint32) for ids in self._encode(texts)]
-        out: list[np.ndarray] = []
-        for first, last in _runs(texts):
-            if len(self.known) > KNOWN_PIECES:
-                self._forget()
-            cut = [self.pieces(t) if t else [] for t in texts[first:last]]
-            new = set().union(*cut).difference(self.known)
-            if new:
-                self._learn(sorted(new))
-            for pieces in cut:
-                at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-                out.append(self._gather(at))
+            return self._encode(texts.to_pylist())
+        loose = np.asarray(pc.match_substring_regex(texts, _LOOSE))
+        pieces = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
+        flat = pieces.flatten()
+        cuts = np.asarray(pieces.offsets)
+        cuts = cuts - cuts[0]
+        # The first piece of a text follows no space and is encoded on its own.
+        heads = iter(self._encode(flat.take(pa.array(cuts[:-1])).to_pylist()))
+        coded = flat.dictionary_encode()
+        if len(self.known) > KNOWN_PIECES:
+            self._forget()
+        words = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        tails = np.ones(len(flat), bool)
+        tails[cuts[:-1]] = False
+        followed = np.zeros(len(words), bool)
+        index = np.asarray(coded.indices)
+        followed[index[tails]] = True
+        new = np.flatnonzero((at < 0) & followed)
+        if len(new):
+            sizes = np.asarray(pc.binary_length(coded.dictionary)).astype(np.int64)
+            first = len(self.known)
+            self._learn([words[i] for i in new.tolist()], sizes[new])
+            at[new] = np.arange(first, first + len(new))
+        whole = iter(self._encode(texts.filter(pa.array(loose)).to_pylist()))
+        out, row = [], 0
+        for is_loose in loose.tolist():
+            if is_loose:
+                out.append(next(whole))
+                continue
+            tail = self._gather(at[index[cuts[row] + 1 : cuts[row + 1]]])
+            out.append(np.concatenate([next(heads), tail]))
+            row += 1
         return out
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
@@ -111,15 +149,10 @@ class PieceEncoder:
         return self.ids[places]
 
 
-def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= ENCODED_AT_ONCE:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> PieceEncoder:
+    """One for all tasks of a worker process."""
+    return PieceEncoder(path)
 
 
 def write_token_store(
@@ -137,7 +170,7 @@ def write_token_store(
     tail = [] if end_id is None else [end_id]
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         parts: list[np.ndarray] = []
         size, count, first, shard = 0, 0, 0, -1
         names: list[int | None] = []
@@ -156,10 +189,9 @@ def write_token_store(
             return pa.record_batch(arrays, names=[n for n, _ in _FIELDS])
 
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            shards = batch.column(2)
-            for at, last in _runs(texts):
-                encoded = encoder(texts[at:last])
+            texts, shards = batch.column(1), batch.column(2)
+            for at, last in row_blocks(text_bytes(texts)[1], ENCODED_AT_ONCE):
+                encoded = encoder(texts.slice(at, last - at))
                 for i, ids in enumerate(encoded, at):
                     shard = shards[i].as_py()
                     ids = np.append(ids, np.array(tail, np.uint32))
