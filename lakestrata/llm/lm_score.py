@@ -16,7 +16,8 @@ from .common import LOWER, row_blocks, stored, text_bytes
 from .ppm import BITS, Trie, grams, mask
 
 ORDER = 5
-WORDS_AT_ONCE = 1 << 19
+WORDS_AT_ONCE = 1 << 18
+COUNTED_BYTES = 1 << 20
 FREQUENT_WORDS = 1 << 17
 TRIE_PAIRS = 1 << 23
 
@@ -54,7 +55,7 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
         for batch in batches:
             data, at = text_bytes(batch.column(0))
             data = LOWER[data]
-            for a, b in row_blocks(at):
+            for a, b in row_blocks(at, COUNTED_BYTES):
                 base, ends = data[at[a] : at[b]], at[a : b + 1] - at[a]
                 keys, n = np.unique(grams(base, ends, order)[0], return_counts=True)
                 parts.append((keys, n.astype(np.int64)))
@@ -161,7 +162,7 @@ def _scored(docs: DataFrame, model: LanguageModel, part: int, parts: int, words)
     With ``words`` (the frequent ones) also the word model: the sum of logs of
     counts plus one over frequent words, and the other words with their number.
     """
-    context, order = docs.sparkSession.sparkContext, model.order
+    context, depth = docs.sparkSession.sparkContext, model.order
     trie = context.broadcast(model.trie(part, parts))
     frequent = context.broadcast(words)
 
@@ -170,15 +171,21 @@ def _scored(docs: DataFrame, model: LanguageModel, part: int, parts: int, words)
         for batch in batches:
             data, at = text_bytes(batch.column(2))
             data = LOWER[data]
-            for a, b in row_blocks(at):
+            for a, b in row_blocks(at, COUNTED_BYTES):
                 base, ends = data[at[a] : at[b]], at[a : b + 1] - at[a]
-                packed, begins = grams(base, ends, order)
-                keys, inverse = np.unique(packed, return_inverse=True)
+                packed, begins = grams(base, ends, depth)
+                order = np.argsort(packed)
+                packed = packed[order]
+                new = np.append(True, packed[1:] != packed[:-1])
+                keys = packed[new]
                 values = trie.value.log10(keys)
                 if parts > 1:
                     two = (keys >> np.uint64(BITS) & np.uint64((1 << 2 * BITS) - 1)).astype(np.int64)
                     values[two * 40_503 % parts != part] = 0.0
-                scores = np.add.reduceat(values[inverse], begins[:-1])
+                costs = np.empty(len(order))
+                costs[order] = values[np.cumsum(new, dtype=np.int32) - 1]
+                scores = np.add.reduceat(costs, begins[:-1])
+                del packed, order, new, costs
                 n_tokens, n_known, sums, tails, sizes = [], [], [], [], []
                 if logs is not None:
                     whole = base.tobytes()

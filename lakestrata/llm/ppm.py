@@ -30,12 +30,12 @@ def grams(data: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, np.
     bytes, for its end)."""
     rows, sizes = len(at) - 1, np.diff(at)
     pad = order + 1
-    line = np.full(len(data) + rows * pad, START, np.uint64)
+    line = np.full(len(data) + rows * pad, START, np.uint16)
     shift = np.repeat(np.arange(rows) * pad + order, sizes)
     line[np.arange(len(data)) + shift] = data
     ends = at[1:] + np.arange(1, rows + 1) * pad - 1
     line[ends] = END
-    packed = np.zeros(len(line) - order, np.uint64)
+    packed = np.zeros(max(len(line) - order, 0), np.uint64)
     for i in range(order + 1):
         packed <<= np.uint64(BITS)
         packed |= line[i : len(line) - order + i]
@@ -58,12 +58,12 @@ class _Level:
         contexts = keys >> np.uint64(BITS)
         first = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1])[: len(keys)])
         self.contexts = contexts[first]
-        self.first = first
+        self.first = first.astype(np.int32)
         if len(first):
             self.total = np.add.reduceat(counts, first)
         else:
             self.total = np.zeros(0, np.int64)
-        self.kinds = np.diff(np.append(first, len(keys)))
+        self.kinds = np.diff(np.append(first, len(keys))).astype(np.int32)
         # Occurrences, in the next shorter context, of the symbols seen here.
         self.excluded = np.zeros(len(first), np.int64)
 
