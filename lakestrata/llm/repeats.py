@@ -73,7 +73,7 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int = LENGTH):
     new = np.ones(len(inside), bool)
     new[1:] = (chosen[1:] != chosen[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(inside)) - 1
+    last = np.append(first[1:], len(inside))[: len(first)] - 1
     row, place = row[first], chosen[first]
     begin = at[row]
     return row, grams[place], place - begin, inside[first] - begin, inside[last] - begin
@@ -175,7 +175,7 @@ class _Shard:
 
     def sort(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of the windows in order, and which of them occur again."""
-        order = suffix_array(self.words, self.n, LENGTH)
+        order = suffix_array(self.words, self.n)
         shared = common_prefixes(self.words, order, self.at, LENGTH)
         is_start = np.zeros(self.n, bool)
         is_start[self.starts()] = True
@@ -196,8 +196,8 @@ class _Shard:
         new = np.ones(len(places), bool)
         new[1:] = (np.diff(places) != 1) | (np.diff(owner) != 0)
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(places)) - 1
-        own = owner[first] if len(first) else first
+        last = np.append(first[1:], len(places))[: len(first)] - 1
+        own = owner[first]
         return own, places[first] - self.at[own], places[last] - self.at[own]
 
 

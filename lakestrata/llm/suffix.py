@@ -1,7 +1,7 @@
 """Suffix arrays in numpy: Larsson-Sadakane refinement, Kasai prefixes, search.
 
-Suffixes are put in order by their first bytes up to a depth, which is all that
-repeats of a fixed length need.
+The text of a shard is put in full suffix order, which the step from one suffix
+to the next in Kasai's method needs.
 """
 
 from __future__ import annotations
@@ -23,15 +23,15 @@ def packed_words(text: np.ndarray, pad: int) -> np.ndarray:
     return out
 
 
-def suffix_array(words: np.ndarray, n: int, depth: int) -> np.ndarray:
-    """Order of the ``n`` suffixes by at least ``depth`` bytes.
+def suffix_array(words: np.ndarray, n: int) -> np.ndarray:
+    """Order of the ``n`` suffixes.
 
     The first sort is by 8 bytes. Then each group of equal suffixes is sorted by
     the group of the suffix h places on, h doubling; groups of one are done and
     are not touched again.
     """
     order = np.argsort(words[:n], kind="stable")
-    group = np.zeros(n + 2 * depth + WORD, np.int64)
+    group = np.zeros(n + 1, np.int64)
     ranked = words[order]
     new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     starts = np.flatnonzero(new)
@@ -39,10 +39,10 @@ def suffix_array(words: np.ndarray, n: int, depth: int) -> np.ndarray:
     group[order] = np.repeat(starts, np.diff(np.append(starts, n))) + 1
     open_ = np.flatnonzero(~(new & np.append(new[1:], True)))
     h = WORD
-    while h < depth and len(open_):
+    while len(open_):
         suffixes = order[open_]
         head = group[suffixes]
-        key = head * (n + 1) + group[suffixes + h]
+        key = head * (n + 1) + group[np.minimum(suffixes + h, n)]
         place = np.argsort(key, kind="stable")
         order[open_] = suffixes[place]
         key = key[place]
