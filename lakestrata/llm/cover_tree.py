@@ -15,8 +15,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LEAF = 48
-CENTRES = 32
+LEAF = 512
+CENTRES = 16
 SHRINK = 0.6
 EXACT = float(1 << 53)
 # Score and id of a place that no candidate has taken; the score can be negated.
@@ -68,7 +68,7 @@ def _cover(points: np.ndarray, centre: int, radius: float) -> np.ndarray:
     return owner
 
 
-def build(points: np.ndarray, ids: np.ndarray, leaf: int = LEAF) -> CoverTree:
+def build(points: np.ndarray, ids: np.ndarray, leaf: int) -> CoverTree:
     """Tree over rows of whole numbers (held as doubles)."""
     order = np.lexsort((ids,))
     points, ids = np.asarray(points, float)[order], np.asarray(ids)[order]

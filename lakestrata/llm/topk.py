@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .cover_tree import NOTHING, CoverTree, build, search
+from .cover_tree import LEAF, NOTHING, CoverTree, build, search
 
 SHARD_ROWS = 1 << 14
 QUERY_ROWS = 1 << 11
-QUERY_LEAF = 16
+QUERY_LEAF = 64
 SCALE = 1024.0
 
 
@@ -87,7 +87,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     are ranked again.
     """
     vectors = stored(whole_vectors(rows), "topk-vectors")
-    shards, n_shards = _trees(vectors, SHARD_ROWS, 48, "topk-shards")
+    shards, n_shards = _trees(vectors, SHARD_ROWS, LEAF, "topk-shards")
     blocks, _ = _trees(vectors.filter(is_query), QUERY_ROWS, QUERY_LEAF, "topk-queries")
     pairs = blocks.select(
         F.col("tree").alias("queries"),
