@@ -1,12 +1,27 @@
 """Column expressions and checks shared by the operators."""
 
-from .measures import exact_avg, exact_sum, nan_to_null, revenue
+from .measures import (
+    add_totals,
+    as_doubles,
+    exact_avg,
+    exact_sum,
+    exact_total,
+    is_total,
+    largest_first,
+    nan_to_null,
+    revenue,
+)
 from .sizing import fits_broadcast, measured_bytes
 
 __all__ = [
+    "add_totals",
+    "as_doubles",
     "exact_avg",
     "exact_sum",
+    "exact_total",
     "fits_broadcast",
+    "is_total",
+    "largest_first",
     "measured_bytes",
     "nan_to_null",
     "revenue",

@@ -6,8 +6,10 @@ from .aggregates import (
     region_features,
     region_type_stats,
     revenue_by_region_type,
+    sorted_revenue,
     top_products,
     user_region_revenue,
+    user_region_totals,
 )
 from .joins import category_revenue
 from .paths import mean_final_price, path_summary
@@ -34,6 +36,8 @@ __all__ = [
     "rolling_revenue",
     "score",
     "score_summary",
+    "sorted_revenue",
     "top_products",
     "user_region_revenue",
+    "user_region_totals",
 ]

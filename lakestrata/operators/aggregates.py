@@ -6,7 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_avg, exact_sum, nan_to_null, revenue
+from ..functions import (
+    as_doubles,
+    exact_avg,
+    exact_sum,
+    exact_total,
+    largest_first,
+    nan_to_null,
+    revenue,
+)
 
 
 def revenue_by_region_type(
@@ -57,36 +65,47 @@ def top_products(
     best = (
         events.filter(F.col("event_type") == event_type)
         .groupBy("product_id")
-        .agg(exact_sum(revenue()).alias("total_revenue"))
-        .orderBy(F.desc("total_revenue"), "product_id")
+        .agg(exact_total(revenue()).alias("total_revenue"))
+        .orderBy(*largest_first("total_revenue"), "product_id")
         .limit(k)
     )
     # k rows at most, so the broadcast does not grow with the data.
     wanted = F.broadcast(best.select("product_id"))
     described = products.join(wanted, "product_id", "left_semi")
-    return (
+    found = (
         best.join(described, "product_id", "left")
-        .orderBy(F.desc("total_revenue"), "product_id")
+        .orderBy(*largest_first("total_revenue"), "product_id")
         .limit(k)
     )
+    return as_doubles(found)
 
 
-def user_region_revenue(
-    events: DataFrame, num_partitions: int | None = None
-) -> DataFrame:
-    """Revenue by user and region, highest first.
+def user_region_totals(events: DataFrame) -> DataFrame:
+    """Revenue by user and region, in no order."""
+    return events.groupBy("user_id", "region").agg(
+        exact_total(revenue()).alias("user_revenue")
+    )
+
+
+def sorted_revenue(totals: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Totals by user and region, highest first.
 
     ``num_partitions`` fixes the width of the final sort for this query alone;
     the rows do not depend on it. It acts on the aggregated rows, never on the
     raw ones, so a busy user is not gathered in one task.
     """
-    totals = events.groupBy("user_id", "region").agg(
-        exact_sum(revenue()).alias("user_revenue")
-    )
-    order = [F.desc("user_revenue"), F.asc("user_id"), F.asc("region")]
+    order = [*largest_first("user_revenue"), F.asc("user_id"), F.asc("region")]
     if num_partitions is None:
-        return totals.orderBy(*order)
-    return totals.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+        return as_doubles(totals.orderBy(*order))
+    spread = totals.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+    return as_doubles(spread)
+
+
+def user_region_revenue(
+    events: DataFrame, num_partitions: int | None = None
+) -> DataFrame:
+    """Revenue by user and region, highest first; see ``sorted_revenue``."""
+    return sorted_revenue(user_region_totals(events), num_partitions)
 
 
 def grand_totals(events: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, fits_broadcast, revenue
+from ..functions import add_totals, as_doubles, exact_total, fits_broadcast, revenue
 from ..functions.sizing import DEFAULT_BROADCAST_BYTES
 
 
@@ -27,9 +27,9 @@ def category_revenue(
     categories = products.select("product_id", "category")
     if strategy == "broadcast" and fits_broadcast(categories, max_broadcast_bytes):
         joined = events.join(F.broadcast(categories), "product_id", "left")
-        amount = revenue()
+        amount = exact_total(revenue())
     else:
-        sums = events.groupBy("product_id").agg(exact_sum(revenue()).alias("revenue"))
+        sums = events.groupBy("product_id").agg(exact_total(revenue()).alias("revenue"))
         joined = sums.join(categories.hint("merge"), "product_id", "left")
-        amount = F.col("revenue")
-    return joined.groupBy("category").agg(exact_sum(amount).alias("revenue"))
+        amount = add_totals("revenue")
+    return as_doubles(joined.groupBy("category").agg(amount.alias("revenue")))

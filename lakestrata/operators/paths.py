@@ -1,8 +1,8 @@
 """Summaries of price paths given as log returns in steps.
 
 The price after a step is ``base * exp(sum of the returns so far)``. One key may
-hold most of the rows, so its running sum must not need one task. Long keys are
-cut into runs of steps: each run is summed from zero on its own, the totals of
+hold most of the rows, so its running sum must not need one task. Keys are cut
+into runs of steps: each run is summed from zero on its own, the totals of
 the earlier runs are then added to the few figures that describe a run.
 """
 
@@ -26,18 +26,13 @@ def path_summary(
     """Final, highest and lowest price and population deviation per key.
 
     ``step`` is a whole number that occurs once per key, so a run of
-    ``rows_per_run`` consecutive steps has at most that many rows. Where no key
-    has more rows than that, each key is one run.
+    ``rows_per_run`` consecutive steps has at most that many rows. A key without
+    a base price has no result row.
     """
     moves = returns.select(
         F.col(key).alias("key"), F.col(step).alias("step"), F.col(log_return).alias("move")
     )
-    longest = (
-        moves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    )
-    run = F.lit(0).cast("bigint")
-    if longest > rows_per_run:
-        run = F.col("step") - F.pmod(F.col("step"), F.lit(rows_per_run))
+    run = F.col("step") - F.pmod(F.col("step"), F.lit(rows_per_run))
     moves = moves.withColumn("run", run)
 
     in_run = Window.partitionBy("key", "run")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -21,13 +22,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str])
     stored, not one that is costly to compute: it is read several times.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    absent = [c for c in target.columns if c not in source.columns]
-    if absent:
-        raise ValueError(f"source lacks target columns: {', '.join(absent)}")
-    incoming = source.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields)
-    )
-    _reject_ambiguous(target, incoming, keys)
+    incoming = as_target_rows(source, target.schema)
+    reject_ambiguous(target, incoming, keys)
 
     # The row travels as one struct: it is NULL exactly where no key matched,
     # even if the key or every value of the source row is NULL.
@@ -49,7 +45,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str])
     return replaced.unionByName(added)
 
 
-def _reject_ambiguous(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
+def as_target_rows(source: DataFrame, columns: StructType) -> DataFrame:
+    """The source with the columns and types of the target."""
+    absent = [c for c in columns.names if c not in source.columns]
+    if absent:
+        raise ValueError(f"source lacks target columns: {', '.join(absent)}")
+    return source.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in columns.fields))
+
+
+def reject_ambiguous(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
+    """ValueError if several source rows match one target row."""
     repeated = (
         source.dropna(subset=keys)
         .groupBy(*keys)

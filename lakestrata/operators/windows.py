@@ -9,13 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, revenue
+from ..functions import add_totals, exact_sum, exact_total, is_total, largest_first, revenue
 
 
 def daily_revenue(events: DataFrame) -> DataFrame:
-    """Revenue per region and calendar day."""
+    """Revenue per region and calendar day, as a total that loses no digit.
+
+    The windows below keep such totals, and ``as_doubles`` turns all into doubles
+    at the end; given plain numbers, they return doubles.
+    """
     return events.groupBy("region", F.to_date("event_timestamp").alias("date")).agg(
-        exact_sum(revenue()).alias("daily_revenue")
+        exact_total(revenue()).alias("daily_revenue")
     )
 
 
@@ -36,9 +40,11 @@ def rolling_revenue(
         window = by_region.orderBy(F.unix_date("date")).rangeBetween(1 - days, Window.currentRow)
     else:
         raise ValueError(f"frame must be 'rows' or 'days', not {frame!r}")
-    return daily.withColumn(
-        f"rolling_{days}d_revenue", exact_sum(F.col("daily_revenue"), window)
-    )
+    if is_total(daily, "daily_revenue"):
+        rolled = add_totals("daily_revenue", window)
+    else:
+        rolled = exact_sum(F.col("daily_revenue"), window)
+    return daily.withColumn(f"rolling_{days}d_revenue", rolled)
 
 
 def rank_in_day(daily: DataFrame) -> DataFrame:
@@ -46,5 +52,8 @@ def rank_in_day(daily: DataFrame) -> DataFrame:
 
     Equal revenues share a rank and the next rank is skipped.
     """
-    window = Window.partitionBy("date").orderBy(F.desc("daily_revenue"))
+    order = [F.desc("daily_revenue")]
+    if is_total(daily, "daily_revenue"):
+        order = largest_first("daily_revenue")
+    window = Window.partitionBy("date").orderBy(*order)
     return daily.withColumn("rank_in_day", F.rank().over(window))

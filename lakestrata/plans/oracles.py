@@ -5,8 +5,16 @@ Money is added as decimals here, so that the totals are exact on both sides.
 
 from __future__ import annotations
 
-from .pipeline import LATE_DISCOUNT, LATE_PRICE_FACTOR, LATE_ROWS
-from .queries import FILTER_REGION, FORMATS, NEW_ID_OFFSET, REGION_WEIGHTS, SAMPLE_ROWS
+from .queries import (
+    FILTER_REGION,
+    FORMATS,
+    LATE_DISCOUNT,
+    LATE_PRICE_FACTOR,
+    LATE_ROWS,
+    NEW_ID_OFFSET,
+    REGION_WEIGHTS,
+    SAMPLE_ROWS,
+)
 
 _SALES = """
 sales AS (
@@ -44,10 +52,10 @@ evt AS (
   JOIN region ON n_regionkey = r_regionkey
 )"""
 
-_LISTED = """
-listed AS (
+_PRODUCTS = """
+products AS (
   SELECT p_partkey AS product_id, p_type AS category, p_retailprice AS base_price
-  FROM part WHERE p_size <= 40
+  FROM part
 )"""
 
 _PRICE = "CAST(price AS DECIMAL(18,2))"
@@ -90,9 +98,9 @@ paths AS (
   FROM prices GROUP BY product_id, base_price
 )"""
 
-_CATEGORY = f"""WITH {_SALES}, {_LISTED}
+_CATEGORY = f"""WITH {_SALES}, {_PRODUCTS}
 SELECT category, {_REVENUE} AS revenue
-FROM sales LEFT JOIN listed USING (product_id) GROUP BY category"""
+FROM sales LEFT JOIN products USING (product_id) GROUP BY category"""
 
 _EVT_COLUMNS = (
     "event_id, user_id, event_timestamp, event_type, product_id, price, quantity, region"
@@ -103,21 +111,51 @@ _DISCOUNT = f"CAST({LATE_DISCOUNT} AS DOUBLE)"
 _N_MERGED = "(SELECT COUNT(*) + COUNT(*) FILTER (WHERE event_type = 'signup') FROM evt)"
 
 
-def _per_name(column: str, names: tuple[str, ...], condition: str = "") -> str:
+def _stored_values(names: tuple[str, ...], condition: str = "") -> str:
     return f"WITH {_SALES}\n" + "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS {column}, COUNT(*) AS n_rows FROM sales {condition}" for name in names
+        f"""SELECT '{name}' AS format, COUNT(*) AS n_rows, {_REVENUE} AS total_revenue,
+  CAST(SUM({_PRICE}) AS DOUBLE) AS total_price, MIN(event_timestamp) AS first_time,
+  MAX(event_timestamp) AS last_time,
+  COUNT(DISTINCT (order_id, product_id, user_id)) AS n_keys,
+  COUNT(DISTINCT (region, event_type)) AS n_groups
+FROM sales {condition}"""
+        for name in names
     )
 
 
+# The pipeline: sound events, of which late rows correct every sign-up.
+_SILVER = f"""{_EVT},
+silver AS (
+  SELECT event_id, event_timestamp, region, event_type, product_id, quantity,
+         {_PRICE} * CASE WHEN event_type = 'signup'
+                         THEN CAST({LATE_PRICE_FACTOR} AS DECIMAL(3,2))
+                         ELSE CAST(1 AS DECIMAL(3,2)) END AS price
+  FROM evt WHERE price > 0 AND quantity > 0
+)"""
+_SILVER_AMOUNT = "price * CAST(quantity AS DECIMAL(9,0))"
+
+
 ORACLES: dict[str, str] = {
     "bronze_ingest": f"""WITH {_SALES}
 SELECT region, COUNT(*) AS n_rows, {_REVENUE} AS total_revenue FROM sales GROUP BY region""",
-    "bronze_dims": """SELECT 'users' AS table_name, COUNT(*) AS n_rows FROM customer
-UNION ALL SELECT 'products', COUNT(*) FROM part""",
-    "format_roundtrip": _per_name("format", FORMATS),
-    "filtered_scan": _per_name(
-        "format", (*FORMATS, "parquet by region"), f"WHERE region = '{FILTER_REGION}'"
+    "raw_glob_ingest": f"""WITH {_SALES}
+SELECT region, COUNT(*) AS n_rows, {_REVENUE} AS total_revenue FROM sales GROUP BY region""",
+    "bronze_dims": """SELECT 'users' AS table_name, COUNT(*) AS n_rows,
+  COUNT(DISTINCT c_custkey) AS n_keys, CAST(SUM(c_custkey) AS BIGINT) AS key_sum,
+  MIN(r_name) AS first_text, MAX(r_name) AS last_text
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+UNION ALL
+SELECT 'products', COUNT(*), COUNT(DISTINCT p_partkey), CAST(SUM(p_partkey) AS BIGINT),
+  MIN(p_type), MAX(p_type)
+FROM part""",
+    "format_roundtrip": _stored_values(FORMATS),
+    "filtered_scan": _stored_values(
+        (*FORMATS, "parquet by region"), f"WHERE region = '{FILTER_REGION}'"
     ),
+    "versioned_scan": f"""WITH {_SALES}
+SELECT 'all' AS region, COUNT(*) AS n_rows FROM sales
+UNION ALL
+SELECT '{FILTER_REGION}', COUNT(*) FROM sales WHERE region = '{FILTER_REGION}'""",
     "clean_sales": f"""WITH {_DIRTY}
 SELECT order_id, user_id, event_timestamp, event_type, product_id, price,
        CAST(quantity AS INTEGER) AS quantity, region
@@ -134,13 +172,13 @@ FROM sales GROUP BY region, event_type""",
     "daily_event_counts": f"""WITH {_SALES}
 SELECT CAST(event_timestamp AS DATE) AS date, region, COUNT(order_id) AS event_count
 FROM sales GROUP BY 1, 2""",
-    "top_products": f"""WITH {_SALES}, {_LISTED},
+    "top_products": f"""WITH {_SALES}, {_PRODUCTS},
 best AS (
   SELECT product_id, SUM({_AMOUNT}) AS amount
   FROM sales WHERE event_type = 'R' GROUP BY product_id
 )
 SELECT product_id, CAST(amount AS DOUBLE) AS total_revenue, category, base_price
-FROM best LEFT JOIN listed USING (product_id)
+FROM best LEFT JOIN products USING (product_id)
 ORDER BY amount DESC, product_id LIMIT 10""",
     "user_region_revenue": f"""WITH {_SALES}
 SELECT user_id, region, {_REVENUE} AS user_revenue FROM sales GROUP BY user_id, region""",
@@ -229,32 +267,58 @@ SELECT CAST(2 AS BIGINT), {_N_MERGED}, CAST(9 AS INTEGER), '{_COLUMN_LIST},disco
 SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, COUNT(*) AS n_rows FROM evt
 UNION ALL SELECT CAST(1 AS BIGINT), 'EVOLVE', COUNT(*) FROM evt
 UNION ALL SELECT CAST(2 AS BIGINT), 'MERGE', {_N_MERGED}""",
-    "pipeline_revenue": f"""WITH {_EVT},
-sound AS (SELECT * FROM evt WHERE price > 0 AND quantity > 0),
-late AS (SELECT event_id AS late_id FROM sound ORDER BY event_id LIMIT {LATE_ROWS}),
-silver AS (
-  SELECT event_id, region, event_type, quantity,
-         {_PRICE} * CASE WHEN late_id IS NULL THEN CAST(1 AS DECIMAL(3,2))
-                         ELSE CAST({LATE_PRICE_FACTOR} AS DECIMAL(3,2)) END AS price
-  FROM sound LEFT JOIN late ON event_id = late_id
-)
-SELECT region, event_type,
-       CAST(SUM(price * CAST(quantity AS DECIMAL(9,0))) AS DOUBLE) AS total_revenue,
+    "pipeline_revenue": f"""WITH {_SILVER}
+SELECT region, event_type, CAST(SUM({_SILVER_AMOUNT}) AS DOUBLE) AS total_revenue,
        COUNT(event_id) AS event_count
 FROM silver GROUP BY region, event_type""",
-    "job_results": f"""WITH {_DAILY}, {_LISTED}
-SELECT 'agg_result' AS job, COUNT(*) AS n_rows
-FROM (SELECT DISTINCT region, event_type FROM sales)
+    "gold_daily_counts": f"""WITH {_SILVER}
+SELECT CAST(event_timestamp AS DATE) AS date, region, COUNT(event_id) AS event_count
+FROM silver GROUP BY 1, 2""",
+    "gold_top_products": f"""WITH {_SILVER}, {_PRODUCTS},
+best AS (
+  SELECT product_id, SUM({_SILVER_AMOUNT}) AS amount
+  FROM silver WHERE event_type = 'purchase' GROUP BY product_id
+)
+SELECT product_id, CAST(amount AS DOUBLE) AS total_revenue, category, base_price
+FROM best LEFT JOIN products USING (product_id)
+ORDER BY amount DESC, product_id LIMIT 10""",
+    "gold_rolling": f"""WITH {_SILVER},
+days AS (
+  SELECT region, CAST(event_timestamp AS DATE) AS date, SUM({_SILVER_AMOUNT}) AS amount
+  FROM silver GROUP BY 1, 2
+)
+SELECT region, date, CAST(amount AS DOUBLE) AS daily_revenue,
+       CAST(SUM(amount) OVER (PARTITION BY region ORDER BY date
+            ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_7d_revenue
+FROM days""",
+    "job_results": f"""WITH {_DAILY}, {_PRODUCTS},
+types AS (
+  SELECT region, event_type, {_REVENUE} AS revenue,
+         CAST(SUM({_PRICE}) AS DOUBLE) / COUNT(price) AS avg_price
+  FROM sales GROUP BY region, event_type
+),
+categories AS (
+  SELECT category, {_REVENUE} AS revenue
+  FROM sales LEFT JOIN products USING (product_id) GROUP BY category
+),
+users AS (SELECT user_id, region, {_REVENUE} AS revenue FROM sales GROUP BY user_id, region),
+ranked AS (
+  SELECT region, CAST(date AS VARCHAR) AS date,
+         CAST(SUM(amount) OVER (PARTITION BY region ORDER BY date
+              ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolled,
+         CAST(RANK() OVER (PARTITION BY date ORDER BY amount DESC) AS DOUBLE) AS place
+  FROM daily
+)
+SELECT 'region_types' AS job, region AS first_key, event_type AS second_key,
+       revenue AS figure, avg_price AS second_figure FROM types
 UNION ALL
-SELECT job, n_categories
-FROM (VALUES ('broadcast_join_result'), ('shuffle_join_result')) names(job)
-CROSS JOIN (
-  SELECT COUNT(*) AS n_categories
-  FROM (SELECT DISTINCT category FROM sales LEFT JOIN listed USING (product_id)))
+SELECT job, category, CAST(NULL AS VARCHAR), revenue, CAST(NULL AS DOUBLE)
+FROM categories
+CROSS JOIN (VALUES ('categories_by_broadcast'), ('categories_by_shuffle')) names(job)
 UNION ALL
-SELECT 'window_result', COUNT(*) FROM daily
+SELECT 'ranked_days', region, date, rolled, place FROM ranked
 UNION ALL
-SELECT job, n_users
-FROM (VALUES ('partition_2_result'), ('partition_4_result'), ('partition_8_result')) names(job)
-CROSS JOIN (SELECT COUNT(*) AS n_users FROM (SELECT DISTINCT user_id, region FROM sales))""",
+SELECT job, CAST(user_id AS VARCHAR), region, revenue, CAST(NULL AS DOUBLE)
+FROM users
+CROSS JOIN (VALUES ('users_in_2_ranges'), ('users_in_4_ranges'), ('users_in_8_ranges')) names(job)""",
 }

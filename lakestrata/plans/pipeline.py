@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ..functions import as_doubles
 from ..operators import (
     category_revenue,
     clean,
@@ -17,14 +17,11 @@ from ..operators import (
     region_type_stats,
     revenue_by_region_type,
     rolling_revenue,
+    sorted_revenue,
     top_products,
-    user_region_revenue,
+    user_region_totals,
 )
-from ..sources import VersionedTable, first_rows, scan, write_table
-
-LATE_ROWS = 1_000
-LATE_PRICE_FACTOR = 0.9
-LATE_DISCOUNT = 0.10
+from ..sources import VersionedTable, scan, write_table
 
 
 @dataclass(frozen=True)
@@ -40,12 +37,12 @@ class PipelineTables:
 # -- bronze ----------------------------------------------------------------
 
 
-def ingest_events(events: DataFrame, path: str) -> None:
+def store_events(events: DataFrame, path: str) -> None:
     """Store raw events in one folder per region."""
     write_table(events, path, partition_by=["region"])
 
 
-def ingest_dimensions(dimensions: Mapping[str, DataFrame], path: str) -> dict[str, str]:
+def store_dimensions(dimensions: Mapping[str, DataFrame], path: str) -> dict[str, str]:
     """Store each dimension table as it is; returns the folder of each."""
     folders = {name: f"{path}/{name}" for name in dimensions}
     for name, rows in dimensions.items():
@@ -61,22 +58,6 @@ def evolve_with_discount(table: VersionedTable) -> int:
     return table.add_column("discount", "double")
 
 
-def corrected(rows: DataFrame) -> DataFrame:
-    """Late rows: reduced price and a discount."""
-    return rows.withColumns(
-        {
-            "price": F.col("price") * F.lit(LATE_PRICE_FACTOR),
-            "discount": F.lit(LATE_DISCOUNT),
-        }
-    )
-
-
-def late_batch(table: VersionedTable, path: str, n: int = LATE_ROWS) -> DataFrame:
-    """The corrected first n events, stored as an arriving file would be."""
-    write_table(corrected(first_rows(table.current(), n, "event_id")), path)
-    return scan(table.spark, path)
-
-
 # -- gold ------------------------------------------------------------------
 
 
@@ -88,7 +69,7 @@ def gold_tables(
         "revenue_by_region_type": revenue_by_region_type(events),
         "daily_event_counts": daily_event_counts(events),
         "top_products": top_products(events, products, purchase),
-        "rolling_revenue": rolling_revenue(daily_revenue(events)),
+        "rolling_revenue": as_doubles(rolling_revenue(daily_revenue(events))),
     }
 
 
@@ -101,15 +82,18 @@ def run_pipeline(
     dimensions: Mapping[str, DataFrame],
     root: str,
     timestamp_type: str = "timestamp",
+    late: DataFrame | None = None,
 ) -> PipelineTables:
-    """Bronze, silver (clean, new column, late batch) and gold below ``root``.
+    """Bronze, silver (clean, new column, late rows) and gold below ``root``.
 
-    ``dimensions`` must hold ``products``. Each layer reads what the layer
-    before it has stored.
+    ``dimensions`` must hold ``products``. ``late`` are corrected or new events,
+    with the columns of the events and ``discount``; they are cleaned like the
+    others and merged in by ``event_id``. Without them no value is changed. Each
+    layer reads what the layer before it has stored.
     """
     bronze_events = f"{root}/bronze/events"
-    ingest_events(events, bronze_events)
-    folders = ingest_dimensions(dimensions, f"{root}/bronze")
+    store_events(events, bronze_events)
+    folders = store_dimensions(dimensions, f"{root}/bronze")
 
     silver = VersionedTable(spark, f"{root}/silver/events")
     # Bronze lies by region already, so cleaned rows are written as they come.
@@ -119,8 +103,9 @@ def run_pipeline(
         rebalance=False,
     )
     evolve_with_discount(silver)
-    batch = late_batch(silver, f"{root}/late/events")
-    silver.merge(batch, "event_id", partition_by=["region"])
+    if late is not None:
+        rows = clean(late, timestamp_type=timestamp_type)
+        silver.merge(rows, "event_id", partition_by=["region"])
 
     gold = {}
     results = gold_tables(silver.current(), scan(spark, folders["products"]))
@@ -136,16 +121,21 @@ def run_jobs(
     root: str,
     partition_counts: Sequence[int] = (2, 4, 8),
 ) -> dict[str, str]:
-    """Write the results of the aggregation, join, window and width jobs."""
-    daily = daily_revenue(events)
+    """Write the results of the aggregation, join, window and width jobs.
+
+    The revenue by user is summed once and stored; only its sort is done for
+    every width.
+    """
+    write_table(user_region_totals(events), f"{root}/user_totals")
+    totals = scan(events.sparkSession, f"{root}/user_totals")
     results = {
-        "agg_result": region_type_stats(events),
-        "broadcast_join_result": category_revenue(events, products, "broadcast"),
-        "shuffle_join_result": category_revenue(events, products, "shuffle"),
-        "window_result": rank_in_day(rolling_revenue(daily)),
+        "region_types": region_type_stats(events),
+        "categories_by_broadcast": category_revenue(events, products, "broadcast"),
+        "categories_by_shuffle": category_revenue(events, products, "shuffle"),
+        "ranked_days": as_doubles(rank_in_day(rolling_revenue(daily_revenue(events)))),
     }
     for n in partition_counts:
-        results[f"partition_{n}_result"] = user_region_revenue(events, n)
+        results[f"users_in_{n}_ranges"] = sorted_revenue(totals, n)
     folders = {name: f"{root}/{name}" for name in results}
     for name, result in results.items():
         write_table(result, folders[name])

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, revenue
+from ..functions import as_doubles, exact_sum, revenue
 from ..operators import (
     category_revenue,
     clean,
@@ -28,16 +28,23 @@ from ..operators import (
     top_products,
     user_region_revenue,
 )
-from ..sources import VersionedTable, first_rows, read_table, run_folder, scan, write_table
+from ..sources import (
+    VersionedTable,
+    first_rows,
+    raw_tables,
+    read_table,
+    run_folder,
+    scan,
+    write_table,
+)
 from . import views
 from .pipeline import (
-    corrected,
+    PipelineTables,
     evolve_with_discount,
-    ingest_dimensions,
-    ingest_events,
-    late_batch,
     run_jobs,
     run_pipeline,
+    store_dimensions,
+    store_events,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +52,11 @@ QUERIES: dict[str, Query] = {}
 
 FORMATS = ("parquet", "orc")
 FILTER_REGION = "ASIA"
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 2_000
+RAW_FILES = 3
+LATE_ROWS = 1_000
+LATE_PRICE_FACTOR = 0.9
+LATE_DISCOUNT = 0.10
 NEW_ID_OFFSET = 1_000_000_000_000
 SALES_REQUIRED = ("order_id", "user_id", "event_timestamp", "event_type")
 
@@ -75,25 +86,51 @@ def _stacked(parts: list[DataFrame]) -> DataFrame:
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales stored by region, then read back by partition discovery."""
     path = run_folder(spark, "bronze") + "/events"
-    ingest_events(views.sales(spark, sf_dir), path)
-    return (
-        scan(spark, path)
-        .groupBy("region")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            exact_sum(revenue()).alias("total_revenue"),
-        )
+    store_events(views.sales(spark, sf_dir), path)
+    return _region_totals(scan(spark, path))
+
+
+def _region_totals(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("region").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        exact_sum(revenue()).alias("total_revenue"),
     )
 
 
+def _dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {"users": views.users(spark, sf_dir), "products": views.products(spark, sf_dir)}
+
+
+@query
+def raw_glob_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales that arrive as several raw files, found by name and stored by region."""
+    root = run_folder(spark, "raw")
+    sales = views.sales(spark, sf_dir)
+    for i in range(RAW_FILES):
+        part = sales.filter(F.col("order_id") % RAW_FILES == i)
+        write_table(part, f"{root}/in/events_{i}.parquet")
+    for name, rows in _dimensions(spark, sf_dir).items():
+        write_table(rows, f"{root}/in/{name}.parquet")
+    events, _ = raw_tables(spark, f"{root}/in")
+    store_events(events, f"{root}/events")
+    return _region_totals(scan(spark, f"{root}/events"))
+
+
 @query
 def bronze_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dimension tables stored and read back."""
-    dimensions = {"users": views.users(spark, sf_dir), "products": views.products(spark, sf_dir)}
-    folders = ingest_dimensions(dimensions, run_folder(spark, "dims"))
+    """Rows, keys and the first and last text of the dimension tables as stored."""
+    folders = store_dimensions(_dimensions(spark, sf_dir), run_folder(spark, "dims"))
+    columns = {"users": ("user_id", "region"), "products": ("product_id", "category")}
     return _stacked(
         [
-            count_rows(scan(spark, path)).select(F.lit(name).alias("table_name"), "n_rows")
+            scan(spark, path).select(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.countDistinct(columns[name][0]).alias("n_keys"),
+                F.sum(columns[name][0]).alias("key_sum"),
+                F.min(columns[name][1]).alias("first_text"),
+                F.max(columns[name][1]).alias("last_text"),
+            )
             for name, path in folders.items()
         ]
     )
@@ -111,26 +148,52 @@ def _stored_copies(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return copies
 
 
-@query
-def format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count of the sales as stored in each format."""
-    copies = _stored_copies(spark, sf_dir)
+def _stored_values(copies: dict[str, DataFrame]) -> DataFrame:
+    """Figures that change if a format spoils a value."""
     return _stacked(
-        [count_rows(c).select(F.lit(f).alias("format"), "n_rows") for f, c in copies.items()]
+        [
+            rows.agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                exact_sum(revenue()).alias("total_revenue"),
+                exact_sum(F.col("price")).alias("total_price"),
+                F.min("event_timestamp").alias("first_time"),
+                F.max("event_timestamp").alias("last_time"),
+                F.countDistinct("order_id", "product_id", "user_id").alias("n_keys"),
+                F.countDistinct("region", "event_type").alias("n_groups"),
+            ).withColumn("format", F.lit(name))
+            for name, rows in copies.items()
+        ]
     )
 
 
+@query
+def format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of the sales as stored in each format."""
+    return _stored_values(_stored_copies(spark, sf_dir))
+
+
 @query
 def filtered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count of one region: row filter per format, and by folder."""
+    """Figures of one region: row filter per format, and by folder."""
     copies = _stored_copies(spark, sf_dir)
     by_region = run_folder(spark, "formats") + "/by_region"
     write_table(copies["parquet"], by_region, partition_by=["region"])
     copies["parquet by region"] = scan(spark, by_region)
+    return _stored_values(
+        {name: c.filter(F.col("region") == FILTER_REGION) for name, c in copies.items()}
+    )
+
+
+@query
+def versioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of a versioned table, whole and of one region."""
+    versioned = VersionedTable(spark, run_folder(spark, "scan"))
+    versioned.overwrite(views.sales(spark, sf_dir), partition_by=["region"])
+    current = versioned.current()
     return _stacked(
         [
-            count_rows(c, FILTER_REGION).select(F.lit(f).alias("format"), "n_rows")
-            for f, c in copies.items()
+            count_rows(current).select(F.lit("all").alias("region"), "n_rows"),
+            count_rows(current, FILTER_REGION).select(F.lit(FILTER_REGION).alias("region"), "n_rows"),
         ]
     )
 
@@ -161,7 +224,7 @@ def daily_event_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_products_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_products(views.sales(spark, sf_dir), views.listed_products(spark, sf_dir), "R")
+    return top_products(views.sales(spark, sf_dir), views.products(spark, sf_dir), "R")
 
 
 @query
@@ -176,29 +239,29 @@ def grand_totals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def category_revenue_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = views.listed_products(spark, sf_dir)
-    return category_revenue(views.sales(spark, sf_dir), listed, "broadcast")
+    products = views.products(spark, sf_dir)
+    return category_revenue(views.sales(spark, sf_dir), products, "broadcast")
 
 
 @query
 def category_revenue_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = views.listed_products(spark, sf_dir)
-    return category_revenue(views.sales(spark, sf_dir), listed, "shuffle")
+    products = views.products(spark, sf_dir)
+    return category_revenue(views.sales(spark, sf_dir), products, "shuffle")
 
 
 @query
 def rolling_revenue_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolling_revenue(daily_revenue(views.sales(spark, sf_dir)))
+    return as_doubles(rolling_revenue(daily_revenue(views.sales(spark, sf_dir))))
 
 
 @query
 def rolling_revenue_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolling_revenue(daily_revenue(views.sales(spark, sf_dir)), frame="days")
+    return as_doubles(rolling_revenue(daily_revenue(views.sales(spark, sf_dir)), frame="days"))
 
 
 @query
 def rank_in_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rank_in_day(daily_revenue(views.sales(spark, sf_dir)))
+    return as_doubles(rank_in_day(daily_revenue(views.sales(spark, sf_dir))))
 
 
 # -- features, scores and price paths ----------------------------------------
@@ -311,6 +374,16 @@ def evolve_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versioned.current().select("event_id", "price", "discount")
 
 
+def corrected(rows: DataFrame) -> DataFrame:
+    """Late rows: reduced price and a discount."""
+    return rows.withColumns(
+        {
+            "price": F.col("price") * F.lit(LATE_PRICE_FACTOR),
+            "discount": F.lit(LATE_DISCOUNT),
+        }
+    )
+
+
 @query
 def late_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A late batch of 1,000 corrected rows merged into the whole table."""
@@ -318,8 +391,8 @@ def late_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     versioned = VersionedTable(spark, f"{root}/events")
     versioned.overwrite(views.events(spark, sf_dir), partition_by=["region"])
     evolve_with_discount(versioned)
-    batch = late_batch(versioned, f"{root}/batch")
-    versioned.merge(batch, "event_id", partition_by=["region"])
+    first = first_rows(versioned.current(), LATE_ROWS, "event_id")
+    versioned.merge(corrected(first), "event_id", partition_by=["region"])
     return versioned.current().select("event_id", "price", "discount")
 
 
@@ -339,10 +412,7 @@ def _after_large_batch(spark: SparkSession, sf_dir: str) -> VersionedTable:
             F.when(is_new, F.col("event_id") + NEW_ID_OFFSET).otherwise(F.col("event_id")),
         )
     )
-    write_table(batch, f"{root}/batch")
-    versioned.merge(
-        scan(spark, f"{root}/batch"), "event_id", partition_by=["region"], rebalance=True
-    )
+    versioned.merge(batch, "event_id", partition_by=["region"])
     return versioned
 
 
@@ -369,31 +439,70 @@ def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- whole runs ----------------------------------------------------------------
 
 
-@query
-def pipeline_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events to curated revenue through all layers."""
-    tables = run_pipeline(
+def _run(spark: SparkSession, sf_dir: str) -> PipelineTables:
+    """All layers over the events; the late rows correct every sign-up."""
+    events = views.events(spark, sf_dir)
+    return run_pipeline(
         spark,
-        views.events(spark, sf_dir),
-        {"users": views.users(spark, sf_dir), "products": views.products(spark, sf_dir)},
+        events,
+        _dimensions(spark, sf_dir),
         run_folder(spark, "pipeline"),
         timestamp_type="timestamp_ntz",
+        late=corrected(events.filter(F.col("event_type") == "signup")),
     )
-    return tables.gold["revenue_by_region_type"].current()
+
+
+@query
+def pipeline_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events to curated revenue through all layers."""
+    return _run(spark, sf_dir).gold["revenue_by_region_type"].current()
+
+
+@query
+def gold_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir).gold["daily_event_counts"].current()
+
+
+@query
+def gold_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir).gold["top_products"].current()
+
+
+@query
+def gold_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir).gold["rolling_revenue"].current()
 
 
 @query
 def job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the stored results of the aggregation, join, window and
-    width jobs over sales that were stored first."""
+    """Stored values of the aggregation, join, window and width jobs over sales
+    that were stored first: the name of the job, its keys as text, its figures."""
     root = run_folder(spark, "jobs")
-    ingest_events(views.sales(spark, sf_dir), f"{root}/events")
+    store_events(views.sales(spark, sf_dir), f"{root}/events")
     folders = run_jobs(
-        scan(spark, f"{root}/events"), views.listed_products(spark, sf_dir), f"{root}/results"
-    )
-    return _stacked(
-        [
-            count_rows(scan(spark, path)).select(F.lit(name).alias("job"), "n_rows")
-            for name, path in folders.items()
-        ]
+        scan(spark, f"{root}/events"), views.products(spark, sf_dir), f"{root}/results"
     )
+    rolled = "rolling_7d_revenue"
+
+    def values(name: str) -> tuple[list[str], list[str]]:
+        if name == "region_types":
+            return ["region", "event_type"], ["total_revenue", "avg_price"]
+        if name == "ranked_days":
+            return ["region", "CAST(date AS STRING)"], [rolled, "CAST(rank_in_day AS DOUBLE)"]
+        if name.startswith("users_in_"):
+            return ["CAST(user_id AS STRING)", "region"], ["user_revenue", "CAST(NULL AS DOUBLE)"]
+        return ["category", "CAST(NULL AS STRING)"], ["revenue", "CAST(NULL AS DOUBLE)"]
+
+    parts = []
+    for name, path in folders.items():
+        (first_key, second_key), (figure, second) = values(name)
+        parts.append(
+            scan(spark, path).selectExpr(
+                f"'{name}' AS job",
+                f"{first_key} AS first_key",
+                f"{second_key} AS second_key",
+                f"{figure} AS figure",
+                f"{second} AS second_figure",
+            )
+        )
+    return _stacked(parts)

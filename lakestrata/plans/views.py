@@ -1,9 +1,10 @@
 """Views that give the input tables the columns the operators work on.
 
 Order lines and events meet one ready-made table, so the largest table is
-shuffled once. That join is hinted as sort-merge: Spark takes the product of the
-sizes for the size of a chain of joins, so without the hint it would take the
-largest table for the small side and broadcast it. Adaptive execution splits
+shuffled once. That join, and the one of orders with users, are hinted as
+sort-merge: Spark takes the product of the sizes for the size of a chain of joins,
+so without the hint it would take the larger table for the small side and
+broadcast it. Adaptive execution splits
 crowded keys in such a join. Nation and region are broadcast by their file size.
 """
 
@@ -11,22 +12,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..sources import scan
 
 _PRODUCT_COLUMNS = ("p_partkey AS product_id", "p_type AS category", "p_retailprice AS base_price")
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """An input table. Its files do not change during an application, so their
-    schema is looked up once; each look-up is a Spark job of its own."""
-    path = f"{sf_dir}/{name}.parquet"
-    known = (spark.sparkContext.applicationId, path)
-    if known not in _SCHEMAS:
-        _SCHEMAS[known] = scan(spark, path).schema
-    return spark.read.schema(_SCHEMAS[known]).parquet(path)
+    """An input table, with the columns that its files have now."""
+    return scan(spark, f"{sf_dir}/{name}.parquet")
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,17 +42,12 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(*_PRODUCT_COLUMNS)
 
 
-def listed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products of size 40 or less, so that some sold products are not listed."""
-    return table(spark, sf_dir, "part").filter("p_size <= 40").selectExpr(*_PRODUCT_COLUMNS)
-
-
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line; order_id is not unique."""
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS order_id", "o_custkey AS user_id"
     )
-    placed = orders.join(users(spark, sf_dir), "user_id")
+    placed = orders.join(users(spark, sf_dir).hint("merge"), "user_id")
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS order_id",
         "l_shipdate AS event_timestamp",

@@ -4,10 +4,13 @@
 per version: the columns of the version and the folders it consists of. The
 record is written last, so a write that dies half way leaves a folder nobody
 reads, and can simply be run again. ``overwrite`` writes the whole table,
-``append`` only the new rows, ``merge`` only the files that hold rows to replace
-(the record says which files of the older folders no longer count), and
-``add_column`` no rows at all. One writer at a time: two writers could both take
-the same version number.
+``append`` only the new rows, ``merge`` only the batch, and ``add_column`` no rows
+at all. One writer at a time: two writers could both take the same version number.
+
+A merged folder says by which keys it replaces rows: a reader takes the rows of
+the folders before it whose keys it does not hold, by an anti-join. So every merge
+costs each later read one more join with that batch, until ``overwrite`` with the
+current rows gathers the table.
 """
 
 from __future__ import annotations
@@ -15,47 +18,73 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NullType,
+    ShortType,
+    StructField,
+    StructType,
+)
 
-from ..operators.upsert import merge_upsert
+from ..operators.upsert import as_target_rows, reject_ambiguous
 from .tables import spread_for_write
 
-MAX_REWRITTEN_FILES = 10_000
-
 _RECORD = (
     "version bigint, committed_at timestamp, operation string, n_rows bigint, "
     "columns string, "
-    "folders array<struct<path: string, columns: string, without: array<string>>>"
+    "folders array<struct<path: string, columns: string, keys: array<string>>>"
 )
 
 
 @dataclass(frozen=True)
 class Folder:
-    """Files of one write, less those that a merge has replaced since."""
+    """Files of one write; with ``keys``, they replace earlier rows of those keys."""
 
     path: str
     columns: str
-    without: tuple[str, ...] = ()
-
-    def file_name(self) -> Column:
-        """Name of a row's file below the folder."""
-        return F.substring_index(F.col("_metadata.file_path"), f"{self.path}/", -1)
+    keys: tuple[str, ...] = ()
 
 
 def _folders(record: Row) -> list[Folder]:
-    return [Folder(f["path"], f["columns"], tuple(f["without"])) for f in record["folders"]]
+    return [Folder(f["path"], f["columns"], tuple(f["keys"])) for f in record["folders"]]
 
 
 def _schema(text: str) -> StructType:
     return StructType.fromJson(json.loads(text))
 
 
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
+
+
+def _keeps_all(given: DataType, known: DataType) -> bool:
+    """Whether every value of type ``given`` is one of type ``known``."""
+    if given.simpleString() == known.simpleString() or isinstance(given, NullType):
+        return True
+    if isinstance(known, _WHOLE):
+        return isinstance(given, _WHOLE[: _WHOLE.index(type(known))])
+    if isinstance(known, DoubleType):
+        return isinstance(given, (FloatType, ByteType, ShortType, IntegerType))
+    if isinstance(known, FloatType):
+        return isinstance(given, (ByteType, ShortType))
+    if isinstance(known, DecimalType) and isinstance(given, DecimalType):
+        return given.scale <= known.scale and (
+            given.precision - given.scale <= known.precision - known.scale
+        )
+    return False
+
+
 class VersionedTable:
     """Numbered versions 0, 1, 2, ... of one table below ``root``."""
 
@@ -89,16 +118,21 @@ class VersionedTable:
         partition_by: Sequence[str] = (),
     ) -> int:
         """Commit the current rows plus ``df``; columns absent on either side
-        are NULL there."""
+        are NULL there.
+
+        Names are compared as the session does. A column of another type than
+        the table's is cast if that loses nothing; else nothing is written and
+        ValueError is raised.
+        """
         latest = self._record()
         version = 0 if latest is None else latest["version"] + 1
-        folder = self._write_folder(df, version, partition_by, rebalance=True)
         if latest is None:
+            folder = self._write_folder(df, version, partition_by, rebalance=True)
             return self._commit(version, operation, df.schema, [folder], self._count(folder))
         known = _schema(latest["columns"])
-        columns = StructType(
-            [*known.fields, *(f for f in df.schema.fields if f.name not in known.names)]
-        )
+        df, added = self._fitted(df, known)
+        columns = StructType([*known.fields, *added])
+        folder = self._write_folder(df, version, partition_by, rebalance=True)
         folders = [*_folders(latest), folder]
         n_rows = latest["n_rows"] + self._count(folder)
         return self._commit(version, operation, columns, folders, n_rows)
@@ -111,7 +145,7 @@ class VersionedTable:
         """
         latest = self._latest()
         columns = _schema(latest["columns"])
-        if name in columns.names:
+        if self._same(name) in map(self._same, columns.names):
             raise ValueError(f"column {name} is already there")
         columns = StructType([*columns.fields, *StructType.fromDDL(f"{name} {data_type}").fields])
         return self._commit(
@@ -124,59 +158,26 @@ class VersionedTable:
         key: str | Sequence[str],
         operation: str = "MERGE",
         partition_by: Sequence[str] = (),
-        rebalance: bool = False,
-        max_rewritten_files: int = MAX_REWRITTEN_FILES,
+        rebalance: bool = True,
     ) -> int:
         """Commit the current rows with ``batch`` merged in by ``key``.
 
-        One pass over the key finds the files that hold rows to replace; only
-        those are read whole and written anew. If they are more than
-        ``max_rewritten_files``, the whole table is written. ``rebalance=True``
-        is for a batch so large that the join shuffles the table by its key.
+        A row whose key is in the batch is replaced by the batch row, NULLs
+        included; other batch rows are added; a NULL key matches nothing. Two
+        batch rows for one row raise ValueError. Only the batch is written. One
+        pass over the key columns counts the rows that it replaces.
         """
         keys = [key] if isinstance(key, str) else list(key)
         latest = self._latest()
-        columns, folders = _schema(latest["columns"]), _folders(latest)
-        places = [
-            self._scan(folder).select(
-                *keys, F.lit(i).alias("_folder"), folder.file_name().alias("_file")
-            )
-            for i, folder in enumerate(folders)
-        ]
-        touched = (
-            reduce(DataFrame.unionByName, places)
-            .join(batch.select(*keys), keys, "left_semi")
-            .select("_folder", "_file")
-            .distinct()
-            .limit(max_rewritten_files + 1)
-            .collect()
-        )
-        if len(touched) > max_rewritten_files:
-            merged = merge_upsert(self._rows(latest), batch, keys)
-            return self.overwrite(merged, operation, partition_by, rebalance)
-
-        files = [{t["_file"] for t in touched if t["_folder"] == i} for i in range(len(folders))]
-        replaced = reduce(
-            DataFrame.unionByName,
-            [
-                self._with_columns(
-                    self._scan(folder).filter(folder.file_name().isin(*names)), folder, columns
-                )
-                for folder, names in zip(folders, files)
-            ],
-        )
-        version = latest["version"] + 1
-        merged = merge_upsert(replaced, batch, keys)
-        new = self._write_folder(merged, version, partition_by, rebalance)
-        left = latest["n_rows"] - replaced.count()
-        kept = [
-            replace(folder, without=(*folder.without, *sorted(names)))
-            for folder, names in zip(folders, files)
-        ]
-        # Where every row lay in a touched file, the new folder is the table.
-        return self._commit(
-            version, operation, columns, [*kept, new] if left else [new], left + self._count(new)
-        )
+        columns, version = _schema(latest["columns"]), latest["version"] + 1
+        rows = as_target_rows(batch, columns)
+        written = self._write_folder(rows, version, partition_by, rebalance)
+        new = Folder(written.path, written.columns, tuple(keys))
+        incoming, current = self._scan(new), self._rows(latest)
+        reject_ambiguous(current, incoming, keys)
+        replaced = current.select(*keys).join(incoming.select(*keys), keys, "left_semi").count()
+        n_rows = latest["n_rows"] - replaced + self._count(new)
+        return self._commit(version, operation, columns, [*_folders(latest), new], n_rows)
 
     # -- reading ---------------------------------------------------------
 
@@ -217,6 +218,36 @@ class VersionedTable:
             )
         return reduce(DataFrame.unionByName, summaries)
 
+    # -- columns ---------------------------------------------------------
+
+    def _same(self, name: str) -> str:
+        """What two names have in common if the session takes them for one."""
+        sensitive = self.spark.conf.get("spark.sql.caseSensitive", "false")
+        return name if sensitive.lower() == "true" else name.lower()
+
+    def _fitted(self, df: DataFrame, known: StructType) -> tuple[DataFrame, list[StructField]]:
+        """``df`` with the names and types of the known columns, and its new ones."""
+        by_name = {self._same(f.name): f for f in known.fields}
+        seen: set[str] = set()
+        picked, added = [], []
+        for field in df.schema.fields:
+            same = self._same(field.name)
+            if same in seen:
+                raise ValueError(f"column {field.name} is there twice")
+            seen.add(same)
+            into = by_name.get(same)
+            if into is None:
+                added.append(field)
+                picked.append(F.col(field.name))
+            elif _keeps_all(field.dataType, into.dataType):
+                picked.append(F.col(field.name).cast(into.dataType).alias(into.name))
+            else:
+                raise ValueError(
+                    f"column {field.name} is {field.dataType.simpleString()}, in the table "
+                    f"{into.dataType.simpleString()}"
+                )
+        return df.select(*picked), added
+
     # -- layout ----------------------------------------------------------
 
     def _records(self) -> DataFrame | None:
@@ -244,8 +275,17 @@ class VersionedTable:
 
     def _rows(self, record: Row) -> DataFrame:
         columns = _schema(record["columns"])
-        parts = [self._with_columns(self._scan(f), f, columns) for f in _folders(record)]
-        return reduce(DataFrame.unionByName, parts)
+        rows = None
+        for folder in _folders(record):
+            part = self._with_columns(self._scan(folder), folder, columns)
+            if rows is None:
+                rows = part
+                continue
+            if folder.keys:
+                keys = self._scan(folder).select(*folder.keys)
+                rows = rows.join(keys, list(folder.keys), "left_anti").select(*columns.names)
+            rows = rows.unionByName(part)
+        return rows
 
     def _write_folder(
         self, df: DataFrame, version: int, partition_by: Sequence[str], rebalance: bool
@@ -261,11 +301,9 @@ class VersionedTable:
     def _scan(self, folder: Folder) -> DataFrame:
         # With the recorded schema, partition values keep their type; inference
         # would turn a region named "7" into a number.
-        rows = self.spark.read.schema(_schema(folder.columns)).parquet(
+        return self.spark.read.schema(_schema(folder.columns)).parquet(
             f"{self.root}/{folder.path}"
         )
-        # A condition on the file name leaves the other files unread.
-        return rows.filter(~folder.file_name().isin(*folder.without)) if folder.without else rows
 
     def _with_columns(self, rows: DataFrame, folder: Folder, columns: StructType) -> DataFrame:
         """All columns of a version, in order; NULL where the folder lacks one."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,10 @@ from pyspark.sql import SparkSession
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies under the session's ``spark.checkpoint.dir``. Where that is unset,
-    only a local session gets a temporary folder; a cluster must name one.
+    It lies under the session's ``spark.checkpoint.dir``, or under its warehouse
+    where that is unset; a cluster shares both.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="lakestrata-")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/lakestrata/{name}-{uuid.uuid4().hex}"

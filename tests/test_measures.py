@@ -10,7 +10,15 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakestrata.functions import exact_avg, exact_sum, fits_broadcast, measured_bytes, nan_to_null
+from lakestrata.functions import (
+    as_doubles,
+    exact_avg,
+    exact_sum,
+    fits_broadcast,
+    measured_bytes,
+    nan_to_null,
+)
+from lakestrata.operators import category_revenue, daily_revenue, rank_in_day, rolling_revenue
 
 
 def total(spark, values):
@@ -87,3 +95,37 @@ def test_broadcast_only_within_the_measured_size(spark):
 @pytest.mark.parametrize("empty", [True])
 def test_empty_table_fits(spark, empty):
     assert fits_broadcast(spark.range(0), 0) is empty
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_large_totals_are_exact_for_any_partitioning(spark, strategy):
+    rows = spark.range(60_000).select(
+        (F.col("id") % 7).cast("int").alias("product_id"),
+        (F.lit(6e11) + F.col("id") * 0.25).alias("price"),
+        F.lit(1).alias("quantity"),
+        F.lit("r").alias("region"),
+        F.expr("timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 3 as int))").alias(
+            "event_timestamp"
+        ),
+    )
+    wanted = sum(Decimal(6 * 10**11) + Decimal(i) / 4 for i in range(60_000))
+    products = spark.createDataFrame(
+        [(i, "all", 1.0) for i in range(7)], "product_id int, category string, base_price double"
+    )
+    for n in (3, 7, 11):
+        spread = rows.repartition(n)
+        assert category_revenue(spread, products, strategy).first().revenue == float(wanted)
+        days = rolling_revenue(daily_revenue(spread))
+        assert max(r.rolling_7d_revenue.exact for r in days.collect()) == wanted
+        last = as_doubles(rank_in_day(days)).orderBy(F.desc("date")).first()
+        assert (last.rolling_7d_revenue, last.rank_in_day) == (float(wanted), 1)
+
+
+def test_rank_tells_totals_apart_that_are_equal_as_doubles(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('a', date'2024-01-01', named_struct('exact', "
+        "CAST('10000000000000000.0001' AS DECIMAL(38,4)), 'rest', CAST(NULL AS DOUBLE))), "
+        "('b', date'2024-01-01', named_struct('exact', CAST('10000000000000000.0002' AS "
+        "DECIMAL(38,4)), 'rest', CAST(NULL AS DOUBLE))) AS t(region, date, daily_revenue)"
+    )
+    assert {r.region: r.rank_in_day for r in rank_in_day(rows).collect()} == {"a": 2, "b": 1}

@@ -56,6 +56,8 @@ def test_no_product_of_tables_and_no_python(cautious, name):
 def test_fact_table_is_never_the_broadcast_side(spark):
     text = plan(views.sales(spark, SF_DIR))
     assert "SortMergeJoin [order_id" in text
+    assert "SortMergeJoin [user_id" in text
+    assert "BuildLeft" not in text
     assert "BuildLeft" not in plan(views.events(spark, SF_DIR))
 
 

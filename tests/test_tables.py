@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import exact_sum, revenue
 from lakestrata.plans import run_jobs, run_pipeline
+from lakestrata.plans.queries import corrected
 from lakestrata.sources import (
     first_rows,
+    key_bound,
     raw_tables,
     read_table,
     run_folder,
@@ -68,7 +70,7 @@ def test_raw_folder_through_the_pipeline(spark, tmp_path):
     assert dict(current.dtypes)["event_timestamp"] == "timestamp"
     assert current.count() == 60
     rows = [tuple(r) for r in tables.silver.history().drop("committed_at").collect()]
-    assert rows == [(0, "WRITE", 60), (1, "EVOLVE", 60), (2, "MERGE", 60)]
+    assert rows == [(0, "WRITE", 60), (1, "EVOLVE", 60)]
 
 
 def test_region_folders_and_partition_discovery(spark, tmp_path):
@@ -114,26 +116,38 @@ def test_first_rows_are_the_smallest_keys(spark, n):
 
 def test_first_rows_bound_reaches_the_scan(spark, tmp_path):
     write_table(many_events(spark), str(tmp_path / "t"))
-    sample = first_rows(scan(spark, str(tmp_path / "t")), 5, "event_id")
-    assert "LessThanOrEqual(event_id,7)" in sample._jdf.queryExecution().toString()
+    stored = scan(spark, str(tmp_path / "t"))
+    bound = key_bound(stored, 5, "event_id")
+    sample = first_rows(stored, 5, "event_id")
+    assert f"LessThanOrEqual(event_id,{bound})" in sample._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("far", [0, 10**18])
+def test_few_rows_pass_the_bound_beside_an_outlier(spark, far):
+    crowd = spark.range(10**15, 10**15 + 200_000).select(F.col("id").alias("k"))
+    keys = crowd.unionByName(spark.range(far, far + 1).select(F.col("id").alias("k")))
+    bound = key_bound(keys, 50, "k")
+    assert 50 <= keys.filter(F.col("k") <= bound).count() <= 200
+    assert first_rows(keys, 50, "k").count() == 50
+    assert key_bound(keys.limit(0), 50, "k") is None
 
 
 def test_run_folder_is_fresh_and_in_the_shared_folder(spark):
     first, second = run_folder(spark, "x"), run_folder(spark, "x")
     assert first != second
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        assert first.startswith(shared.rstrip("/"))
+    assert first.startswith((shared or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/"))
 
 
 def test_pipeline_layers(spark, tmp_path):
     raw = many_events(spark).unionByName(events(spark, event(900, price=0.0), event(901, user_id=None)))
     products = spark.createDataFrame([(i, "abc"[i % 3], float(i)) for i in range(4)], PRODUCTS)
-    tables = run_pipeline(spark, raw, {"products": products}, str(tmp_path))
+    late = corrected(many_events(spark)).unionByName(corrected(events(spark, event(950, price=0.0))))
+    tables = run_pipeline(spark, raw, {"products": products}, str(tmp_path), late=late)
     assert scan(spark, tables.bronze_events).count() == 62
     assert tables.silver.as_of(0).count() == 60
     current = tables.silver.current()
-    assert current.filter("discount = 0.1").count() == 60
+    assert current.count() == current.filter("discount = 0.1").count() == 60
     assert set(tables.gold) == {
         "revenue_by_region_type", "daily_event_counts", "top_products", "rolling_revenue",
     }
@@ -144,6 +158,14 @@ def test_pipeline_layers(spark, tmp_path):
     assert tables.gold["top_products"].current().count() == 5
 
 
+def test_pipeline_without_late_rows_changes_no_price(spark, tmp_path):
+    raw = many_events(spark)
+    products = spark.createDataFrame([(i, "abc"[i % 3], float(i)) for i in range(4)], PRODUCTS)
+    silver = run_pipeline(spark, raw, {"products": products}, str(tmp_path)).silver.current()
+    assert tuples(silver, "event_id", "price") == tuples(raw, "event_id", "price")
+    assert silver.filter("discount IS NOT NULL").count() == 0
+
+
 def test_job_outputs_and_untouched_session(spark, tmp_path):
     names = ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
     before = [spark.conf.get(n) for n in names]
@@ -152,12 +174,14 @@ def test_job_outputs_and_untouched_session(spark, tmp_path):
     folders = run_jobs(df, products, str(tmp_path))
     assert [spark.conf.get(n) for n in names] == before
     stored = {name: scan(spark, path) for name, path in folders.items()}
-    assert tuples(stored["broadcast_join_result"]) == tuples(stored["shuffle_join_result"])
-    assert stored["agg_result"].count() == 6
-    assert stored["window_result"].columns == [
+    assert tuples(stored["categories_by_broadcast"]) == tuples(
+        stored["categories_by_shuffle"]
+    )
+    assert stored["region_types"].count() == 6
+    assert stored["ranked_days"].columns == [
         "region", "date", "daily_revenue", "rolling_7d_revenue", "rank_in_day",
     ]
-    widths = [tuples(stored[f"partition_{n}_result"]) for n in (2, 4, 8)]
+    widths = [tuples(stored[f"users_in_{n}_ranges"]) for n in (2, 4, 8)]
     assert widths[0] == widths[1] == widths[2]
     total = df.agg(exact_sum(revenue())).first()[0]
-    assert stored["agg_result"].selectExpr("sum(total_revenue)").first()[0] == total
+    assert stored["region_types"].selectExpr("sum(total_revenue)").first()[0] == total

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lakestrata.operators import merge_upsert
 from lakestrata.plans.pipeline import evolve_with_discount
 from lakestrata.sources import VersionedTable
-from lakestrata.sources.versions import _folders
 
 from rows import event, events, tuples
 
@@ -81,7 +80,7 @@ def test_append_to_nothing_is_version_zero(spark, versioned):
     assert versioned.append(some_events(spark)) == 0
 
 
-def test_merge_writes_only_files_with_rows_to_replace(spark, versioned):
+def test_merge_after_merge(spark, versioned):
     df = events(spark, *(event(i, region=f"region {i % 5}") for i in range(100)))
     versioned.overwrite(df, partition_by=["region"])
     versioned.add_column("discount", "double")
@@ -96,8 +95,7 @@ def test_merge_writes_only_files_with_rows_to_replace(spark, versioned):
     before = set(Path(versioned.root).glob("data/**/*.parquet"))
     versioned.merge(batch, "event_id", partition_by=["region"])
     new = set(Path(versioned.root).glob("data/**/*.parquet")) - before
-    assert {p.parent.name for p in new} == {"region=region 3", "region=region 4"}
-    assert spark.read.parquet(*map(str, new)).count() == 21
+    assert spark.read.parquet(*map(str, new)).count() == 3
     current = versioned.current()
     assert current.count() == current.select("event_id").distinct().count() == 101
     assert tuples(current.filter("discount = 0.1"), "event_id", "price") == [(3, 1.0), (8, 1.0)]
@@ -108,31 +106,69 @@ def test_merge_writes_only_files_with_rows_to_replace(spark, versioned):
     batch = versioned.current().filter("event_id in (3, 50)").withColumn("price", F.lit(2.0))
     versioned.merge(batch, "event_id", partition_by=["region"])
     versioned.merge(batch.withColumn("event_id", F.col("event_id") + 2000), "event_id")
+    versioned.append(some_events(spark, 2).withColumn("event_id", F.col("event_id") + 5000))
     current = versioned.current()
-    assert current.count() == current.select("event_id").distinct().count() == 103
+    assert current.count() == current.select("event_id").distinct().count() == 105
     assert tuples(current.filter("price = 2.0"), "event_id") == [(2003,), (2050,), (3,), (50,)]
-    assert [r.n_rows for r in versioned.history().collect()] == [100, 100, 101, 101, 103]
+    assert [r.n_rows for r in versioned.history().collect()] == [100, 100, 101, 101, 103, 105]
+    versioned.overwrite(versioned.current())
+    assert len(versioned._record()["folders"]) == 1
+    assert tuples(versioned.current()) == tuples(versioned.as_of(5))
 
 
-def test_merge_with_too_many_files_writes_the_table(spark, versioned):
-    versioned.overwrite(some_events(spark), partition_by=["region"])
-    batch = versioned.current().filter("event_id < 2").withColumn("price", F.lit(1.0))
-    versioned.merge(batch, "event_id", partition_by=["region"], max_rewritten_files=1)
-    assert versioned.current().count() == 20
-    assert versioned.current().filter("price = 1.0").count() == 2
-    assert len(versioned._record()["folders"]) == 1
+def test_merge_by_null_and_several_keys(spark, versioned):
+    df = events(spark, event(1), event(None), event(2, user_id=None))
+    versioned.overwrite(df)
+    batch = events(spark, event(None, price=9.0), event(1, price=9.0), event(2, user_id=None, price=9.0))
+    versioned.merge(batch, ["event_id", "user_id"])
+    found = sorted((str(r.event_id), r.price == 9.0) for r in versioned.current().collect())
+    assert found == [
+        ("1", True), ("2", False), ("2", True), ("None", False), ("None", True),
+    ]
+    assert versioned.history().orderBy(F.desc("version")).first().n_rows == 5
 
 
-def test_replaced_files_are_not_read(spark, versioned):
+def test_record_does_not_grow_with_files_and_no_path_is_shuffled(spark, versioned):
     df = events(spark, *(event(i, region=f"r{i % 5}") for i in range(100)))
-    versioned.overwrite(df, partition_by=["region"])
-    batch = versioned.current().filter("event_id = 3").withColumn("price", F.lit(1.0))
-    versioned.merge(batch, "event_id", partition_by=["region"])
-    old = versioned._scan(_folders(versioned._record())[0])
-    old.collect()
-    plan = old._jdf.queryExecution().executedPlan()
-    scans = plan.collectLeaves().head().metrics()
-    assert scans.apply("numFiles").value() == 4
+    versioned.overwrite(df.repartition(10), partition_by=["region"])
+    versioned.merge(versioned.current().withColumn("price", F.lit(1.0)), "event_id")
+    record = versioned._record()
+    assert [sorted(f.asDict()) for f in record["folders"]] == [["columns", "keys", "path"]] * 2
+    assert record["n_rows"] == 100
+    plan = versioned.current()._jdf.queryExecution().toString()
+    assert "file_path" not in plan and "_metadata" not in plan
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda df: df.withColumn("price", F.current_date()),
+        lambda df: df.withColumn("price", F.lit("abc")),
+        lambda df: df.withColumn("quantity", F.col("quantity").cast("bigint")),
+        lambda df: df.withColumn("event_id", F.col("event_id").cast("double")),
+    ],
+)
+def test_append_refuses_what_it_cannot_keep(spark, versioned, change):
+    versioned.overwrite(some_events(spark))
+    written = set(Path(versioned.root).glob("data/*"))
+    with pytest.raises(ValueError, match="in the table"):
+        versioned.append(change(some_events(spark)))
+    assert versioned.latest_version() == 0
+    assert set(Path(versioned.root).glob("data/*")) == written
+    assert versioned.current().count() == 20
+
+
+def test_append_casts_and_names_as_the_session_does(spark, versioned):
+    versioned.overwrite(some_events(spark))
+    narrow = some_events(spark, 3).withColumn("price", F.lit(5).cast("int"))
+    versioned.append(narrow.withColumnRenamed("price", "Price").withColumn("note", F.lit("x")))
+    current = versioned.current()
+    assert current.columns == [*some_events(spark).columns, "note"]
+    assert dict(current.dtypes)["price"] == "double"
+    assert current.filter("price = 5").count() == 3
+    with pytest.raises(ValueError, match="already"):
+        versioned.add_column("Price", "double")
+    assert versioned.latest_version() == 1
 
 
 def test_two_batch_rows_for_one_key_raise(spark, versioned):
