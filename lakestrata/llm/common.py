@@ -17,7 +17,7 @@ SPACES = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACES}]+"
 _LETTERS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 BLOCK_BYTES = 4 << 20
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 17
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -51,6 +51,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def raw_bytes(value: pa.Scalar) -> bytes:
+    """The bytes of a string or binary value; none for NULL."""
+    return value.as_buffer().to_pybytes() if value.is_valid else b""
+
+
+def small_batches(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batch in parts, so that what is made from it stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def row_blocks(at: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``limit`` bytes each; a longer row is a run of its own."""
     first, rows = 0, len(at) - 1

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KNOWN_WORDS, stored
+from .common import KNOWN_WORDS, raw_bytes, stored
 
 # Units that turn into a placeholder right after a number.
 UNITS = (
@@ -154,8 +154,7 @@ def template_windows(
         for batch in batches:
             row, pos, total, h, slots = [], [], [], [], []
             for i, text in enumerate(batch.column(len(ids))):
-                data = b"" if text.as_py() is None else text.as_buffer().to_pybytes()
-                found, count = _windows_of(data, n, codes, filter_)
+                found, count = _windows_of(raw_bytes(text), n, codes, filter_)
                 for p, value, values in found:
                     row.append(i)
                     pos.append(p)

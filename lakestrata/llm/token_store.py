@@ -30,8 +30,8 @@ from . import dac
 from .common import row_blocks, text_bytes
 
 SEGMENT_IDS = 1 << 18
-KNOWN_PIECES = 1 << 19
-ENCODED_AT_ONCE = 8 << 20
+KNOWN_PIECES = 1 << 18
+ENCODED_AT_ONCE = 4 << 20
 WORDS_A_TEXT = 100
 _SEGMENT = (
     "shard int, segment int, first long, n_ids int, codes binary, "

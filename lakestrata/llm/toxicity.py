@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, words_of
+from .common import WordHashes, raw_bytes, small_batches, words_of
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _BITS = 22
@@ -27,7 +27,7 @@ class FtrlSettings:
     l2: float = 0.1
     epochs: int = 3
     min_docs: int = 5
-    sample_rows: int = 20_000
+    sample_rows: int = 12_000
 
 
 @dataclass(frozen=True)
@@ -49,39 +49,53 @@ def features(text: bytes, known: WordHashes) -> np.ndarray:
     return np.concatenate([p >> shift for p in parts]).astype(np.uint32)
 
 
-def _fit(texts: list[bytes], labels: np.ndarray, s: FtrlSettings) -> ToxicityModel:
-    """One pass after the other over the sample, in the given order."""
-    known = WordHashes()
-    met = np.zeros(1 << _BITS, np.uint32)
-    rows = []
-    for text in texts:
-        found = np.unique(features(text, known))
-        np.add.at(met, np.unique(found >> np.uint32(32 - _BITS)), 1)
-        rows.append(found)
-    kept = [r[met[r >> np.uint32(32 - _BITS)] >= s.min_docs] for r in rows]
-    keys = np.unique(np.concatenate([*kept, np.zeros(0, np.uint32)]))
-    # The last coordinate is the bias, present in every row.
-    kept = [np.append(np.searchsorted(keys, r), len(keys)) for r in kept]
-    z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
-    l1 = np.full(len(keys) + 1, s.l1)
-    l1[-1] = 0.0
-
-    def weights(at: np.ndarray | slice) -> np.ndarray:
-        over = np.abs(z[at]) - l1[at]
-        rate = (s.beta + np.sqrt(n[at])) / s.alpha + s.l2
-        return np.where(over > 0, -np.sign(z[at]) * over / rate, 0.0)
-
-    for _ in range(s.epochs):
-        for at, label in zip(kept, labels):
-            w = weights(at)
-            p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35)))
-            g = p - label
-            sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / s.alpha
-            z[at] += g - sigma * w
-            n[at] += g * g
-    w = weights(slice(None))
-    used = np.flatnonzero(w[:-1])
-    return ToxicityModel(keys[used], w[used].astype(np.float32), float(w[-1]))
+class _Sample:
+    """Distinct features and label of each row of a fit; texts are not kept."""
+
+    def __init__(self) -> None:
+        self.known = WordHashes()
+        self.met = np.zeros(1 << _BITS, np.uint32)
+        self.rows: list[np.ndarray] = []
+        self.labels: list[float] = []
+
+    def add(self, text: bytes, label: float) -> None:
+        found = np.unique(features(text, self.known))
+        np.add.at(self.met, np.unique(found >> np.uint32(32 - _BITS)), 1)
+        self.rows.append(found)
+        self.labels.append(label)
+
+    def fit(self, s: FtrlSettings) -> ToxicityModel:
+        """One pass after the other over the rows, in their order."""
+        often = self.met >= s.min_docs
+        for i, found in enumerate(self.rows):
+            self.rows[i] = found[often[found >> np.uint32(32 - _BITS)]]
+        keys = np.zeros(0, np.uint32)
+        for i in range(0, len(self.rows), 1000):
+            keys = np.unique(np.concatenate([keys, *self.rows[i : i + 1000]]))
+        # The last coordinate is the bias, present in every row.
+        places = [
+            np.append(np.searchsorted(keys, r), len(keys)).astype(np.int32) for r in self.rows
+        ]
+        z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
+        l1 = np.full(len(keys) + 1, s.l1)
+        l1[-1] = 0.0
+
+        def weights(at: np.ndarray | slice) -> np.ndarray:
+            over = np.abs(z[at]) - l1[at]
+            rate = (s.beta + np.sqrt(n[at])) / s.alpha + s.l2
+            return np.where(over > 0, -np.sign(z[at]) * over / rate, 0.0)
+
+        for _ in range(s.epochs):
+            for at, label in zip(places, self.labels):
+                w = weights(at)
+                p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35)))
+                g = p - label
+                sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / s.alpha
+                z[at] += g - sigma * w
+                n[at] += g * g
+        w = weights(slice(None))
+        used = np.flatnonzero(w[:-1])
+        return ToxicityModel(keys[used], w[used].astype(np.float32), float(w[-1]))
 
 
 def train_toxicity(
@@ -117,11 +131,11 @@ def train_toxicity(
     )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, marks = [], []
+        sample = _Sample()
         for batch in batches:
-            texts += [(t or "").encode() for t in batch.column(2).to_pylist()]
-            marks += batch.column(3).to_pylist()
-        model = _fit(texts, np.array(marks, float), s)
+            for text, label in zip(batch.column(2), batch.column(3).to_pylist()):
+                sample.add(raw_bytes(text), float(label))
+        model = sample.fit(s)
         yield pa.record_batch(
             [
                 pa.array(np.append(model.keys.astype(np.int64), -1)),
@@ -174,11 +188,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(held.value)
         for batch in batches:
-            scores = [scorer(b"" if t is None else t.as_buffer().to_pybytes()) for t in batch.column(at)]
-            yield pa.record_batch(
-                [*batch.columns, pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "toxicity"],
-            )
+            for part in small_batches(batch):
+                scores = [scorer(raw_bytes(t)) for t in part.column(at)]
+                yield pa.record_batch(
+                    [*part.columns, pa.array(scores, pa.float64())],
+                    names=[*part.schema.names, "toxicity"],
+                )
 
     schema = docs.select("*", F.lit(0.0).cast("double").alias("toxicity")).schema
     return docs.mapInArrow(score, schema)
