@@ -31,6 +31,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix``, made longer until no column of ``df`` begins with it."""
+    names = [c.lower() for c in df.columns]
+    while any(c.startswith(prefix.lower()) for c in names):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def fold(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo ``n``; a NULL key counts as empty text."""
     text = F.coalesce(key.cast("string"), F.lit(""))

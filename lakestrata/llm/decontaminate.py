@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KNOWN_WORDS, raw_bytes, stored
+from .common import KNOWN_WORDS, free_prefix, raw_bytes, stored
 
 # Units that turn into a placeholder right after a number.
 UNITS = (
@@ -253,12 +253,13 @@ def drop_leaks(
     docs: DataFrame, benchmark: DataFrame, settings: LeakSettings = LeakSettings()
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns."""
+    leak = free_prefix(docs, "leak_")
     leaks = (
         benchmark_leaks(docs, benchmark, settings)
-        .select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash"))
+        .select(F.col("doc_id").alias(f"{leak}id"), F.col("text_hash").alias(f"{leak}hash"))
         .distinct()
     )
-    same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (
-        F.xxhash64("text") == F.col("leak_hash")
+    same = F.col("doc_id").eqNullSafe(F.col(f"{leak}id")) & (
+        F.xxhash64("text") == F.col(f"{leak}hash")
     )
     return docs.join(leaks, same, "left_anti")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, row_blocks, text_bytes
+from .common import LOWER, free_prefix, row_blocks, text_bytes
 
 # Languages by family, as ISO 639 codes. Others make up a family.
 FAMILIES = {
@@ -275,4 +275,4 @@ def identify_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     schema = docs.select(
         "*", F.lit("").alias("lang_pred"), F.lit(0.0).cast("double").alias("lang_score")
     ).schema
-    return docs.withColumn("_has_letter", lettered).mapInArrow(predict, schema)
+    return docs.withColumn(free_prefix(docs, "has_letter"), lettered).mapInArrow(predict, schema)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, WORD, stored
+from .common import SPACES, WORD, free_prefix, stored
 
 WEIGHTS = (1.0, 2.0, 3.0)
 _GOLDEN, _CIRCLE = 1_327_217_885, 1 << 31  # golden ratio of 2^31, made odd
@@ -258,24 +258,25 @@ def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     A row that is taken in part keeps the words that are taken, joined by single
     spaces; ``n_chars``, if there, is then their length.
     """
-    names = docs.columns
+    names, mark = docs.columns, free_prefix(docs, "mix_")
+    row, size, begin, stop = (f"{mark}{c}" for c in ("row", "size", "begin", "stop"))
     parts = mix.pieces.groupBy("doc_id", "row_hash", "copy", "start", "round").agg(
-        F.min("begin").alias("mix_begin"), F.max("stop").alias("mix_stop")
+        F.min("begin").alias(begin), F.max("stop").alias(stop)
     )
     parts = parts.select(
-        F.col("doc_id").alias("mix_id"), F.col("row_hash").alias("mix_hash"), "mix_begin", "mix_stop"
+        F.col("doc_id").alias(f"{mark}id"), F.col("row_hash").alias(f"{mark}hash"), begin, stop
     )
     texts = docs.withColumns(
-        {"mix_row": F.xxhash64(*names), "mix_size": word_count(F.col("text"))}
-    ).dropDuplicates(["mix_row", "doc_id"])
-    same = (F.col("mix_row") == F.col("mix_hash")) & F.col("doc_id").eqNullSafe(F.col("mix_id"))
-    whole = (F.col("mix_begin") == 0) & (F.col("mix_stop") == F.col("mix_size"))
+        {row: F.xxhash64(*names), size: word_count(F.col("text"))}
+    ).dropDuplicates([row, "doc_id"])
+    same = (F.col(row) == F.col(f"{mark}hash")) & F.col("doc_id").eqNullSafe(F.col(f"{mark}id"))
+    whole = (F.col(begin) == 0) & (F.col(stop) == F.col(size))
     words = F.filter(F.split("text", f"[{SPACES}]+"), lambda w: w != "")
     some = F.array_join(
         F.slice(
             words,
-            (F.col("mix_begin") + 1).cast("int"),
-            (F.col("mix_stop") - F.col("mix_begin")).cast("int"),
+            (F.col(begin) + 1).cast("int"),
+            (F.col(stop) - F.col(begin)).cast("int"),
         ),
         " ",
     )

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, raw_bytes, small_batches, words_of
+from .common import WordHashes, free_prefix, raw_bytes, small_batches, words_of
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _BITS = 22
@@ -175,13 +175,13 @@ class _Scorer:
         return 1.0 / (1.0 + float(np.exp(-np.clip(total, -35, 35))))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """All columns of ``docs`` and ``toxicity``, the probability of label 1.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, name: str = "toxicity") -> DataFrame:
+    """All columns of ``docs`` and ``name``, the probability of label 1.
 
     Every row is scored from its whole ``text`` alone; NULL and empty texts get
-    the bias. A column ``toxicity`` of ``docs`` is replaced.
+    the bias. A column ``name`` of ``docs`` is replaced.
     """
-    docs = docs.drop("toxicity")
+    docs = docs.drop(name)
     at = docs.columns.index("text")
     held = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -192,12 +192,18 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 scores = [scorer(raw_bytes(t)) for t in part.column(at)]
                 yield pa.record_batch(
                     [*part.columns, pa.array(scores, pa.float64())],
-                    names=[*part.schema.names, "toxicity"],
+                    names=[*part.schema.names, name],
                 )
 
-    schema = docs.select("*", F.lit(0.0).cast("double").alias("toxicity")).schema
+    schema = docs.select("*", F.lit(0.0).cast("double").alias(name)).schema
     return docs.mapInArrow(score, schema)
 
 
-def is_toxic() -> Column:
-    return F.col("toxicity") >= 0.5
+def is_toxic(name: str = "toxicity") -> Column:
+    return F.col(name) >= 0.5
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows of ``docs`` that the model does not call toxic, with their columns."""
+    name = free_prefix(docs, "toxicity")
+    return score_toxicity(docs, model, name).filter(~is_toxic(name)).select(*docs.columns)

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lakestrata.llm import repeats, suffix
+from lakestrata.llm.repeats import remove_repeats
+
+
+def brute(rows, length=200):
+    texts = [(t or "").encode() for _, t in rows]
+    seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for (doc, _), t in zip(rows, texts):
+        gone = [False] * len(t)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = [True] * length
+        spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        out.append((doc, len(t), sum(gone), spans, bytes(b for b, g in zip(t, gone) if not g)))
+    return Counter(out)
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choices("abcdeé", k=rng.randint(1, 9))) for _ in range(n))
+
+
+def some_rows():
+    rng = random.Random(3)
+    passage, base = words(rng, 60), words(rng, 150)
+    rows = [(i, words(rng, rng.randint(0, 120))) for i in range(30)]
+    rows += [(100 + i, f"{words(rng, 20)} {passage} {words(rng, 20)}") for i in range(20)]
+    rows += [(200 + i, base[: i * 20] + "X" + base[i * 20 :]) for i in range(8)]
+    rows += [(300, "same text " * 60), (301, base), (301, base), (302, "é" * 350), (303, "a" * 199)]
+    rows += [(304, "z" * 201), (305, None), (None, ""), (None, passage), (306, words(rng, 20_000))]
+    return rows
+
+
+@pytest.mark.parametrize("crowded", [4096, 3])
+def test_equals_brute_force(documents, monkeypatch, crowded):
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 20_000)
+    rows = some_rows()
+    found = Counter(
+        (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+        for r in remove_repeats(documents(rows)).collect()
+    )
+    assert found == brute(rows)
+
+
+def test_empty_and_short(documents):
+    assert remove_repeats(documents([])).count() == 0
+    found = remove_repeats(documents([(1, "short"), (2, None)])).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in found) == [(1, 5, 0), (2, 0, 0)]
+
+
+def test_suffix_array_and_prefixes():
+    rng = np.random.default_rng(5)
+    for alphabet in (2, 20):
+        text = rng.integers(97, 97 + alphabet, 3000).astype(np.uint8)
+        text[1000:1400] = text[200:600]
+        words_ = suffix.packed_words(text, 600)
+        order = suffix.suffix_array(words_, len(text))
+        data = text.tobytes()
+        pieces = [data[i:] for i in order]
+        assert pieces == sorted(pieces)
+        chains = np.array([0, 500, 500, 1700, 3000])
+        shared = suffix.common_prefixes(words_, order, chains, 200)
+        for k in range(1, len(order)):
+            a, b = data[order[k - 1] :][:200], data[order[k] :][:200]
+            n = next((i for i in range(min(len(a), len(b))) if a[i] != b[i]), min(len(a), len(b)))
+            if max(order[k - 1], order[k]) + 200 <= len(data):
+                assert shared[k] == n
+
+
+def test_search_in_a_sorted_part():
+    text = np.frombuffer(b"banana bandana cabana", np.uint8)
+    words_ = suffix.packed_words(text, 64)
+    order = np.array(sorted(range(13), key=lambda i: text.tobytes()[i : i + 9]))
+    low, high = suffix.found_in(words_, np.array([0, 7, 3]), words_, order, 9)
+    assert [order[a:b].tolist() for a, b in zip(low, high)] == [[0], [7], [3]]

@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import random
+
+from lakestrata.llm.toxicity import FtrlSettings, is_toxic, score_toxicity, train_toxicity
+
+
+def some_rows(n=600):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        text = rng.choices(words, k=rng.randint(5, 60))
+        if i % 5 == 0:
+            text.insert(rng.randrange(len(text)), rng.choice(["Vile,", "awful"]))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 5 == 0), "x"))
+    return rows, labels
+
+
+def fitted(spark, documents, **settings):
+    rows, labels = some_rows()
+    docs = documents(rows)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    return train_toxicity(docs.filter("doc_id < 400"), marks, FtrlSettings(**settings))
+
+
+def test_held_out_rows(spark, documents):
+    model = fitted(spark, documents)
+    rows, _ = some_rows()
+    found = score_toxicity(documents(rows).filter("doc_id >= 400"), model)
+    wrong = [r for r in found.collect() if (r.toxicity >= 0.5) != (r.doc_id % 5 == 0)]
+    assert len(wrong) <= 2
+    assert found.filter(is_toxic()).count() > 30
+
+
+def test_bounded_sample_and_sparse_weights(spark, documents):
+    model = fitted(spark, documents, sample_rows=100)
+    assert len(model.keys) < 200
+    assert (model.keys[1:] > model.keys[:-1]).all()
+
+
+def test_nulls_empty_long_and_repeated_rows(spark, documents):
+    model = fitted(spark, documents)
+    rows = [(1, None), (2, ""), (None, "vile"), (3, "awful"), (3, "awful"), (4, "abc " * 200_000)]
+    found = score_toxicity(documents(rows).withColumnRenamed("score", "toxicity"), model).collect()
+    assert len(found) == 6
+    assert all(0 <= r.toxicity <= 1 for r in found)
+    assert found[0].toxicity == found[1].toxicity < 0.5
+    assert score_toxicity(documents([]), model).count() == 0
+
+
+def test_without_labels_every_score_is_even(spark, documents):
+    none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
+    model = train_toxicity(documents([(1, "a"), (2, None)]), none)
+    assert [r.toxicity for r in score_toxicity(documents([(1, "a")]), model).collect()] == [0.5]
