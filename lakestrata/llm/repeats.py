@@ -329,9 +329,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     long_ = keyed.filter(F.octet_length("text") >= LENGTH)
     found = _all_anchors(long_.select("k1", "k2", "text"))
-    twice = (
-        found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    )
+    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    # Stored, as a join with sums in the same stage could not split a crowded anchor.
+    twice = stored(counts.filter("n > 1").select("anchor"), "repeat-anchors")
     places = (
         found.join(twice, "anchor", "left_semi")
         .groupBy("k1", "k2")
