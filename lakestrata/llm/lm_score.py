@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, row_blocks, stored, text_bytes
-from .ppm import BITS, Trie, grams, mask
+from .common import LOWER, raw_bytes, row_blocks, stored, text_bytes
+from .ppm import BITS, AdaptiveModel, Trie, grams, mask
 
 ORDER = 5
 WORDS_AT_ONCE = 1 << 18
@@ -281,3 +281,25 @@ def score_documents(docs: DataFrame, model: LanguageModel) -> DataFrame:
         (logs - F.col("n_tokens") * scale).alias("base_score"),
         score.alias("score"),
     )
+
+
+def score_adaptively(docs: DataFrame, order: int = 3) -> DataFrame:
+    """doc_id and score: log10 probability of each text by a model that starts
+    empty with it and learns it symbol by symbol.
+
+    Texts are independent, so that no training pass is needed; how far repeats
+    shorten a text shows how much it repeats itself. A NULL text is empty. This
+    goes through every byte in Python: some 5 microseconds a byte and order.
+    """
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [
+                AdaptiveModel(order).score(raw_bytes(t).lower(), learn=True)
+                for t in batch.column(1)
+            ]
+            yield pa.record_batch(
+                [batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"]
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")

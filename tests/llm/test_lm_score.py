@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from lakestrata.llm import lm_score
-from lakestrata.llm.lm_score import score_documents, train_language_model
+from lakestrata.llm.lm_score import score_adaptively, score_documents, train_language_model
 from lakestrata.llm.ppm import END, START, AdaptiveModel, Trie, grams, mask
 
 
@@ -74,6 +74,17 @@ def test_adaptive_code_length_falls_for_repeats():
     assert model.score(b"some words", learn=True) > once
 
 
+def test_adaptive_scores_of_documents(documents):
+    rows = [(1, "ab " * 30), (2, "The dog saw a cat"), (3, None), (None, "The dog saw a cat")]
+    found = {r.doc_id: r.score for r in score_adaptively(documents(rows)).collect()}
+    assert found[3] == pytest.approx(-math.log10(257))
+    assert found[2] == found[None] == pytest.approx(
+        AdaptiveModel(3).score(b"the dog saw a cat", learn=True)
+    )
+    assert found[1] / 91 > found[2] / 18
+    assert score_adaptively(documents([])).count() == 0
+
+
 def test_block_of_rows_is_packed_row_by_row():
     data = np.frombuffer(b"abc" + b"" + b"zz", np.uint8)
     packed, begins = grams(data, np.array([0, 3, 3, 5]), 2)
