@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import run_folder
@@ -20,6 +23,23 @@ BLOCK_BYTES = 4 << 20
 KNOWN_WORDS = 1 << 17
 
 
+def with_package(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage whose Python workers find this package, whatever folder
+    the session was started in. The package lies at the same path on every node,
+    or is installed there."""
+    root = str(Path(__file__).resolve().parents[2])
+
+    @wraps(build)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        variables = spark.sparkContext.environment
+        paths = [p for p in variables.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            variables["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        return build(spark, *rest)
+
+    return run
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources import run_folder
 from .chat import format_conversations, read_back
-from .common import fold, stored
+from .common import fold, stored, with_package
 from .decontaminate import benchmark_leaks
 from .langid import identify_language, train_language_id
 from .lm_score import score_documents, train_language_model
@@ -25,7 +25,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    LLM_QUERIES[build.__name__] = build
+    LLM_QUERIES[build.__name__] = with_package(build)
     return build
 
 
