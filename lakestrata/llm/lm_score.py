@@ -19,7 +19,7 @@ ORDER = 5
 WORDS_AT_ONCE = 1 << 18
 COUNTED_BYTES = 1 << 20
 FREQUENT_WORDS = 1 << 17
-TRIE_PAIRS = 1 << 23
+TRIE_PAIRS = 1 << 22
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
