@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -101,11 +101,11 @@ class PieceEncoder:
         self.ends[n + 1 : n + 1 + len(words)] = used + last + 1
         self.known.update(zip(words, range(n, n + len(words))))
 
-    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text; NULL counts as empty."""
-        texts = texts.fill_null("")
+    def __call__(self, texts: pa.Array, end: Sequence[int] = ()) -> list[np.ndarray]:
+        """Ids of each text, followed by ``end``; NULL counts as empty."""
+        texts, end = texts.fill_null(""), np.array(end, np.uint32)
         if not self.by_piece:
-            return self._encode(texts.to_pylist())
+            return [np.concatenate((ids, end)) for ids in self._encode(texts.to_pylist())]
         loose = np.asarray(pc.match_substring_regex(texts, _LOOSE))
         pieces = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
         flat = pieces.flatten()
@@ -130,23 +130,27 @@ class PieceEncoder:
             self._learn([words[i] for i in new.tolist()], sizes[new])
             at[new] = np.arange(first, first + len(new))
         whole = iter(self._encode(texts.filter(pa.array(loose)).to_pylist()))
-        out, row = [], 0
+        ids, ends = self._gather(at[index[tails]])
+        # Every text has one piece, its first, that is not among the tails.
+        bounds = iter(ends[cuts - np.arange(len(cuts))].tolist())
+        begin, out = next(bounds), []
         for is_loose in loose.tolist():
             if is_loose:
-                out.append(next(whole))
-                continue
-            tail = self._gather(at[index[cuts[row] + 1 : cuts[row + 1]]])
-            out.append(np.concatenate([next(heads), tail]))
-            row += 1
+                out.append(np.concatenate((next(whole), end)))
+            else:
+                stop = next(bounds)
+                out.append(np.concatenate((next(heads), ids[begin:stop], end)))
+                begin = stop
         return out
 
-    def _gather(self, at: np.ndarray) -> np.ndarray:
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words with these numbers, one after the other, and how many
+        there are before each word (n + 1)."""
         begins = self.ends[at]
         sizes = self.ends[at + 1] - begins
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.arange(total) + np.repeat(begins - (ends - sizes), sizes)
-        return self.ids[places]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(int(ends[-1])) + np.repeat(begins - ends[:-1], sizes)
+        return self.ids[places], ends
 
 
 @lru_cache(maxsize=1)
@@ -191,10 +195,9 @@ def write_token_store(
         for batch in batches:
             texts, shards = batch.column(1), batch.column(2)
             for at, last in row_blocks(text_bytes(texts)[1], ENCODED_AT_ONCE):
-                encoded = encoder(texts.slice(at, last - at))
+                encoded = encoder(texts.slice(at, last - at), tail)
                 for i, ids in enumerate(encoded, at):
                     shard = shards[i].as_py()
-                    ids = np.append(ids, np.array(tail, np.uint32))
                     parts.append(ids)
                     size += len(ids)
                     names.append(batch.column(0)[i].as_py())
@@ -261,9 +264,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 reader = dac.Reader(batch.column(1)[i].as_buffer().to_pybytes())
                 names, ends = batch.column(2)[i].values, np.asarray(batch.column(3)[i].values)
                 begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+                ids = memoryview(reader.slice(0, len(reader)).astype("<u4").tobytes())
                 crcs = [
-                    zlib.crc32(reader.slice(b, e).astype("<u4").tobytes())
-                    for b, e in zip(begins.tolist(), ends.tolist())
+                    zlib.crc32(ids[4 * b : 4 * e]) for b, e in zip(begins.tolist(), ends.tolist())
                 ]
                 yield pa.record_batch(
                     [
