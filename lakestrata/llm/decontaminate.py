@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KNOWN_WORDS, free_prefix, raw_bytes, stored
+from .common import KNOWN_WORDS, free_prefix, raw_bytes, stored, tidied
 
 # Units that turn into a placeholder right after a number.
 UNITS = (
@@ -173,7 +173,7 @@ def template_windows(
                 names=[*ids, "pos", "total", "h", "slots"],
             )
 
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(tidied(cut), schema)
 
 
 def _filter_of(windows: DataFrame) -> np.ndarray:

@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from . import dac
-from .common import row_blocks, text_bytes
+from .common import row_blocks, text_bytes, tidied
 
 SEGMENT_IDS = 1 << 18
 KNOWN_PIECES = 1 << 18
-ENCODED_AT_ONCE = 4 << 20
+ENCODED_AT_ONCE = 2 << 20
 WORDS_A_TEXT = 100
 _SEGMENT = (
     "shard int, segment int, first long, n_ids int, codes binary, "
@@ -218,7 +218,7 @@ def write_token_store(
         .sortWithinPartitions(*order)
         .select("doc_id", "text", F.spark_partition_id().alias("shard"))
     )
-    rows.mapInArrow(segments, _SEGMENT).write.parquet(f"{path}/segments")
+    rows.mapInArrow(tidied(segments), _SEGMENT).write.parquet(f"{path}/segments")
     totals = _segments(spark, path).groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     totals.select(

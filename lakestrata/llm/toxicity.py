@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, free_prefix, raw_bytes, small_batches, words_of
+from .common import WordHashes, free_prefix, raw_bytes, small_batches, tidied, words_of
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _BITS = 22
@@ -145,7 +145,7 @@ def train_toxicity(
         )
 
     found = sample.repartition(1).sortWithinPartitions("place", "doc_id").mapInArrow(
-        fit, "key long, weight double"
+        tidied(fit), "key long, weight double"
     )
     rows = sorted((r.key, r.weight) for r in found.collect())
     bias = sum(w for k, w in rows if k < 0)
@@ -196,7 +196,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, name: str = "toxicity"
                 )
 
     schema = docs.select("*", F.lit(0.0).cast("double").alias(name)).schema
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(tidied(score), schema)
 
 
 def is_toxic(name: str = "toxicity") -> Column:
