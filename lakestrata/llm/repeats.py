@@ -180,12 +180,12 @@ class _Shard:
         is_start = np.zeros(self.n, bool)
         is_start[self.starts()] = True
         at = np.flatnonzero(is_start[order])
+        if not len(at):
+            return order[at], np.zeros(0, bool)
         # What a window shares with the window before it is the least of all
-        # suffixes between.
-        least = np.minimum.reduceat(shared, np.concatenate([[0], at[:-1] + 1])) if len(at) else shared
-        least = least[: len(at)]
-        if len(at):
-            least[0] = 0
+        # suffixes between; those after the last window count for none.
+        least = np.minimum.reduceat(shared[: at[-1] + 1], np.concatenate([[0], at[:-1] + 1]))
+        least[0] = 0
         equal = least >= LENGTH
         return order[at], equal | np.append(equal[1:], False)
 

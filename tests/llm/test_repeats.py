@@ -51,6 +51,18 @@ def test_equals_brute_force(documents, monkeypatch, crowded):
     assert found == brute(rows)
 
 
+def test_greatest_window_is_the_only_shared_one(documents):
+    # "zz" is no window's begin, and sorts after the shared window.
+    body = "".join(random.Random(6).choices("abcdefgh", k=196))
+    window = "zy" + body[:98] + "zz" + body[98:]
+    rows = [(1, window + "A"), (2, window + "B")]
+    found = Counter(
+        (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+        for r in remove_repeats(documents(rows)).collect()
+    )
+    assert found == brute(rows) == Counter([(1, 201, 200, 1, b"A"), (2, 201, 200, 1, b"B")])
+
+
 def test_empty_and_short(documents):
     assert remove_repeats(documents([])).count() == 0
     found = remove_repeats(documents([(1, "short"), (2, None)])).collect()
