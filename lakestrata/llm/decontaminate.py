@@ -71,11 +71,12 @@ class _Codes(dict):
         return value
 
 
-def _tokens(text: bytes, codes: _Codes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Hashes with numbers, units and names typed; the same with names as words;
-    and the tokens. Breaks are gone.
+def _tokens(text: bytes, codes: _Codes) -> tuple[list[np.ndarray], list[bytes]]:
+    """Hashes in three forms, all with numbers and units typed, and the tokens.
+    Breaks are gone.
 
-    A name is a capitalised word that does not begin a sentence.
+    Names are words in the first form. In the second a name is a capitalised word
+    that does not begin a sentence, in the third any capitalised word.
     """
     found = _TOKEN.findall(text)
     code = np.fromiter(map(codes.__getitem__, found), np.uint64, len(found))
@@ -84,9 +85,11 @@ def _tokens(text: bytes, codes: _Codes) -> tuple[np.ndarray, np.ndarray, list[by
     plain = code & ~np.uint64(7)
     plain = np.where(kind == _NUMBER, _HOLDERS[0], plain)
     plain = np.where((kind == _UNIT) & (before == _NUMBER), _HOLDERS[1], plain)
-    typed = np.where((kind == _TITLED) & (before != _BREAK), _HOLDERS[2], plain)
+    titled = kind == _TITLED
+    inside = np.where(titled & (before != _BREAK), _HOLDERS[2], plain)
     kept = np.flatnonzero(kind != _BREAK)
-    return typed[kept], plain[kept], [found[i] for i in kept.tolist()]
+    forms = [f[kept] for f in (plain, inside, np.where(titled, _HOLDERS[2], plain))]
+    return forms, [found[i] for i in kept.tolist()]
 
 
 def _window_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -110,15 +113,18 @@ def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _windows_of(text: bytes, n: int, codes: _Codes, seen: np.ndarray | None):
     """(position, hash, slots) of the windows that pass the filter, and how many
     positions there are."""
-    typed, plain, tokens = _tokens(text, codes)
-    forms = [typed] if (typed == plain).all() else [typed, plain]
-    out = []
+    forms, tokens = _tokens(text, codes)
+    out, earlier = [], []
     for form in forms:
         h = _window_hashes(form, n)
-        at = np.arange(len(h))
-        if seen is not None and len(h):
-            first, second = _probes(h)
-            at = np.flatnonzero(seen[first] & seen[second])
+        new = np.ones(len(h), bool)
+        for other in earlier:
+            new &= h != other
+        earlier.append(h)
+        at = np.flatnonzero(new)
+        if seen is not None and len(at):
+            first, second = _probes(h[at])
+            at = at[seen[first] & seen[second]]
         for i in at.tolist():
             slots = [
                 tokens[j].lower().decode("utf-8", "replace")
@@ -126,7 +132,7 @@ def _windows_of(text: bytes, n: int, codes: _Codes, seen: np.ndarray | None):
                 if form[j] in _HOLDERS
             ]
             out.append((i, h[i], slots))
-    return out, len(_window_hashes(plain, n))
+    return out, len(earlier[0])
 
 
 def template_windows(
@@ -136,8 +142,8 @@ def template_windows(
     positions of the text), ``h`` and ``slots`` (values behind placeholders).
 
     With ``seen``, a filter of fixed size, only windows that may be among those
-    it was made from. A text with capitalised words inside sentences has windows
-    in two forms: names typed, and names as words.
+    it was made from. A window with capitalised words has up to three forms: names
+    as words, names inside sentences typed, and all capitalised words typed.
     """
     rows = rows.select(*ids, "text")
     held = rows.sparkSession.sparkContext.broadcast(seen)

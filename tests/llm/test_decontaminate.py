@@ -43,6 +43,12 @@ def test_slots_must_map_one_to_one(spark, documents):
     assert {d for d, _, _ in found(spark, documents, rows, items=item)} == {1}
 
 
+def test_names_that_begin_sentences(spark, documents):
+    item = "Tom has 5 apples. Tom buys 3 more. How many apples does Tom have?"
+    rows = [(1, item.replace("Tom", "Anna")), (2, f"so {item.replace('Tom', 'Anna')} now")]
+    assert found(spark, documents, rows, items=((1, item),)) == {(1, 1, False), (2, 1, False)}
+
+
 def test_nulls_repeats_long_texts_and_short_items(spark, documents):
     items = ((1, ITEM), (9, "Yes or no"), (10, ITEM))
     rows = [
