@@ -2,24 +2,26 @@
 
 Numbers, units and names of a text become typed placeholders. Windows of the
 resulting tokens are hash-joined with the windows of the benchmark items. Where
-windows meet, the values behind the placeholders (slots) must map one to one
-along an alignment; so a question asked with other numbers or names is found,
-and one whose values are mixed up is not.
+windows meet, the values behind the placeholders (slots) must be equal or map
+one to one along an alignment; so a question asked with other numbers or names is
+found, one whose values are mixed up is not, and a copy with one value changed is
+found by its other windows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KNOWN_WORDS, free_prefix, raw_bytes, stored, tidied
+from .common import KNOWN_WORDS, free_prefix, raw_bytes, small_batches, stored, tidied
 
 # Units that turn into a placeholder right after a number.
 UNITS = (
@@ -111,8 +113,8 @@ def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows_of(text: bytes, n: int, codes: _Codes, seen: np.ndarray | None):
-    """(position, hash, slots) of the windows that pass the filter, and how many
-    positions there are."""
+    """(position, hash, slots, their offsets) of the windows that pass the filter,
+    and how many positions there are."""
     forms, tokens = _tokens(text, codes)
     out, earlier = [], []
     for form in forms:
@@ -126,12 +128,9 @@ def _windows_of(text: bytes, n: int, codes: _Codes, seen: np.ndarray | None):
             first, second = _probes(h[at])
             at = at[seen[first] & seen[second]]
         for i in at.tolist():
-            slots = [
-                tokens[j].lower().decode("utf-8", "replace")
-                for j in range(i, min(i + n, len(tokens)))
-                if form[j] in _HOLDERS
-            ]
-            out.append((i, h[i], slots))
+            holes = [j for j in range(i, min(i + n, len(tokens))) if form[j] in _HOLDERS]
+            slots = [tokens[j].lower().decode("utf-8", "replace") for j in holes]
+            out.append((i, h[i], slots, [j - i for j in holes]))
     return out, len(earlier[0])
 
 
@@ -139,7 +138,8 @@ def template_windows(
     rows: DataFrame, ids: list[str], n: int, seen: np.ndarray | None = None
 ) -> DataFrame:
     """One row per window of ``text``: the ``ids`` columns, ``pos``, ``total`` (window
-    positions of the text), ``h`` and ``slots`` (values behind placeholders).
+    positions of the text), ``h``, ``slots`` (values behind placeholders) and
+    ``holes`` (their offsets in the window).
 
     With ``seen``, a filter of fixed size, only windows that may be among those
     it was made from. A window with capitalised words has up to three forms: names
@@ -153,20 +153,22 @@ def template_windows(
         F.lit(0).alias("total"),
         F.lit(0).cast("long").alias("h"),
         F.array(F.lit("")).alias("slots"),
+        F.array(F.lit(0)).alias("holes"),
     ).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, filter_ = _Codes(), held.value
         for batch in batches:
-            row, pos, total, h, slots = [], [], [], [], []
+            row, pos, total, h, slots, holes = [], [], [], [], [], []
             for i, text in enumerate(batch.column(len(ids))):
                 found, count = _windows_of(raw_bytes(text), n, codes, filter_)
-                for p, value, values in found:
+                for p, value, values, offsets in found:
                     row.append(i)
                     pos.append(p)
                     total.append(count)
                     h.append(value)
                     slots.append(values)
+                    holes.append(offsets)
             keys = [batch.column(i).take(pa.array(row, pa.int64())) for i in range(len(ids))]
             yield pa.record_batch(
                 [
@@ -175,8 +177,9 @@ def template_windows(
                     pa.array(total, pa.int32()),
                     pa.array(np.array(h, np.uint64).view(np.int64)),
                     pa.array(slots, pa.list_(pa.string())),
+                    pa.array(holes, pa.list_(pa.int32())),
                 ],
-                names=[*ids, "pos", "total", "h", "slots"],
+                names=[*ids, "pos", "total", "h", "slots", "holes"],
             )
 
     return rows.mapInArrow(tidied(cut), schema)
@@ -195,10 +198,50 @@ def _filter_of(windows: DataFrame) -> np.ndarray:
     return seen
 
 
-def _one_to_one(pairs: Column) -> Column:
-    asked = F.size(F.array_distinct(F.transform(pairs, lambda p: p["asked"])))
-    given = F.size(F.array_distinct(F.transform(pairs, lambda p: p["given"])))
-    return (asked == F.size(pairs)) & (given == F.size(pairs))
+def _most_frequent(values: dict[int, tuple[str, str]]) -> set[tuple[str, str]]:
+    """The pairs of values that stand at more places than any other pair with the
+    same value on either side; of a tie, none."""
+    often = Counter(values.values())
+    most: list[Counter] = [Counter(), Counter()]
+    for pair, n in often.items():
+        for side, value in zip(most, pair):
+            side[value] = max(side[value], n)
+    holders = [Counter(p[i] for p, n in often.items() if most[i][p[i]] == n) for i in (0, 1)]
+    return {
+        p
+        for p, n in often.items()
+        if all(most[i][p[i]] == n and holders[i][p[i]] == 1 for i in (0, 1))
+    }
+
+
+def _counted(windows: list[dict]) -> tuple[list[int], bool]:
+    """Of the windows of an alignment, the places of those whose slots are equal or
+    do not contradict the most frequent mapping; and whether all slots are equal."""
+    values = {}
+    for w in windows:
+        for hole, asked, given in zip(w["holes"], w["asked"], w["given"]):
+            values[w["pos"] + hole] = (asked, given)
+    kept = _most_frequent(values)
+    places = set()
+    for w in windows:
+        if w["asked"] == w["given"] or kept.issuperset(zip(w["asked"], w["given"])):
+            places.add(w["pos"])
+    return sorted(places), all(a == g for a, g in values.values())
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, windows of an alignment -> places that count, all equal."""
+    for batch in batches:
+        for part in small_batches(batch):
+            found = [_counted(w.as_py()) for w in part.column(part.num_columns - 1)]
+            yield pa.record_batch(
+                [
+                    *part.columns[:-1],
+                    pa.array([p for p, _ in found], pa.list_(pa.int32())),
+                    pa.array([same for _, same in found], pa.bool_()),
+                ],
+                names=[*part.schema.names[:-1], "places", "same"],
+            )
 
 
 def benchmark_leaks(
@@ -220,23 +263,20 @@ def benchmark_leaks(
     ).distinct()
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     found = template_windows(keyed, ["doc_id", "text_hash"], s.window, _filter_of(items))
-    pairs = F.transform(
-        F.arrays_zip(F.col("asked"), F.col("given")),
-        lambda p: F.struct(p["asked"].alias("asked"), p["given"].alias("given")),
-    )
     met = found.select(
         "doc_id", "text_hash", "h", F.col("pos").alias("at"), F.col("slots").alias("given")
     ).join(items.withColumnRenamed("slots", "asked"), "h")
     lines = (
         met.filter(F.size("asked") == F.size("given"))
         .groupBy("doc_id", "text_hash", "item_id", "total", (F.col("at") - F.col("pos")).alias("d"))
-        .agg(
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
-            F.collect_set("pos").alias("places"),
-        )
-        .filter(_one_to_one(F.col("pairs")))
-        .withColumn("same", F.forall("pairs", lambda p: p["asked"] == p["given"]))
+        .agg(F.collect_set(F.struct("pos", "holes", "asked", "given")).alias("windows"))
+        .select("doc_id", "text_hash", "item_id", "total", "windows")
     )
+    judged = lines.select(
+        "doc_id", "text_hash", "item_id", "total",
+        F.array(F.lit(0)).alias("places"), F.lit(True).alias("same"),
+    ).schema
+    lines = lines.mapInArrow(tidied(_judged), judged)
     covered = (
         lines.select(
             "doc_id", "text_hash", "item_id", "total", "same",

@@ -49,6 +49,17 @@ def test_names_that_begin_sentences(spark, documents):
     assert found(spark, documents, rows, items=((1, item),)) == {(1, 1, False), (2, 1, False)}
 
 
+def test_one_changed_value(spark, documents):
+    before = "the old road that runs from Paris along the quiet river and over the hills"
+    after = "was closed for 3 days so that all carts to Paris had to wait 4 days at the gate"
+    item = f"{before} {after}"
+    rows = [
+        (1, f"so {before} {after.replace('Paris', 'Rome')} now"),
+        (2, f"so {item.replace('4', '3')} now"),
+    ]
+    assert found(spark, documents, rows, items=((1, item),)) == {(1, 1, False), (2, 1, False)}
+
+
 def test_nulls_repeats_long_texts_and_short_items(spark, documents):
     items = ((1, ITEM), (9, "Yes or no"), (10, ITEM))
     rows = [
