@@ -5,7 +5,8 @@ resulting tokens are hash-joined with the windows of the benchmark items. Where
 windows meet, the values behind the placeholders (slots) must be equal or map
 one to one along an alignment; so a question asked with other numbers or names is
 found, one whose values are mixed up is not, and a copy with one value changed is
-found by its other windows.
+found by its other windows. Placeholders alone are no evidence: such a window only
+meets the same values, and other values need equal tokens around them.
 """
 
 from __future__ import annotations
@@ -44,11 +45,14 @@ _HOLDERS = np.array([3, 5, 7], np.uint64) * _STEP
 @dataclass(frozen=True)
 class LeakSettings:
     """A document holds an item if it has at least ``coverage`` of the item's
-    windows, or ``run`` of them in one alignment."""
+    windows, or ``run`` of them in one alignment. Windows with other values than
+    the item's count where the alignment has ``literals`` equal tokens, or half of
+    those of a shorter item."""
 
     window: int = 5
     coverage: float = 0.8
     run: int = 9
+    literals: int = 5
 
 
 class _Codes(dict):
@@ -73,9 +77,11 @@ class _Codes(dict):
         return value
 
 
-def _tokens(text: bytes, codes: _Codes) -> tuple[list[np.ndarray], list[bytes]]:
-    """Hashes in three forms, all with numbers and units typed, and the tokens.
-    Breaks are gone.
+def _tokens(
+    text: bytes, codes: _Codes
+) -> tuple[list[np.ndarray], np.ndarray, list[bytes]]:
+    """Hashes in three forms, all with numbers and units typed; those of the tokens
+    as they are; and the tokens. Breaks are gone.
 
     Names are words in the first form. In the second a name is a capitalised word
     that does not begin a sentence, in the third any capitalised word.
@@ -91,7 +97,7 @@ def _tokens(text: bytes, codes: _Codes) -> tuple[list[np.ndarray], list[bytes]]:
     inside = np.where(titled & (before != _BREAK), _HOLDERS[2], plain)
     kept = np.flatnonzero(kind != _BREAK)
     forms = [f[kept] for f in (plain, inside, np.where(titled, _HOLDERS[2], plain))]
-    return forms, [found[i] for i in kept.tolist()]
+    return forms, code[kept] & ~np.uint64(7), [found[i] for i in kept.tolist()]
 
 
 def _window_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -114,11 +120,16 @@ def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _windows_of(text: bytes, n: int, codes: _Codes, seen: np.ndarray | None):
     """(position, hash, slots, their offsets) of the windows that pass the filter,
-    and how many positions there are."""
-    forms, tokens = _tokens(text, codes)
+    how many positions there are, and tokens in each."""
+    forms, values, tokens = _tokens(text, codes)
+    size = min(n, len(tokens))
+    own = _window_hashes(values, n)
     out, earlier = [], []
     for form in forms:
         h = _window_hashes(form, n)
+        # A window of placeholders alone goes by its values.
+        literal = np.concatenate([[0], np.cumsum(~np.isin(form, _HOLDERS))])
+        h = np.where(literal[size : size + len(h)] == literal[: len(h)], own, h)
         new = np.ones(len(h), bool)
         for other in earlier:
             new &= h != other
@@ -131,15 +142,15 @@ def _windows_of(text: bytes, n: int, codes: _Codes, seen: np.ndarray | None):
             holes = [j for j in range(i, min(i + n, len(tokens))) if form[j] in _HOLDERS]
             slots = [tokens[j].lower().decode("utf-8", "replace") for j in holes]
             out.append((i, h[i], slots, [j - i for j in holes]))
-    return out, len(earlier[0])
+    return out, len(earlier[0]), size
 
 
 def template_windows(
     rows: DataFrame, ids: list[str], n: int, seen: np.ndarray | None = None
 ) -> DataFrame:
     """One row per window of ``text``: the ``ids`` columns, ``pos``, ``total`` (window
-    positions of the text), ``h``, ``slots`` (values behind placeholders) and
-    ``holes`` (their offsets in the window).
+    positions of the text), ``size`` (tokens of the window), ``h``, ``slots`` (values
+    behind placeholders) and ``holes`` (their offsets in the window).
 
     With ``seen``, a filter of fixed size, only windows that may be among those
     it was made from. A window with capitalised words has up to three forms: names
@@ -151,6 +162,7 @@ def template_windows(
         *ids,
         F.lit(0).alias("pos"),
         F.lit(0).alias("total"),
+        F.lit(0).alias("size"),
         F.lit(0).cast("long").alias("h"),
         F.array(F.lit("")).alias("slots"),
         F.array(F.lit(0)).alias("holes"),
@@ -159,13 +171,14 @@ def template_windows(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, filter_ = _Codes(), held.value
         for batch in batches:
-            row, pos, total, h, slots, holes = [], [], [], [], [], []
+            row, pos, total, size, h, slots, holes = [], [], [], [], [], [], []
             for i, text in enumerate(batch.column(len(ids))):
-                found, count = _windows_of(raw_bytes(text), n, codes, filter_)
+                found, count, tokens = _windows_of(raw_bytes(text), n, codes, filter_)
                 for p, value, values, offsets in found:
                     row.append(i)
                     pos.append(p)
                     total.append(count)
+                    size.append(tokens)
                     h.append(value)
                     slots.append(values)
                     holes.append(offsets)
@@ -175,11 +188,12 @@ def template_windows(
                     *keys,
                     pa.array(pos, pa.int32()),
                     pa.array(total, pa.int32()),
+                    pa.array(size, pa.int32()),
                     pa.array(np.array(h, np.uint64).view(np.int64)),
                     pa.array(slots, pa.list_(pa.string())),
                     pa.array(holes, pa.list_(pa.int32())),
                 ],
-                names=[*ids, "pos", "total", "h", "slots", "holes"],
+                names=[*ids, "pos", "total", "size", "h", "slots", "holes"],
             )
 
     return rows.mapInArrow(tidied(cut), schema)
@@ -214,7 +228,7 @@ def _most_frequent(values: dict[int, tuple[str, str]]) -> set[tuple[str, str]]:
     }
 
 
-def _counted(windows: list[dict]) -> tuple[list[int], bool]:
+def _counted(windows: list[dict], total: int, literals: int) -> tuple[list[int], bool]:
     """Of the windows of an alignment, the places of those whose slots are equal or
     do not contradict the most frequent mapping; and whether all slots are equal."""
     values = {}
@@ -222,26 +236,38 @@ def _counted(windows: list[dict]) -> tuple[list[int], bool]:
         for hole, asked, given in zip(w["holes"], w["asked"], w["given"]):
             values[w["pos"] + hole] = (asked, given)
     kept = _most_frequent(values)
-    places = set()
+    equal = {w["pos"] for w in windows if w["asked"] == w["given"]}
+    mapped, literal, size = set(equal), set(), windows[0]["size"]
     for w in windows:
-        if w["asked"] == w["given"] or kept.issuperset(zip(w["asked"], w["given"])):
-            places.add(w["pos"])
-    return sorted(places), all(a == g for a, g in values.values())
+        if w["pos"] in equal or kept.issuperset(zip(w["asked"], w["given"])):
+            mapped.add(w["pos"])
+            literal.update(range(w["pos"], w["pos"] + size))
+    literal = {p for p in literal if p not in values or values[p][0] == values[p][1]}
+    enough = len(literal) >= min(literals, (total - 1 + size) // 2)
+    return sorted(mapped if enough else equal), all(a == g for a, g in values.values())
 
 
-def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The last column, windows of an alignment -> places that count, all equal."""
-    for batch in batches:
-        for part in small_batches(batch):
-            found = [_counted(w.as_py()) for w in part.column(part.num_columns - 1)]
-            yield pa.record_batch(
-                [
-                    *part.columns[:-1],
-                    pa.array([p for p, _ in found], pa.list_(pa.int32())),
-                    pa.array([same for _, same in found], pa.bool_()),
-                ],
-                names=[*part.schema.names[:-1], "places", "same"],
-            )
+def _judged(literals: int):
+    """total and, last, the windows of an alignment -> places that count, all equal."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in small_batches(batch):
+                totals = part.column("total").to_pylist()
+                found = [
+                    _counted(w.as_py(), total, literals)
+                    for w, total in zip(part.column("windows"), totals)
+                ]
+                yield pa.record_batch(
+                    [
+                        *part.columns[:-1],
+                        pa.array([p for p, _ in found], pa.list_(pa.int32())),
+                        pa.array([same for _, same in found], pa.bool_()),
+                    ],
+                    names=[*part.schema.names[:-1], "places", "same"],
+                )
+
+    return tidied(judge)
 
 
 def benchmark_leaks(
@@ -269,14 +295,14 @@ def benchmark_leaks(
     lines = (
         met.filter(F.size("asked") == F.size("given"))
         .groupBy("doc_id", "text_hash", "item_id", "total", (F.col("at") - F.col("pos")).alias("d"))
-        .agg(F.collect_set(F.struct("pos", "holes", "asked", "given")).alias("windows"))
+        .agg(F.collect_set(F.struct("pos", "size", "holes", "asked", "given")).alias("windows"))
         .select("doc_id", "text_hash", "item_id", "total", "windows")
     )
     judged = lines.select(
         "doc_id", "text_hash", "item_id", "total",
         F.array(F.lit(0)).alias("places"), F.lit(True).alias("same"),
     ).schema
-    lines = lines.mapInArrow(tidied(_judged), judged)
+    lines = lines.mapInArrow(_judged(s.literals), judged)
     covered = (
         lines.select(
             "doc_id", "text_hash", "item_id", "total", "same",

@@ -60,6 +60,20 @@ def test_one_changed_value(spark, documents):
     assert found(spark, documents, rows, items=((1, item),)) == {(1, 1, False), (2, 1, False)}
 
 
+def test_placeholders_alone_are_no_evidence(spark, documents):
+    numbers = "Find the median of " + ", ".join(str(n) for n in range(12, 25))
+    items = ((1, numbers), (2, "2, 4, 8, 16, 32"))
+    table = ", ".join(str(n) for n in range(300, 340))
+    rows = [
+        (1, f"the table says {table} in all"),
+        (2, f"so {numbers} now"),
+        (3, "first 2, 4, 8, 16, 32 and more"),
+        (4, "Nine Ten Paris Rome Oslo Bern Lima Cairo Quito Delhi Tunis Accra Dakar Seoul Hanoi"),
+    ]
+    items += ((3, "Bonn Kiel Trier Mainz Worms Essen Halle Jena Gera Suhl Ulm Hof Celle"),)
+    assert found(spark, documents, rows, items=items) == {(2, 1, True), (3, 2, True)}
+
+
 def test_nulls_repeats_long_texts_and_short_items(spark, documents):
     items = ((1, ITEM), (9, "Yes or no"), (10, ITEM))
     rows = [
