@@ -15,6 +15,7 @@ from .decontaminate import benchmark_leaks
 from .langid import identify_language, train_language_id
 from .lm_score import score_documents, train_language_model
 from .mixing import mix_sources, taken_words
+from .packing import cut_pieces, place_pieces
 from .repeats import remove_repeats
 from .simhash import simhash_components
 from .token_store import read_documents, write_token_store
@@ -134,3 +135,15 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest rows by inner product for every hundredth embedding."""
     rows = table(spark, sf_dir, "embeddings")
     return top_k(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 ids."""
+    pieces = cut_pieces(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return place_pieces(stored(digests, "pieces")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )

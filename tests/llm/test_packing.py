@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import os
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from lakestrata.llm.common import stored
+from lakestrata.llm.packing import WordIds, cut_pieces, pack_documents, place_pieces, plan_best_fit
+from lakestrata.llm.queries import LLM_QUERIES
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TEXTS = [
+    None, "", " ", "Plain Words here", "it's 12,5 % done", " lead\ttab\n\nline ", "a<|endoftext|>b",
+    "<|startoftext|> <|endoftext|>", "É é ́x ΣΑΣ İi", "nb sp  em \x1c x \x85 y",
+    "漢字 🙂 ▁", "x" * 9000, "word " * 5000,
+]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+_ENCODER = WordIds(PATH)
+
+
+def encoded(texts):
+    ids, ends = _ENCODER(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+
+def test_words_give_the_ids_of_the_whole_text(plain):
+    assert encoded(TEXTS) == [plain(t) for t in TEXTS]
+    assert encoded([]) == []
+
+
+@settings(deadline=None, max_examples=40)
+@given(st.lists(st.text(st.sampled_from("abS 's1.\n\t ́é<|>"), max_size=30), max_size=5))
+def test_words_of_any_text(plain, texts):
+    assert encoded(texts) == [plain(t) for t in texts]
+
+
+def test_a_tokenizer_that_keeps_spaces_encodes_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids, ends = WordIds(path)(pa.array(["a b", None, " c"]))
+    whole = Tokenizer.from_file(path)
+    wanted = [whole.encode(t, add_special_tokens=False).ids for t in ("a b", "", " c")]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == wanted
+
+
+def brute_best_fit(lengths, size):
+    """Number of sequences when pieces are placed one by one, longest first."""
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [r for r in rooms if r >= length]
+        if fitting:
+            rooms.remove(min(fitting))
+            rooms.append(min(fitting) - length)
+        else:
+            rooms.append(size - length)
+    return len(rooms), sorted(rooms)
+
+
+@settings(deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(0, 30), max_size=12))
+def test_plan_equals_best_fit_piece_by_piece(counts):
+    runs, size = plan_best_fit(counts, 40), 40
+    filled, ranks = defaultdict(list), defaultdict(list)
+    for run in runs:
+        for i in range(run.pieces):
+            at = run.offset + i % run.each * run.length
+            filled[run.sequence + i // run.each].append((at, run.length))
+            ranks[run.length].append(run.first + i)
+    assert {k: sorted(v) for k, v in ranks.items()} == {
+        k: list(range(n)) for k, n in counts.items() if n
+    }
+    rooms = []
+    for held in filled.values():
+        end = 0
+        for at, length in sorted(held):
+            assert at == end
+            end += length
+        assert end <= size
+        rooms.append(size - end)
+    lengths = [k for k, n in counts.items() for _ in range(n)]
+    assert (len(filled), sorted(rooms)) == brute_best_fit(lengths, size)
+    assert sorted(filled) == list(range(len(filled)))
+
+
+def test_plan_does_not_grow_with_the_pieces():
+    few = plan_best_fit({n: 10 for n in range(1, 4097)})
+    many = plan_best_fit({n: 10**9 + n for n in range(1, 4097)})
+    assert len(many) < 4 * 4096 and len(few) < 4 * 4096
+    with pytest.raises(ValueError):
+        plan_best_fit({4097: 1})
+
+
+def check_places(rows, wanted, size):
+    """Pieces hold ``wanted`` ids; sequences have neither gaps nor overlaps."""
+    documents, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        documents[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    found = []
+    for doc, pieces in documents.items():
+        for r in pieces:
+            found.append((doc, r.piece, r.start, r.length, r.ids_crc32))
+    expected = []
+    for doc, ids in wanted:
+        for i, at in enumerate(range(0, len(ids), size)):
+            part = np.array(ids[at : at + size], "<u4")
+            expected.append((doc, i, at, len(part), zlib.crc32(part.tobytes())))
+    key = lambda r: (r[0] is not None, *(x or 0 for x in r))
+    assert sorted(found, key=key) == sorted(expected, key=key)
+    for held in sequences.values():
+        end = 0
+        for r in sorted(held, key=lambda r: r.offset):
+            assert r.offset == end
+            end += r.length
+        assert end <= size
+    return sequences
+
+
+def test_pieces_and_places(spark, documents, plain):
+    from pyspark.sql import functions as F
+
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3]), (3, TEXTS[3]), (None, None)]
+    rows += [(100 + i, "copy of a text") for i in range(300)]
+    pieces = cut_pieces(documents(rows).repartition(5), PATH, 100)
+    kept = stored(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    found = place_pieces(kept, 100).collect()
+    wanted = [(d, [*plain(t), 1]) for d, t in rows]
+    sequences = check_places(found, wanted, 100)
+    lengths = [r.length for r in found]
+    assert len(sequences) == brute_best_fit(lengths, 100)[0]
+
+
+def test_packed_sequences(spark, documents, plain):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    packed = pack_documents(documents(rows), PATH, 64, end_id=None).collect()
+    assert all(r.n_ids == sum(r.lengths) == len(r.ids) // 4 <= 64 for r in packed)
+    total = sum(len(plain(t)) for _, t in rows)
+    assert sum(r.n_ids for r in packed) == total
+    for r in packed:
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        first = plain(dict(rows)[r.doc_ids[0]])
+        assert any(ids[: r.lengths[0]] == first[i : i + r.lengths[0]] for i in range(0, len(first), 64))
+
+
+def test_empty_table(spark, documents):
+    assert pack_documents(documents([]), PATH).count() == 0
+    kept = stored(cut_pieces(documents([(1, None)]), PATH, end_id=None), "pieces")
+    assert place_pieces(kept).count() == 0
+
+
+def test_query_packs_the_whole_table(spark, plain):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    found = LLM_QUERIES["op13_packing"](spark, SF_DIR).collect()
+    sequences = check_places(found, [(r.doc_id, [*plain(r.text), 1]) for r in docs], 4096)
+    assert len(sequences) == brute_best_fit([r.length for r in found], 4096)[0]
