@@ -45,4 +45,54 @@ FROM (
 ) WHERE rank <= 10
 """
 
-LLM_ORACLES: dict[str, str] = {"op1_chat": OP1_CHAT, "op10_topk": OP10_TOPK}
+OP11_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), words AS (
+  SELECT i, lang, source, term, count(*) AS n
+  FROM (SELECT i, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM words GROUP BY lang, term HAVING count(*) >= 10
+), langs AS (
+  SELECT lang, count(term)::HUGEINT AS v, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang
+), counted AS (
+  SELECT lang, source, term, sum(words.n)::HUGEINT AS n
+  FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), sources AS (
+  SELECT lang, source, v, langs.total AS lang_total, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM d) JOIN langs USING (lang)
+  LEFT JOIN counted USING (lang, source) GROUP BY ALL
+), shares AS (
+  SELECT s.lang, s.source, kept.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (s.total + 2 * v) AS p,
+    1 + 1000000000::HUGEINT * (kept.n + 2) // (lang_total + 2 * v) AS q
+  FROM sources s JOIN kept USING (lang)
+  LEFT JOIN counted c ON c.lang = s.lang AND c.source = s.source AND c.term = kept.term
+), items AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT
+  FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE "binary")::INTEGER AS rank
+  FROM items
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+LLM_ORACLES: dict[str, str] = {
+    "op1_chat": OP1_CHAT,
+    "op10_topk": OP10_TOPK,
+    "op11_divergence": OP11_DIVERGENCE,
+}

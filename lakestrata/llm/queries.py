@@ -12,6 +12,7 @@ from ..sources import run_folder
 from .chat import format_conversations, read_back
 from .common import fold, stored, with_package
 from .decontaminate import benchmark_leaks
+from .divergence import source_divergence
 from .langid import identify_language, train_language_id
 from .lm_score import score_documents, train_language_model
 from .mixing import mix_sources, taken_words
@@ -147,3 +148,10 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place_pieces(stored(digests, "pieces")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of all sources of a language from each other, and the ten terms
+    that set each apart from its language."""
+    return source_divergence(table(spark, sf_dir, "documents"))

@@ -38,6 +38,7 @@ COLUMNS = {
     "op8_simhash": "doc_id fingerprint component_id",
     "op9_toxicity": "doc_id held_out score predicted",
     "op10_topk": "query_id rank vec_id score",
+    "op11_divergence": "lang source part item value rank",
     "op13_packing": "doc_id piece start length ids_crc32 sequence_id offset",
 }
 
