@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import run_folder
+from .alignment import count_links, linked_blocks
 from .chat import format_conversations, read_back
 from .common import fold, stored, with_package
 from .decontaminate import benchmark_leaks
@@ -155,3 +156,19 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of all sources of a language from each other, and the ten terms
     that set each apart from its language."""
     return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two public tokenizers aligned over every document."""
+    blocks = linked_blocks(
+        table(spark, sf_dir, "documents"),
+        tokenizer_path(),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    blocks = blocks.withColumn("groups_sha256", sha).drop("groups")
+    return count_links(stored(blocks, "linked")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+        "n_overlaps", "n_shared",
+    )

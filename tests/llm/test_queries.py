@@ -39,6 +39,7 @@ COLUMNS = {
     "op9_toxicity": "doc_id held_out score predicted",
     "op10_topk": "query_id rank vec_id score",
     "op11_divergence": "lang source part item value rank",
+    "op12_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256 n_overlaps n_shared",
     "op13_packing": "doc_id piece start length ids_crc32 sequence_id offset",
 }
 
