@@ -33,9 +33,9 @@ from tokenizers import Tokenizer
 from .common import row_blocks, stored, text_bytes, tidied
 from .ragged import Lexicon, Ragged, distinct_words
 
-KNOWN_PIECES = 1 << 19
+KNOWN_PIECES = 1 << 18
 PIECES_A_TEXT = 100
-ALIGNED_BYTES = 1 << 20
+ALIGNED_BYTES = 1 << 18
 # Spaces that do not lie between two characters other than white space.
 _WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _LOOSE = f"^ | $| {_WHITE}|{_WHITE} "
