@@ -11,7 +11,6 @@ meets the same values, and other values need equal tokens around them.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KNOWN_WORDS, free_prefix, raw_bytes, small_batches, stored, tidied
+from .common import LOWER, free_prefix, raw_bytes, row_blocks, small_batches, stored, text_bytes, tidied
 
 # Units that turn into a placeholder right after a number.
 UNITS = (
@@ -34,9 +33,11 @@ UNITS = (
     "cents", "euro", "euros", "v", "w", "kw", "hz", "khz", "mhz", "kb", "mb", "gb", "tb",
 )
 
-_TOKEN = re.compile(rb"[.!?:;\n]|[0-9]+(?:[.,][0-9]+)*|[A-Za-z\x80-\xff]+|%")
 _BREAK, _WORD, _TITLED, _NUMBER, _UNIT = range(5)
 _FILTER_BITS = 22
+KNOWN_TOKENS = 1 << 17
+SHORT_TOKEN = 64
+TEXT_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _HOLDERS = np.array([3, 5, 7], np.uint64) * _STEP
@@ -55,94 +56,206 @@ class LeakSettings:
     literals: int = 5
 
 
-class _Codes(dict):
-    """Kind of a token in the low three bits, hash of its lower-case form above."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _STEP
+    return h ^ (h >> np.uint64(29))
+
+
+def _word_hash(word: bytes) -> int:
+    """What ``_hashes`` gives for this token."""
+    if len(word) > SHORT_TOKEN:
+        return xxhash.xxh64_intdigest(word)
+    h = 0
+    for byte in word:
+        h = (h * int(_MIX) + byte + 1) % 2**64
+    return int(_mixed(np.array([h], np.uint64))[0])
+
+
+def _hashes(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each token of at most ``SHORT_TOKEN`` bytes, byte after byte for all
+    tokens at once."""
+    h = np.zeros(len(starts), np.uint64)
+    order = np.argsort(starts - ends, kind="stable")  # longest first
+    at, lengths = starts[order], (ends - starts)[order]
+    active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right") if len(at) else []
+    with np.errstate(over="ignore"):
+        for i, n in enumerate(active):
+            h[:n] = h[:n] * _MIX + (lower[at[:n] + i] + np.uint64(1))
+        out = np.empty_like(h)
+        out[order] = _mixed(h)
+    return out
 
-    units = {u.encode() for u in UNITS}
 
-    def __missing__(self, token: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
+class _Codes(dict):
+    """Kind and hash of tokens that are long or hold characters beyond ASCII."""
+
+    def __missing__(self, token: bytes) -> tuple[int, int]:
+        if len(self) >= KNOWN_TOKENS:
             self.clear()
         text = token.decode("utf-8", "replace")
-        lower = text.lower().encode()
-        if token in (b".", b"!", b"?", b":", b";", b"\n"):
-            kind = _BREAK
-        elif token[:1].isdigit():
+        kind = _TITLED if text[:1].isupper() and not text.isupper() else _WORD
+        if token[:1].isdigit():
             kind = _NUMBER
-        elif lower in self.units:
+        lower = text.lower().encode()
+        if lower in _UNIT_NAMES:
             kind = _UNIT
-        else:
-            kind = _TITLED if text[:1].isupper() and not text.isupper() else _WORD
-        value = self[token] = xxhash.xxh64_intdigest(lower) & ~7 | kind
+        value = self[token] = (kind, _word_hash(lower))
         return value
 
 
-def _tokens(
-    text: bytes, codes: _Codes
-) -> tuple[list[np.ndarray], np.ndarray, list[bytes]]:
-    """Hashes in three forms, all with numbers and units typed; those of the tokens
-    as they are; and the tokens. Breaks are gone.
+_UNIT_NAMES = {u.encode() for u in UNITS}
+_UNIT_HASHES = np.sort(np.array([_word_hash(u) for u in sorted(_UNIT_NAMES)], np.uint64))
+
+
+def _byte_classes() -> np.ndarray:
+    """-1 for bytes between tokens, else the kind of a token that begins with the byte."""
+    classes = np.full(256, -1, np.int8)
+    classes[65:91] = classes[97:123] = classes[128:] = _WORD
+    classes[48:58] = _NUMBER
+    classes[np.frombuffer(b".!?:;\n", np.uint8)] = _BREAK
+    classes[ord("%")] = _UNIT
+    return classes
+
+
+_CLASSES = _byte_classes()
+
+
+@dataclass
+class _Tokens:
+    """Tokens of many texts in a row, without breaks. ``begins`` says where each
+    text's begin (n + 1). ``forms`` are hashes in three forms, all with numbers and
+    units typed, ``holders`` which tokens are placeholders in each; ``values`` are the
+    hashes of the tokens as they are.
 
     Names are words in the first form. In the second a name is a capitalised word
     that does not begin a sentence, in the third any capitalised word.
     """
-    found = _TOKEN.findall(text)
-    code = np.fromiter(map(codes.__getitem__, found), np.uint64, len(found))
-    kind = (code & np.uint64(7)).astype(np.int8)
+
+    text: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    begins: np.ndarray
+    values: np.ndarray
+    forms: list[np.ndarray]
+    holders: list[np.ndarray]
+
+    def token(self, i: int) -> str:
+        return self.text[self.starts[i] : self.ends[i]].lower().decode("utf-8", "replace")
+
+
+def _tokens(texts: list[bytes], codes: _Codes) -> _Tokens:
+    """Tokens are runs of letters (A-Z and all beyond ASCII), numbers with points or
+    commas between digits, percent signs, and breaks: . ! ? : ; and line ends."""
+    text = b"\n".join(texts)  # a break between texts
+    data = np.frombuffer(text, np.uint8)
+    classes = _CLASSES[data]
+    points = np.flatnonzero((data == ord(".")) | (data == ord(",")))
+    points = points[(points > 0) & (points < len(data) - 1)]
+    digit = classes == _NUMBER
+    classes[points[digit[points - 1] & digit[points + 1]]] = _NUMBER
+    new = (classes == _BREAK) | (classes == _UNIT)
+    new[1:] |= classes[1:] != classes[:-1]
+    new[:1] = True
+    cuts = np.append(np.flatnonzero(new), len(data))
+    found = np.flatnonzero(classes[cuts[:-1]] >= 0)
+    starts, ends = cuts[found], cuts[found + 1]
+    kind = classes[starts]
+    before_any = lambda flags: np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+    capitals = before_any((data >= 65) & (data <= 90))
+    beyond = before_any(data >= 128)
+    capital = capitals[ends] - capitals[starts]
+    first = capitals[starts + 1] > capitals[starts]
+    kind[(kind == _WORD) & first & (capital < ends - starts)] = _TITLED
+    apart = np.flatnonzero((beyond[ends] > beyond[starts]) | (ends - starts > SHORT_TOKEN))
+    ends_of_short = ends.copy()
+    ends_of_short[apart] = starts[apart] + 1
+    values = _hashes(LOWER[data], starts, ends_of_short)
+    if len(apart):
+        known = [
+            codes[text[b:e]] for b, e in zip(starts[apart].tolist(), ends[apart].tolist())
+        ]
+        kind[apart] = [k for k, _ in known]
+        values[apart] = np.array([h for _, h in known], np.uint64)
     before = np.concatenate([[_BREAK], kind[:-1]])
-    plain = code & ~np.uint64(7)
-    plain = np.where(kind == _NUMBER, _HOLDERS[0], plain)
-    plain = np.where((kind == _UNIT) & (before == _NUMBER), _HOLDERS[1], plain)
-    titled = kind == _TITLED
-    inside = np.where(titled & (before != _BREAK), _HOLDERS[2], plain)
-    kept = np.flatnonzero(kind != _BREAK)
-    forms = [f[kept] for f in (plain, inside, np.where(titled, _HOLDERS[2], plain))]
-    return forms, code[kept] & ~np.uint64(7), [found[i] for i in kept.tolist()]
-
-
-def _window_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """A hash of every n tokens; of fewer, one of the whole sequence."""
-    if len(h) == 0:
-        return h
-    n = min(n, len(h))
-    total = np.full(len(h) - n + 1, np.uint64(n))
+    # Only after a number does a unit differ from a word, and where it is capitalised.
+    asked = np.flatnonzero((kind == _TITLED) | ((kind == _WORD) & (before == _NUMBER)))
+    kind[asked[np.isin(values[asked], _UNIT_HASHES)]] = _UNIT
+    kept = kind != _BREAK
+    starts, ends = starts[kept], ends[kept]
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    begins = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))
+    values, kind, before = values[kept], kind[kept], before[kept]
+    number, titled = kind == _NUMBER, kind == _TITLED
+    unit = (kind == _UNIT) & (before == _NUMBER)
+    plain = values.copy()
+    plain[number], plain[unit] = _HOLDERS[0], _HOLDERS[1]
+    forms, holders = [plain], [number | unit]
+    for named in (titled & (before != _BREAK), titled):
+        form = plain.copy()
+        form[named] = _HOLDERS[2]
+        forms.append(form)
+        holders.append(holders[0] | named)
+    return _Tokens(text, starts, ends, begins, values, forms, holders)
+
+
+def _window_hashes(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` tokens from each place."""
+    total = np.full(len(at), np.uint64(size))
     with np.errstate(over="ignore"):
-        for i in range(n):
-            total = (total ^ h[i : len(h) - n + 1 + i]) * _MIX
+        for i in range(size):
+            total ^= h[at + i]
+            total *= _MIX
             total ^= total >> np.uint64(29)
         total *= _STEP
     return total ^ (total >> np.uint64(32))
 
 
-def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return h >> np.uint64(64 - _FILTER_BITS), h & np.uint64((1 << _FILTER_BITS) - 1)
-
-
-def _windows_of(text: bytes, n: int, codes: _Codes, seen: np.ndarray | None):
-    """(position, hash, slots, their offsets) of the windows that pass the filter,
-    how many positions there are, and tokens in each."""
-    forms, values, tokens = _tokens(text, codes)
-    size = min(n, len(tokens))
-    own = _window_hashes(values, n)
-    out, earlier = [], []
-    for form in forms:
-        h = _window_hashes(form, n)
-        # A window of placeholders alone goes by its values.
-        literal = np.concatenate([[0], np.cumsum(~np.isin(form, _HOLDERS))])
-        h = np.where(literal[size : size + len(h)] == literal[: len(h)], own, h)
-        new = np.ones(len(h), bool)
-        for other in earlier:
-            new &= h != other
-        earlier.append(h)
-        at = np.flatnonzero(new)
-        if seen is not None and len(at):
-            first, second = _probes(h[at])
-            at = at[seen[first] & seen[second]]
-        for i in at.tolist():
-            holes = [j for j in range(i, min(i + n, len(tokens))) if form[j] in _HOLDERS]
-            slots = [tokens[j].lower().decode("utf-8", "replace") for j in holes]
-            out.append((i, h[i], slots, [j - i for j in holes]))
-    return out, len(earlier[0]), size
+def _among(h: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Which hashes pass the filter."""
+    found = seen[h >> np.uint64(64 - _FILTER_BITS)]
+    at = np.flatnonzero(found)
+    found[at] = seen[h[at] & np.uint64((1 << _FILTER_BITS) - 1)]
+    return found
+
+
+def _windows_of(texts: list[bytes], n: int, codes: _Codes, seen: np.ndarray | None):
+    """(text, position, positions of the text, tokens, hash, slots, their offsets) of
+    all windows that pass the filter. A text of fewer than ``n`` tokens is one window."""
+    t = _tokens(texts, codes)
+    lengths = np.diff(t.begins)
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    left = np.repeat(t.begins[1:], lengths) - np.arange(len(owner))
+    # In the second and third form only windows with a capitalised word are new.
+    named = t.holders[2] & ~t.holders[0]
+    for size in range(1, n + 1):
+        if size == n:
+            at = np.flatnonzero(left >= n)
+        else:
+            at = t.begins[:-1][lengths == size]
+        if not len(at):
+            continue
+        earlier: list[tuple[np.ndarray, np.ndarray]] = []
+        for form, holder in zip(t.forms, t.holders):
+            if earlier:
+                count = np.concatenate([[0], np.cumsum(named)])
+                at = at[count[at + size] > count[at]] if len(earlier) == 1 else at
+            h = _window_hashes(form, at, size)
+            # A window of placeholders alone goes by its values.
+            literal = np.concatenate([[0], np.cumsum(~holder)])
+            bare = np.flatnonzero(literal[at + size] == literal[at])
+            h[bare] = _window_hashes(t.values, at[bare], size)
+            new = np.ones(len(at), bool)
+            for places, other in earlier:
+                new &= h != other[np.searchsorted(places, at)]
+            earlier.append((at, h))
+            if seen is not None:
+                new &= _among(h, seen)
+            for i in np.flatnonzero(new).tolist():
+                first, row = int(at[i]), int(owner[at[i]])
+                holes = np.flatnonzero(holder[first : first + size]).tolist()
+                slots = [t.token(first + j) for j in holes]
+                positions = max(int(lengths[row]) - n, 0) + 1
+                yield row, first - int(t.begins[row]), positions, size, h[i], slots, holes
 
 
 def template_windows(
@@ -170,31 +283,25 @@ def template_windows(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, filter_ = _Codes(), held.value
-        for batch in batches:
-            row, pos, total, size, h, slots, holes = [], [], [], [], [], [], []
-            for i, text in enumerate(batch.column(len(ids))):
-                found, count, tokens = _windows_of(raw_bytes(text), n, codes, filter_)
-                for p, value, values, offsets in found:
-                    row.append(i)
-                    pos.append(p)
-                    total.append(count)
-                    size.append(tokens)
-                    h.append(value)
-                    slots.append(values)
-                    holes.append(offsets)
-            keys = [batch.column(i).take(pa.array(row, pa.int64())) for i in range(len(ids))]
-            yield pa.record_batch(
-                [
-                    *keys,
-                    pa.array(pos, pa.int32()),
-                    pa.array(total, pa.int32()),
-                    pa.array(size, pa.int32()),
-                    pa.array(np.array(h, np.uint64).view(np.int64)),
-                    pa.array(slots, pa.list_(pa.string())),
-                    pa.array(holes, pa.list_(pa.int32())),
-                ],
-                names=[*ids, "pos", "total", "size", "h", "slots", "holes"],
-            )
+        for whole in batches:
+            for first, last in row_blocks(text_bytes(whole.column(len(ids)))[1], TEXT_BYTES):
+                batch = whole.slice(first, last - first)
+                texts = [raw_bytes(text) for text in batch.column(len(ids))]
+                found = list(zip(*_windows_of(texts, n, codes, filter_))) or [[]] * 7
+                row, pos, total, size, h, slots, holes = found
+                keys = [batch.column(i).take(pa.array(row, pa.int64())) for i in range(len(ids))]
+                yield pa.record_batch(
+                    [
+                        *keys,
+                        pa.array(pos, pa.int32()),
+                        pa.array(total, pa.int32()),
+                        pa.array(size, pa.int32()),
+                        pa.array(np.array(h, np.uint64).view(np.int64)),
+                        pa.array(slots, pa.list_(pa.string())),
+                        pa.array(holes, pa.list_(pa.int32())),
+                    ],
+                    names=[*ids, "pos", "total", "size", "h", "slots", "holes"],
+                )
 
     return rows.mapInArrow(tidied(cut), schema)
 
