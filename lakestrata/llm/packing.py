@@ -271,7 +271,7 @@ def place_pieces(pieces: DataFrame, size: int = SEQUENCE_IDS) -> DataFrame:
             (F.col("at") + F.col("i") % F.col("each") * F.col("length")).alias("offset"),
         )
     )
-    ranked = pieces.join(before, ["part", "length"]).withColumn(
+    ranked = pieces.join(before.hint("merge"), ["part", "length"]).withColumn(
         "_rank", F.col("_before") + F.col("place")
     )
     kept = [c for c in pieces.columns if c not in ("part", "place")]
