@@ -12,10 +12,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, free_prefix, row_blocks, text_bytes
+from ..functions import fits_broadcast
+from .common import LOWER, free_prefix, row_blocks, stored, text_bytes
 
 # Languages by family, as ISO 639 codes. Others make up a family.
 FAMILIES = {
@@ -65,11 +66,14 @@ def gram_bins(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
 
 @dataclass(frozen=True)
 class LanguageSettings:
-    """``per_language`` bounds the labelled rows of each language that a fit reads,
-    ``languages`` the languages it learns, those with most rows first."""
+    """``per_language`` and ``per_family`` bound the distinct labelled texts that the
+    machines of a language and of a family learn from. A family of more than
+    ``members`` languages is cut into several, so pairs grow with the languages and
+    not with their square."""
 
     per_language: int = 1500
-    languages: int = 400
+    per_family: int = 6000
+    members: int = 16
     epochs: int = 6
     regularization: float = 1e-4
 
@@ -108,88 +112,141 @@ def _machine(rows: list, signs: np.ndarray, s: LanguageSettings, seed: int) -> n
     return total
 
 
-def _fit(texts: list[bytes], langs: list[str], s: LanguageSettings) -> LanguageModel:
-    rows = []
-    for text in texts:
-        data = np.frombuffer(text, np.uint8)
-        bins = np.concatenate(gram_bins(data, np.array([0, len(data)])))
-        at, counts = np.unique(bins, return_counts=True)
-        x = counts * (_SCALE / max(len(data), 1))
-        rows.append((np.append(at, 1 << BINS).astype(np.int64), np.append(x, 1.0)))
-    by_family: dict[str, list[str]] = {}
-    for lang in sorted(set(langs)):
-        by_family.setdefault(family_of(lang), []).append(lang)
-    families = tuple(sorted(by_family))
-    of = np.array([families.index(family_of(x)) for x in langs], int)
-    weights = np.zeros((len(families), (1 << BINS) + 1))
-    if len(families) > 1:
-        for f in range(len(families)):
-            weights[f] = _machine(rows, np.where(of == f, 1.0, -1.0), s, f)
-    pairs = {}
-    names = np.array(langs)
-    for members in by_family.values():
-        for a, b in combinations(members, 2):
-            some = np.flatnonzero((names == a) | (names == b))
-            signs = np.where(names[some] == a, 1.0, -1.0)
-            pairs[a, b] = _machine([rows[i] for i in some], signs, s, len(pairs))
-    return LanguageModel(families, {f: tuple(m) for f, m in by_family.items()}, weights, pairs)
+def _features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(text, np.uint8)
+    bins = np.concatenate(gram_bins(data, np.array([0, len(data)])))
+    at, counts = np.unique(bins, return_counts=True)
+    x = counts * (_SCALE / max(len(data), 1))
+    return np.append(at, 1 << BINS).astype(np.int64), np.append(x, 1.0)
+
+
+def _families(langs: list[str], members: int) -> dict[str, tuple[str, ...]]:
+    """Languages by family, both in order of name; a large family in parts."""
+    whole: dict[str, list[str]] = {}
+    for lang in sorted(langs):
+        whole.setdefault(family_of(lang), []).append(lang)
+    return {
+        family if not at else f"{family} {at // members + 1}": tuple(found[at : at + members])
+        for family, found in sorted(whole.items())
+        for at in range(0, len(found), members)
+    }
+
+
+def first_places(rows: DataFrame, n: int) -> DataFrame:
+    """Of ``rows`` (lang, place) the ``n`` smallest distinct places of each language,
+    with ``rank`` (from 1). A task sends no more than ``n`` of each on."""
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            coded = batch.column(0).dictionary_encode()
+            index, place = np.asarray(coded.indices), np.asarray(batch.column(1))
+            for i, lang in enumerate(coded.dictionary.to_pylist()):
+                both = np.concatenate([held.get(lang, place[:0]), place[index == i]])
+                held[lang] = np.unique(both)[:n]
+        for lang, places in held.items():
+            yield pa.record_batch(
+                [pa.repeat(pa.scalar(lang), len(places)), pa.array(places)], names=["lang", "place"]
+            )
+
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    return (
+        rows.select("lang", "place")
+        .mapInArrow(smallest, "lang string, place long")
+        .distinct()
+        .select("lang", "place", rank.alias("rank"))
+        .filter(F.col("rank") <= n)
+    )
+
+
+def _sample(docs: DataFrame, s: LanguageSettings) -> DataFrame:
+    """lang, place, rank and text of the distinct labelled texts that are learned from."""
+    known = (
+        docs.select("text", "lang")
+        .filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+        .withColumn("place", F.xxhash64("text", F.lit(5)))
+    )
+    places = stored(first_places(known, s.per_language), "label-places")
+    if fits_broadcast(places):
+        places = F.broadcast(places)
+    # Copies of a text are one row before the shuffle and after it.
+    return stored(
+        known.join(places, ["lang", "place"])
+        .groupBy("lang", "place", "rank")
+        .agg(F.min("text").alias("text")),
+        "labelled",
+    )
 
 
 def train_language_id(
     docs: DataFrame, settings: LanguageSettings = LanguageSettings()
 ) -> LanguageModel:
-    """Fit on at most ``settings.per_language`` rows of each language, taken by a
-    hash of the text.
+    """Fit on distinct labelled texts, taken by a hash of the text: every language has
+    as many as it has, up to ``settings.per_language``.
 
     ``docs``: text, lang. Rows with a NULL lang, or a text that is NULL or has no
-    letter, are left out. One task reads the sample and returns the weights.
+    letter, are left out; copies count once. All languages are learned. Each machine
+    is a group of its own: one against the rest for a family, one against one for two
+    languages of a family. The driver gets their weights, 256 KB a machine.
     """
-    s = settings
-    known = docs.select("text", "lang").filter(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
-    )
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    taken = counts.orderBy(F.desc("n"), "lang").limit(s.languages).collect()
-    if not taken:
+    s, spark = settings, docs.sparkSession
+    sample = _sample(docs, s)
+    families = _families([r.lang for r in sample.select("lang").distinct().collect()], s.members)
+    if not families:
         return LanguageModel((), {}, np.zeros((0, (1 << BINS) + 1)), {})
-    share = [(r.lang, min(1.0, 1.2 * s.per_language / r.n)) for r in taken]
-    limits = [(lang, min(int(x * 2**64) - 2**63, 2**63 - 1)) for lang, x in share]
-    limit = docs.sparkSession.createDataFrame(limits, "lang string, last long")
-    sample = (
-        known.withColumn("place", F.xxhash64("text", F.lit(5)))
-        .join(F.broadcast(limit), "lang")
-        .filter(F.col("place") <= F.col("last"))
-        .select("place", "lang", "text")
-        .repartition(1)
-        .sortWithinPartitions("place", "lang")
+    family = spark.createDataFrame(
+        [(lang, name) for name, langs in families.items() for lang in langs],
+        "lang string, family string",
+    )
+    # Machines that a language takes part in, and the other side of each.
+    pairs = spark.createDataFrame(
+        [
+            (own, a, b, own == a)
+            for langs in families.values()
+            for a, b in combinations(langs, 2)
+            for own in (a, b)
+        ],
+        "lang string, a string, b string, is_first boolean",
+    )
+    columns = ["a", "b", "is_first", "lang", "place", "text"]
+    two = sample.join(F.broadcast(pairs), "lang").select(*columns)
+    # The first texts of every language of a family in turn.
+    turn = Window.partitionBy("family").orderBy("rank", "lang")
+    named = (
+        sample.join(F.broadcast(family), "lang")
+        .withColumn("turn", F.row_number().over(turn))
+        .filter(F.col("turn") <= s.per_family)
+    )
+    names = F.array(*[F.lit(f) for f in families]) if len(families) > 1 else F.array().cast("array<string>")
+    one = (
+        named.withColumn("a", F.explode(names))
+        .withColumn("b", F.lit(""))
+        .withColumn("is_first", F.col("a") == F.col("family"))
+        .select(*columns)
     )
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, langs, n = [], [], {}
-        for batch in batches:
-            for lang, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if n.get(lang, 0) < s.per_language:
-                    n[lang] = n.get(lang, 0) + 1
-                    texts.append(text.encode())
-                    langs.append(lang)
-        model = _fit(texts, langs, s)
-        one = [(f, "", w) for f, w in zip(model.families, model.family_weights)]
-        two = [(a, b, w) for (a, b), w in model.pair_weights.items()]
-        for a, b, w in one + two:
-            weights = pa.array([w.tolist()], pa.list_(pa.float64()))
-            yield pa.record_batch([pa.array([a]), pa.array([b]), weights], names=["a", "b", "w"])
-
-    found = sample.mapInArrow(fit, "a string, b string, w array<double>").collect()
-    families = {r.a: np.array(r.w) for r in found if r.b == ""}
-    order = tuple(sorted(families))
-    by_family: dict[str, tuple[str, ...]] = {}
-    for lang, _ in sorted(limits):
-        by_family[family_of(lang)] = (*by_family.get(family_of(lang), ()), lang)
+    def fit(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("lang", "ascending"), ("place", "ascending")])
+        features = [_features(text.encode()) for text in rows.column("text").to_pylist()]
+        signs = np.where(rows.column("is_first").to_numpy(), 1.0, -1.0)
+        weights = _machine(features, signs, s, 0)
+        return pa.table(
+            {
+                "a": rows.column("a").slice(0, 1),
+                "b": rows.column("b").slice(0, 1),
+                "w": pa.array([weights.tolist()], pa.list_(pa.float64())),
+            }
+        )
+
+    machines = one.unionByName(two).groupBy("a", "b")
+    found = machines.applyInArrow(fit, "a string, b string, w array<double>").collect()
+    weights = {(r.a, r.b): np.array(r.w) for r in found}
+    none = np.zeros((1 << BINS) + 1)
     return LanguageModel(
-        order,
-        by_family,
-        np.array([families[f] for f in order]),
-        {(r.a, r.b): np.array(r.w) for r in found if r.b},
+        tuple(families),
+        families,
+        np.array([weights.pop((f, ""), none) for f in families]),
+        weights,
     )
 
 
