@@ -15,6 +15,7 @@ the ids of all shards before each.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -54,15 +55,18 @@ class PieceEncoder:
 
     Byte-level pre-tokenizers never join what comes before a single space with
     what follows it, so a text is cut before such spaces and each distinct piece
-    is encoded once. Texts with other white space around spaces, and texts of
-    other tokenizers, are encoded whole.
+    is encoded once. Texts with other white space around spaces or with the string of
+    an added token, and texts of other tokenizers, are encoded whole. Strings of
+    special tokens give those tokens, as in the library, unless ``special_as_text``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         # Tasks are the parallel part; threads of its own would only add memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([_LOOSE, *added])
         self.by_piece = "ByteLevel" in str(self.tokenizer.pre_tokenizer) and (
             self.tokenizer.normalizer is None
         )
@@ -106,7 +110,7 @@ class PieceEncoder:
         texts, end = texts.fill_null(""), np.array(end, np.uint32)
         if not self.by_piece:
             return [np.concatenate((ids, end)) for ids in self._encode(texts.to_pylist())]
-        loose = np.asarray(pc.match_substring_regex(texts, _LOOSE))
+        loose = np.asarray(pc.match_substring_regex(texts, self.whole))
         pieces = pc.split_pattern(texts.filter(pa.array(~loose)), " ")
         flat = pieces.flatten()
         cuts = np.asarray(pieces.offsets)
@@ -154,27 +158,32 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> PieceEncoder:
+def _encoder(path: str, special_as_text: bool) -> PieceEncoder:
     """One for all tasks of a worker process."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, special_as_text)
 
 
 def write_token_store(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0
+    docs: DataFrame,
+    path: str,
+    tokenizer: str,
+    end_id: int | None = 0,
+    special_as_text: bool = False,
 ) -> None:
     """Encode every ``text`` of ``docs`` (doc_id, text) and write the ids below ``path``.
 
     Documents follow in ascending doc_id order, NULL ids first; rows of one id in
     the order of a hash of their text. A NULL text is empty: only the end id is
     written. ``tokenizer``: a file of the tokenizers library that every executor
-    has. Texts are spread by ranges of the key before they are encoded, so a task
+    has; strings of its special tokens are encoded as the library does it, or with
+    ``special_as_text`` like any other text. Texts are spread by ranges of the key before they are encoded, so a task
     encodes once and writes its shard as it goes, a segment at a time.
     """
     spark = docs.sparkSession
     tail = [] if end_id is None else [end_id]
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, special_as_text)
         parts: list[np.ndarray] = []
         size, count, first, shard = 0, 0, 0, -1
         names: list[int | None] = []
@@ -256,6 +265,7 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Every document of a store, from its files: doc_id, start (ids of all
     documents before it), n_tokens, ids_crc32 (of its ids as little-endian uint32).
+    An empty store has no rows.
     """
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +297,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str, begin: int, end: int) -> list[int]:
     """Ids of the store from place ``begin`` up to ``end``: only the segments that
-    hold them are read, and of those only the chunks that are asked for."""
+    hold them are read, and of those only the chunks that are asked for. Places beyond
+    the store, and any place of an empty store, give no ids."""
     wanted = _placed(spark, path).filter(
         (F.col("start") < end) & (F.col("start") + F.col("n_ids") > begin)
     )

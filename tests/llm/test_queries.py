@@ -158,7 +158,6 @@ def test_mix_has_the_target_words(stages):
 
 def test_token_store_holds_the_mix(stages):
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     wanted = []
     for doc, text, _ in rows(stages[4]):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
