@@ -1,5 +1,6 @@
 """Column expressions and checks shared by the operators."""
 
+from .columns import keeps_all, name_rule
 from .measures import (
     add_totals,
     as_doubles,
@@ -21,8 +22,10 @@ __all__ = [
     "exact_total",
     "fits_broadcast",
     "is_total",
+    "keeps_all",
     "largest_first",
     "measured_bytes",
+    "name_rule",
     "nan_to_null",
     "revenue",
 ]

@@ -7,10 +7,13 @@ reads, and can simply be run again. ``overwrite`` writes the whole table,
 ``append`` only the new rows, ``merge`` only the batch, and ``add_column`` no rows
 at all. One writer at a time: two writers could both take the same version number.
 
-A merged folder says by which keys it replaces rows: a reader takes the rows of
-the folders before it whose keys it does not hold, by an anti-join. So every merge
-costs each later read one more join with that batch, until ``overwrite`` with the
-current rows gathers the table.
+A merged folder says by which keys it replaces rows of the folders before it. The
+folders of a version are numbered; a reader makes one table of the keys of all merged
+folders, with the number of the last that holds each, and one left join with it drops
+the rows of folders before that number. So a read has one join however many merges
+there were (one per set of key columns, if merges differ in it), and a merge costs
+later reads its own rows and, once more, its keys; ``overwrite`` with the current rows
+gathers the table.
 """
 
 from __future__ import annotations
@@ -24,20 +27,9 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ByteType,
-    DataType,
-    DecimalType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    NullType,
-    ShortType,
-    StructField,
-    StructType,
-)
+from pyspark.sql.types import StructField, StructType
 
+from ..functions import keeps_all, name_rule
 from ..operators.upsert import as_target_rows, reject_ambiguous
 from .tables import spread_for_write
 
@@ -65,26 +57,6 @@ def _schema(text: str) -> StructType:
     return StructType.fromJson(json.loads(text))
 
 
-_WHOLE = (ByteType, ShortType, IntegerType, LongType)
-
-
-def _keeps_all(given: DataType, known: DataType) -> bool:
-    """Whether every value of type ``given`` is one of type ``known``."""
-    if given.simpleString() == known.simpleString() or isinstance(given, NullType):
-        return True
-    if isinstance(known, _WHOLE):
-        return isinstance(given, _WHOLE[: _WHOLE.index(type(known))])
-    if isinstance(known, DoubleType):
-        return isinstance(given, (FloatType, ByteType, ShortType, IntegerType))
-    if isinstance(known, FloatType):
-        return isinstance(given, (ByteType, ShortType))
-    if isinstance(known, DecimalType) and isinstance(given, DecimalType):
-        return given.scale <= known.scale and (
-            given.precision - given.scale <= known.precision - known.scale
-        )
-    return False
-
-
 class VersionedTable:
     """Numbered versions 0, 1, 2, ... of one table below ``root``."""
 
@@ -164,12 +136,15 @@ class VersionedTable:
 
         A row whose key is in the batch is replaced by the batch row, NULLs
         included; other batch rows are added; a NULL key matches nothing. Two
-        batch rows for one row raise ValueError. Only the batch is written. One
-        pass over the key columns counts the rows that it replaces.
+        batch rows for one row raise ValueError, as does a column of another type
+        than the table's unless the cast loses nothing; columns that the table
+        lacks are left out. Only the batch is written. One pass over the key
+        columns counts the rows that it replaces.
         """
-        keys = [key] if isinstance(key, str) else list(key)
         latest = self._latest()
         columns, version = _schema(latest["columns"]), latest["version"] + 1
+        names = {self._same(c): c for c in columns.names}
+        keys = [names.get(self._same(k), k) for k in ([key] if isinstance(key, str) else key)]
         rows = as_target_rows(batch, columns)
         written = self._write_folder(rows, version, partition_by, rebalance)
         new = Folder(written.path, written.columns, tuple(keys))
@@ -222,8 +197,7 @@ class VersionedTable:
 
     def _same(self, name: str) -> str:
         """What two names have in common if the session takes them for one."""
-        sensitive = self.spark.conf.get("spark.sql.caseSensitive", "false")
-        return name if sensitive.lower() == "true" else name.lower()
+        return name_rule(self.spark)(name)
 
     def _fitted(self, df: DataFrame, known: StructType) -> tuple[DataFrame, list[StructField]]:
         """``df`` with the names and types of the known columns, and its new ones."""
@@ -239,7 +213,7 @@ class VersionedTable:
             if into is None:
                 added.append(field)
                 picked.append(F.col(field.name))
-            elif _keeps_all(field.dataType, into.dataType):
+            elif keeps_all(field.dataType, into.dataType):
                 picked.append(F.col(field.name).cast(into.dataType).alias(into.name))
             else:
                 raise ValueError(
@@ -274,18 +248,44 @@ class VersionedTable:
         return record
 
     def _rows(self, record: Row) -> DataFrame:
-        columns = _schema(record["columns"])
-        rows = None
-        for folder in _folders(record):
-            part = self._with_columns(self._scan(folder), folder, columns)
-            if rows is None:
-                rows = part
-                continue
+        columns, folders = _schema(record["columns"]), _folders(record)
+        number = "_folder"
+        while any(self._same(c).startswith(number) for c in columns.names):
+            number = f"_{number}"
+        parts = [
+            self._with_columns(self._scan(folder), folder, columns).withColumn(number, F.lit(i))
+            for i, folder in enumerate(folders)
+        ]
+        # Rows of the last merged folder and of later ones are not replaced.
+        last = max((i for i, folder in enumerate(folders) if folder.keys), default=0)
+        union = lambda rows: reduce(DataFrame.unionByName, rows)
+        if last:
+            replaceable = union(parts[:last])
+            for keys, merged in self._replaced_keys(folders, number).items():
+                ending = f"{number}_last"
+                replaceable = replaceable.join(
+                    merged.withColumnRenamed(number, ending), list(keys), "left"
+                ).filter(F.col(ending).isNull() | (F.col(number) >= F.col(ending)))
+                replaceable = replaceable.select(*columns.names, number)
+            parts[:last] = [replaceable]
+        return union(parts).select(*columns.names)
+
+    def _replaced_keys(
+        self, folders: list[Folder], number: str
+    ) -> dict[tuple[str, ...], DataFrame]:
+        """For each set of key columns by which folders were merged: every key, and
+        the number of the last folder that was merged with it."""
+        merged: dict[tuple[str, ...], list[DataFrame]] = {}
+        for i, folder in enumerate(folders):
             if folder.keys:
-                keys = self._scan(folder).select(*folder.keys)
-                rows = rows.join(keys, list(folder.keys), "left_anti").select(*columns.names)
-            rows = rows.unionByName(part)
-        return rows
+                keys = self._scan(folder).select(*folder.keys).dropna()
+                merged.setdefault(tuple(sorted(folder.keys)), []).append(
+                    keys.withColumn(number, F.lit(i))
+                )
+        return {
+            keys: reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.max(number).alias(number))
+            for keys, parts in merged.items()
+        }
 
     def _write_folder(
         self, df: DataFrame, version: int, partition_by: Sequence[str], rebalance: bool

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 from pathlib import Path
 
 import pytest
@@ -217,12 +219,93 @@ def test_partition_values_keep_their_type(spark, versioned):
     ]
 
 
+def joins_and_scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    return len(re.findall(r"HashJoin|SortMergeJoin|NestedLoopJoin", plan)), plan.count("FileScan")
+
+
+def test_ten_merges_are_read_by_one_join(spark, versioned):
+    """Random merges, appends and new columns against rows kept in Python."""
+    rng = random.Random(7)
+    rows = [(i, float(i), f"k{i % 9}") for i in range(60)] + [(None, -1.0, None)]
+    schema = "id bigint, price double, code string"
+    versioned.overwrite(spark.createDataFrame(rows, schema))
+    wanted = [sorted(rows, key=repr)]
+    for step in range(10):
+        batch = {rng.randrange(80): float(100 * step + i) for i in range(rng.randint(1, 12))}
+        new = [(k, v, None if step % 3 else f"k{k}") for k, v in batch.items()]
+        new += [(None, float(step), "no key")] * (step % 2)
+        versioned.merge(spark.createDataFrame(new, schema), "ID" if step % 2 else "id")
+        rows = [r for r in rows if r[0] not in batch or r[0] is None] + new
+        wanted.append(sorted(rows, key=repr))
+        if step % 4 == 1:
+            more = [(rng.randrange(80), -float(step), "again") for _ in range(3)]
+            versioned.append(spark.createDataFrame(more, schema))
+            rows = rows + more
+            wanted.append(sorted(rows, key=repr))
+    for version, expected in enumerate(wanted):
+        found = [tuple(r) for r in versioned.as_of(version).collect()]
+        assert sorted(found, key=repr) == expected
+    assert [r.n_rows for r in versioned.history().collect()] == [len(r) for r in wanted]
+    n_joins, n_scans = joins_and_scans(versioned.current())
+    assert n_joins == 1
+    assert n_scans <= len(wanted) + 10
+    assert joins_and_scans(versioned.current().filter("price > 3").select("id"))[0] == 1
+
+
+def test_merges_by_different_keys(spark, versioned):
+    schema = "a int, b int, v int"
+    versioned.overwrite(spark.createDataFrame([(1, 1, 0), (1, 2, 0), (2, 2, 0), (3, None, 0)], schema))
+    versioned.merge(spark.createDataFrame([(1, 9, 1)], schema), "a")
+    versioned.merge(spark.createDataFrame([(2, 2, 2), (3, None, 2)], schema), ["b", "a"])
+    versioned.merge(spark.createDataFrame([(5, 9, 3), (6, 2, 3)], schema), "b")
+    versioned.merge(spark.createDataFrame([(3, 3, 4)], schema), "a")
+    assert tuples(versioned.current()) == [(3, 3, 4), (5, 9, 3), (6, 2, 3)]
+    assert tuples(versioned.as_of(2)) == [(1, 9, 1), (2, 2, 2), (3, None, 0), (3, None, 2)]
+    assert joins_and_scans(versioned.current())[0] == 3
+
+
+def test_columns_named_like_the_folder_number(spark, versioned):
+    df = spark.createDataFrame([(1, 10), (2, 20)], "id int, _folder_last int")
+    versioned.overwrite(df)
+    versioned.merge(spark.createDataFrame([(2, 21)], df.schema), "id")
+    assert versioned.current().columns == df.columns
+    assert tuples(versioned.current()) == [(1, 10), (2, 21)]
+
+
+def test_merge_refuses_what_it_cannot_keep(spark, versioned):
+    versioned.overwrite(spark.createDataFrame([(1, 5)], "id int, q int"))
+    written = set(Path(versioned.root).glob("data/*"))
+    for batch in (
+        spark.createDataFrame([(1, 7.9)], "id int, q double"),
+        spark.createDataFrame([(1, 7)], "id int, q bigint"),
+        spark.createDataFrame([(1, "7")], "id int, q string"),
+    ):
+        with pytest.raises(ValueError, match="in the target"):
+            versioned.merge(batch, "id")
+        with pytest.raises(ValueError, match="in the target"):
+            merge_upsert(versioned.current(), batch, "id")
+    assert versioned.latest_version() == 0
+    assert set(Path(versioned.root).glob("data/*")) == written
+    versioned.merge(spark.createDataFrame([(1, 7)], "ID smallint, Q smallint"), "Id")
+    assert versioned.current().dtypes == [("id", "int"), ("q", "int")]
+    assert tuples(versioned.current()) == [(1, 7)]
+
+
 def test_region_filter_prunes_folders(spark, versioned):
     versioned.overwrite(some_events(spark), partition_by=["region"])
     plan = versioned.current().filter("region = 'north'")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(region" in plan
 
 
+def test_region_filter_prunes_folders_of_merges(spark, versioned):
+    versioned.overwrite(some_events(spark), partition_by=["region"])
+    versioned.merge(some_events(spark, 4), "event_id", partition_by=["region"])
+    plan = versioned.current().filter("region = 'north'")._jdf.queryExecution().toString()
+    assert plan.split("Physical Plan")[1].count("PartitionFilters: [isnotnull(region") == 2
+
+
 def test_empty_table(spark, versioned):
     versioned.overwrite(some_events(spark).limit(0), partition_by=["region"])
     assert versioned.current().count() == 0
