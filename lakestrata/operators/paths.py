@@ -1,9 +1,12 @@
 """Summaries of price paths given as log returns in steps.
 
 The price after a step is ``base * exp(sum of the returns so far)``. One key may
-hold most of the rows, so its running sum must not need one task. Keys are cut
-into runs of steps: each run is summed from zero on its own, the totals of
-the earlier runs are then added to the few figures that describe a run.
+hold most of the rows, so its running sum must not need one task. All rows are
+range-partitioned by key and step: Spark samples the splitters, so a range has about
+the same number of rows whatever the steps are (1, 2, 3 or time stamps) and a crowded
+key spans several ranges. The rows of a key in a range are a run. Each run is summed
+from zero on its own; the totals of the earlier runs are then added to the few
+figures that describe a run.
 """
 
 from __future__ import annotations
@@ -14,33 +17,26 @@ from pyspark.sql import functions as F
 ROWS_PER_RUN = 1_000_000
 
 
-def path_summary(
-    returns: DataFrame,
-    bases: DataFrame,
-    key: str = "product_id",
-    step: str = "step",
-    log_return: str = "log_return",
-    base_price: str = "base_price",
-    rows_per_run: int = ROWS_PER_RUN,
-) -> DataFrame:
-    """Final, highest and lowest price and population deviation per key.
+def path_runs(moves: DataFrame, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
+    """Figures of the runs of ``moves`` (key, step, move): key, run (ascending with the
+    steps of a key), n, last (sum of the moves), high and low (largest and smallest
+    running sum), and mean and variance of the prices relative to the highest.
 
-    ``step`` is a whole number that occurs once per key, so a run of
-    ``rows_per_run`` consecutive steps has at most that many rows. A key without
-    a base price has no result row.
+    There are as many ranges as there are shuffle partitions, and more if a range
+    would hold over ``rows_per_run`` rows; so there are at most as many runs as keys
+    and ranges together.
     """
-    moves = returns.select(
-        F.col(key).alias("key"), F.col(step).alias("step"), F.col(log_return).alias("move")
+    width = int(moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(width, -(-moves.count() // rows_per_run))
+    placed = moves.repartitionByRange(ranges, "key", "step").withColumn(
+        "run", F.spark_partition_id()
     )
-    run = F.col("step") - F.pmod(F.col("step"), F.lit(rows_per_run))
-    moves = moves.withColumn("run", run)
-
     in_run = Window.partitionBy("key", "run")
     so_far = in_run.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Prices within a run are taken relative to its peak, so that exp() stays
     # in range however far the path has moved before the run.
-    runs = (
-        moves.withColumn("level", F.sum("move").over(so_far))
+    return (
+        placed.withColumn("level", F.sum("move").over(so_far))
         .withColumn("peak", F.max("level").over(in_run))
         .withColumn("share", F.exp(F.col("level") - F.col("peak")))
         .groupBy("key", "run")
@@ -54,6 +50,26 @@ def path_summary(
         )
     )
 
+
+def path_summary(
+    returns: DataFrame,
+    bases: DataFrame,
+    key: str = "product_id",
+    step: str = "step",
+    log_return: str = "log_return",
+    base_price: str = "base_price",
+    rows_per_run: int = ROWS_PER_RUN,
+) -> DataFrame:
+    """Final, highest and lowest price and population deviation per key.
+
+    ``step`` gives the order within a key and occurs once per key; any type that
+    Spark can order will do. A key without a base price has no result row.
+    """
+    moves = returns.select(
+        F.col(key).alias("key"), F.col(step).alias("step"), F.col(log_return).alias("move")
+    )
+    runs = path_runs(moves, rows_per_run)
+
     by_key = Window.partitionBy("key")
     before = by_key.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     placed = runs.withColumn("start", F.coalesce(F.sum("last").over(before), F.lit(0.0)))
