@@ -11,6 +11,7 @@ from .measures import (
     largest_first,
     nan_to_null,
     revenue,
+    total_as_double,
 )
 from .sizing import fits_broadcast, measured_bytes
 
@@ -28,4 +29,5 @@ __all__ = [
     "name_rule",
     "nan_to_null",
     "revenue",
+    "total_as_double",
 ]

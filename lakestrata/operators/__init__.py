@@ -1,6 +1,7 @@
 """Operators: DataFrames in, DataFrame out, no session settings touched."""
 
 from .aggregates import (
+    best_products,
     daily_event_counts,
     grand_totals,
     region_features,
@@ -20,6 +21,7 @@ from .upsert import merge_upsert
 from .windows import daily_revenue, rank_in_day, rolling_revenue
 
 __all__ = [
+    "best_products",
     "category_revenue",
     "clean",
     "count_rows",

@@ -56,19 +56,24 @@ def top_products(
     event_type: str = "purchase",
     k: int = 10,
 ) -> DataFrame:
-    """The k products with the highest revenue, with their product columns.
+    """The k products with the highest revenue, with their product columns."""
+    totals = (
+        events.filter(F.col("event_type") == event_type)
+        .groupBy("product_id")
+        .agg(exact_total(revenue()).alias("total_revenue"))
+    )
+    return best_products(totals, products, k)
+
+
+def best_products(totals: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
+    """The k rows of ``totals`` (product_id, total_revenue) with the highest totals,
+    with their product columns.
 
     Equal revenues are ordered by product. The list is cut to k before the
     product table is looked up: every row of the final list belongs to one of
     the k best products, and then only k keys meet the product table.
     """
-    best = (
-        events.filter(F.col("event_type") == event_type)
-        .groupBy("product_id")
-        .agg(exact_total(revenue()).alias("total_revenue"))
-        .orderBy(*largest_first("total_revenue"), "product_id")
-        .limit(k)
-    )
+    best = totals.orderBy(*largest_first("total_revenue"), "product_id").limit(k)
     # k rows at most, so the broadcast does not grow with the data.
     wanted = F.broadcast(best.select("product_id"))
     described = products.join(wanted, "product_id", "left_semi")

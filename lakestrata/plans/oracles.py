@@ -134,6 +134,16 @@ silver AS (
 )"""
 _SILVER_AMOUNT = "price * CAST(quantity AS DECIMAL(9,0))"
 
+# The same, after all purchases came once more under new keys, corrected.
+_REFRESHED = f"""{_SILVER},
+refreshed AS (
+  SELECT region, event_type, product_id, {_SILVER_AMOUNT} AS amount FROM silver
+  UNION ALL
+  SELECT region, event_type, product_id,
+         {_PRICE} * CAST({LATE_PRICE_FACTOR} AS DECIMAL(3,2)) * CAST(quantity AS DECIMAL(9,0))
+  FROM evt WHERE price > 0 AND quantity > 0 AND event_type = 'purchase'
+)"""
+
 
 ORACLES: dict[str, str] = {
     "bronze_ingest": f"""WITH {_SALES}
@@ -291,6 +301,17 @@ SELECT region, date, CAST(amount AS DOUBLE) AS daily_revenue,
        CAST(SUM(amount) OVER (PARTITION BY region ORDER BY date
             ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_7d_revenue
 FROM days""",
+    "refreshed_revenue": f"""WITH {_REFRESHED}
+SELECT region, event_type, CAST(SUM(amount) AS DOUBLE) AS total_revenue, COUNT(*) AS event_count
+FROM refreshed GROUP BY region, event_type""",
+    "refreshed_top_products": f"""WITH {_REFRESHED}, {_PRODUCTS},
+best AS (
+  SELECT product_id, SUM(amount) AS total FROM refreshed
+  WHERE event_type = 'purchase' GROUP BY product_id
+)
+SELECT product_id, CAST(total AS DOUBLE) AS total_revenue, category, base_price
+FROM best LEFT JOIN products USING (product_id)
+ORDER BY total DESC, product_id LIMIT 10""",
     "job_results": f"""WITH {_DAILY}, {_PRODUCTS},
 types AS (
   SELECT region, event_type, {_REVENUE} AS revenue,

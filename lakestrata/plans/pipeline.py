@@ -6,22 +6,25 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import as_doubles
 from ..operators import (
     category_revenue,
     clean,
-    daily_event_counts,
     daily_revenue,
     rank_in_day,
     region_type_stats,
-    revenue_by_region_type,
     rolling_revenue,
     sorted_revenue,
-    top_products,
     user_region_totals,
 )
+from ..operators.upsert import as_target_rows
 from ..sources import VersionedTable, scan, write_table
+from .gold import curated, replaced_rows, update_totals, write_totals
+
+TOTALS = ("days", "products")
+GOLD = ("revenue_by_region_type", "daily_event_counts", "top_products", "rolling_revenue")
 
 
 @dataclass(frozen=True)
@@ -31,6 +34,7 @@ class PipelineTables:
     bronze_events: str
     bronze_dimensions: Mapping[str, str]
     silver: VersionedTable
+    totals: Mapping[str, VersionedTable]
     gold: Mapping[str, VersionedTable]
 
 
@@ -61,16 +65,11 @@ def evolve_with_discount(table: VersionedTable) -> int:
 # -- gold ------------------------------------------------------------------
 
 
-def gold_tables(
-    events: DataFrame, products: DataFrame, purchase: str = "purchase"
-) -> dict[str, DataFrame]:
-    """The four curated results over cleaned events."""
-    return {
-        "revenue_by_region_type": revenue_by_region_type(events),
-        "daily_event_counts": daily_event_counts(events),
-        "top_products": top_products(events, products, purchase),
-        "rolling_revenue": as_doubles(rolling_revenue(daily_revenue(events))),
-    }
+def _write_gold(tables: PipelineTables) -> None:
+    products = scan(tables.silver.spark, tables.bronze_dimensions["products"])
+    totals = {name: table.current() for name, table in tables.totals.items()}
+    for name, result in curated(totals, products).items():
+        tables.gold[name].overwrite(result)
 
 
 # -- whole runs ------------------------------------------------------------
@@ -89,7 +88,8 @@ def run_pipeline(
     ``dimensions`` must hold ``products``. ``late`` are corrected or new events,
     with the columns of the events and ``discount``; they are cleaned like the
     others and merged in by ``event_id``. Without them no value is changed. Each
-    layer reads what the layer before it has stored.
+    layer reads what the layer before it has stored; the gold tables read two tables
+    of totals, which ``refresh_pipeline`` keeps up to date.
     """
     bronze_events = f"{root}/bronze/events"
     store_events(events, bronze_events)
@@ -107,12 +107,41 @@ def run_pipeline(
         rows = clean(late, timestamp_type=timestamp_type)
         silver.merge(rows, "event_id", partition_by=["region"])
 
-    gold = {}
-    results = gold_tables(silver.current(), scan(spark, folders["products"]))
-    for name, result in results.items():
-        gold[name] = VersionedTable(spark, f"{root}/gold/{name}")
-        gold[name].overwrite(result)
-    return PipelineTables(bronze_events, folders, silver, gold)
+    tables = PipelineTables(
+        bronze_events,
+        folders,
+        silver,
+        {name: VersionedTable(spark, f"{root}/totals/{name}") for name in TOTALS},
+        {name: VersionedTable(spark, f"{root}/gold/{name}") for name in GOLD},
+    )
+    write_totals(silver.current(), tables.totals)
+    _write_gold(tables)
+    return tables
+
+
+def refresh_pipeline(
+    tables: PipelineTables, late: DataFrame, root: str, timestamp_type: str = "timestamp"
+) -> None:
+    """Merge late rows into the silver table of a finished run and bring its gold
+    tables up to date; the result is that of a full run with the same rows.
+
+    ``root``: a fresh folder for the change set. Of the silver events only those that
+    the late rows replace are read in full, and those of groups whose sums cannot be
+    changed exactly (see ``gold``); of the tables of totals only the groups concerned
+    are written.
+    """
+    spark, silver = tables.silver.spark, tables.silver
+    columns = silver.current().schema
+    write_table(as_target_rows(clean(late, timestamp_type=timestamp_type), columns), f"{root}/late")
+    batch = scan(spark, f"{root}/late")
+    replaced = replaced_rows(silver.current(), batch, "event_id")
+    changes = batch.withColumn("_sign", F.lit(1)).unionByName(
+        replaced.withColumn("_sign", F.lit(-1))
+    )
+    write_table(changes, f"{root}/changes")
+    silver.merge(batch, "event_id", partition_by=["region"])
+    update_totals(scan(spark, f"{root}/changes"), silver.current(), tables.totals)
+    _write_gold(tables)
 
 
 def run_jobs(
