@@ -5,6 +5,7 @@ from .measures import (
     add_totals,
     as_doubles,
     exact_avg,
+    exact_stddev_samp,
     exact_sum,
     exact_total,
     is_total,
@@ -19,6 +20,7 @@ __all__ = [
     "add_totals",
     "as_doubles",
     "exact_avg",
+    "exact_stddev_samp",
     "exact_sum",
     "exact_total",
     "fits_broadcast",

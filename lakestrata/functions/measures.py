@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 SCALE = 4
 _UNITS = float(10**SCALE)
 _LARGEST_UNITS = 2.0**52
+_LARGEST_SQUARED = 2.0**42
 _ROUNDING_ERROR = 2.0**-48
 _LARGEST_DECIMAL = 1e34
 _DECIMAL = "decimal(38,4)"
@@ -105,6 +106,64 @@ def exact_avg(value: Column) -> Column:
     return exact_sum(value) / F.count(value)
 
 
+def exact_stddev_samp(value: Column) -> Column:
+    """Sample deviation of the non-NULL values of a group, the same whatever the order
+    of the rows; NULL for fewer than two.
+
+    Numbers below 440 million with up to four decimals are taken as whole units of
+    0.0001. Sums of them and of their squares are exact: squares are added in parts
+    of 26 bits. Rounding begins after the squares have been moved to the whole unit
+    next to the mean, so nothing is lost by cancellation. A group with any other
+    value gets Spark's own deviation of doubles.
+    """
+    value = value.cast("double")
+    scaled = value * F.lit(_UNITS)
+    whole = F.rint(scaled)
+    regular = (F.abs(scaled) < F.lit(_LARGEST_SQUARED)) & (
+        F.abs(scaled - whole) <= F.abs(scaled) * F.lit(_ROUNDING_ERROR)
+    )
+    mask = (1 << _LOW_BITS) - 1
+    units = F.when(regular, whole.cast("bigint"))
+    high, low = F.shiftright(units, _LOW_BITS), units.bitwiseAND(mask)
+    number = "decimal(38,0)"
+
+    def total(part: Column) -> Column:
+        """Sum of whole numbers of up to 52 bits, in two parts that do not overflow."""
+        upper = F.sum(F.shiftright(part, _LOW_BITS)).cast(number)
+        return upper * F.lit(1 << _LOW_BITS).cast(number) + F.sum(part.bitwiseAND(mask)).cast(number)
+
+    step = F.lit(1 << _LOW_BITS).cast(number)
+    squares = (total(high * high) * step + total(high * low) * F.lit(2).cast(number)) * step
+    squares = squares + total(low * low)
+    sums = F.sum(high).cast(number) * step + F.sum(low).cast(number)
+    moments = F.struct(
+        F.count(units).cast(number).alias("n"),
+        sums.alias("s"),
+        squares.alias("q"),
+        F.count_if(~regular).alias("others"),
+        F.stddev_samp(value).alias("plain"),
+    )
+    return _deviation(moments)
+
+
+def _deviation(moments: Column) -> Column:
+    n, others = moments["n"], moments["others"]
+    mean = F.call_function("div", moments["s"], F.nullif(n, F.lit(0).cast("decimal(38,0)")))
+    mean = mean.cast("decimal(38,0)")
+    rest = (moments["s"] - n * mean).cast("decimal(38,0)")
+    spread = moments["q"] - n * (mean * mean) - F.lit(2).cast("decimal(38,0)") * (mean * rest)
+    spread = spread.cast("decimal(38,0)")
+    # As a double in two exact parts, so that it is rounded once.
+    half = F.lit(1 << 32).cast("decimal(38,0)")
+    upper = F.call_function("div", spread, half)
+    lower = (spread - upper.cast("decimal(38,0)") * half).cast("double")
+    size = upper.cast("double") * F.lit(float(1 << 32)) + lower
+    count, left = n.cast("double"), rest.cast("double")
+    variance = (size - left * left / count) / (count - F.lit(1.0))
+    exact = F.when(count > 1, F.sqrt(F.greatest(variance, F.lit(0.0))) / F.lit(_UNITS))
+    return F.when(others == 0, exact).otherwise(moments["plain"])
+
+
 def nan_to_null(df: DataFrame, *columns: str) -> DataFrame:
     """Treat NaN as missing in the given floating-point columns."""
     types = {f.name: f.dataType for f in df.schema.fields}

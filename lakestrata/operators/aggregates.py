@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import (
     as_doubles,
     exact_avg,
+    exact_stddev_samp,
     exact_sum,
     exact_total,
     largest_first,
@@ -143,9 +144,9 @@ def region_features(
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             exact_avg(F.col("price")).alias("mean_price"),
-            F.stddev_samp("price").alias("price_std"),
+            exact_stddev_samp(F.col("price")).alias("price_std"),
             exact_sum(revenue()).alias("total_revenue"),
-            F.avg("quantity").alias("avg_quantity"),
+            exact_avg(F.col("quantity")).alias("avg_quantity"),
         )
     )
     # An empty region is given zeros; a region that has rows keeps its values.

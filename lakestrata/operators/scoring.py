@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact_avg
+
 _WEIGHTS = "region string, w_price double, w_quantity double, bias double"
 
 
@@ -34,7 +36,8 @@ def score(
 
 
 def score_summary(scored: DataFrame) -> DataFrame:
-    """Number of scored rows and mean score per region."""
+    """Number of scored rows and mean score per region, the same whatever the order
+    of the rows (scores with up to four decimals are added exactly)."""
     return scored.groupBy("region").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score")
+        F.count(F.lit(1)).alias("n"), exact_avg(F.col("score")).alias("mean_score")
     )

@@ -213,10 +213,28 @@ SELECT region, date, CAST(amount AS DOUBLE) AS daily_revenue,
        CAST(RANK() OVER (PARTITION BY date ORDER BY amount DESC) AS INTEGER) AS rank_in_day
 FROM daily""",
     "region_features": f"""WITH {_SALES},
+units AS (
+  SELECT region, CAST({_PRICE} * 10000 AS HUGEINT) AS u FROM sales WHERE price IS NOT NULL
+),
+means AS (
+  SELECT region, CAST(COUNT(*) AS HUGEINT) AS n, CAST(SUM(u) AS HUGEINT) // COUNT(*) AS mean,
+         CAST(SUM(u) AS HUGEINT) % COUNT(*) AS rest
+  FROM units GROUP BY region
+),
+spreads AS (
+  SELECT region, n, rest, CAST(SUM((u - mean) * (u - mean)) AS HUGEINT) AS spread
+  FROM units JOIN means USING (region) GROUP BY region, n, rest
+),
+deviations AS (
+  SELECT region,
+         SQRT((CAST(spread // 4294967296 AS DOUBLE) * 4294967296 + CAST(spread % 4294967296 AS DOUBLE)
+               - CAST(rest AS DOUBLE) * CAST(rest AS DOUBLE) / CAST(n AS DOUBLE))
+              / CAST(n - 1 AS DOUBLE)) / 10000 AS price_std
+  FROM spreads WHERE n > 1
+),
 stats AS (
   SELECT region, COUNT(*) AS event_count,
          CAST(SUM({_PRICE}) AS DOUBLE) / COUNT(price) AS mean_price,
-         ROUND(STDDEV_SAMP(price), 4) AS price_std,
          {_REVENUE} AS total_revenue,
          CAST(SUM(CAST(quantity AS DECIMAL(9,0))) AS DOUBLE) / COUNT(quantity) AS avg_quantity
   FROM sales GROUP BY region
@@ -224,14 +242,16 @@ stats AS (
 listed AS (SELECT r_name AS region FROM region UNION ALL SELECT 'UNSERVED')
 SELECT region, COALESCE(event_count, 0) AS event_count, COALESCE(mean_price, 0.0) AS mean_price,
        price_std, COALESCE(total_revenue, 0.0) AS total_revenue, avg_quantity
-FROM listed LEFT JOIN stats USING (region)""",
+FROM listed LEFT JOIN stats USING (region) LEFT JOIN deviations USING (region)""",
     "score_by_region": f"""WITH {_SCORED}
 SELECT event_id, region, ROUND(score, 6) AS score FROM scored""",
     "score_sample": f"""WITH {_SCORED}
 SELECT event_id, region, ROUND(score, 6) AS score FROM scored
 WHERE event_id IN (SELECT event_id FROM evt ORDER BY event_id LIMIT {SAMPLE_ROWS})""",
     "score_summary": f"""WITH {_SCORED}
-SELECT region, COUNT(*) AS n, ROUND(AVG(score), 6) AS mean_score FROM scored GROUP BY region""",
+SELECT region, COUNT(*) AS n,
+       CAST(SUM(CAST(ROUND(score, 4) AS DECIMAL(18,4))) AS DOUBLE) / COUNT(score) AS mean_score
+FROM scored GROUP BY region""",
     "path_summary": f"""WITH {_PATHS}
 SELECT product_id, base_price, ROUND(final_price, 6) AS final_price,
        ROUND(max_price, 6) AS max_price, ROUND(min_price, 6) AS min_price,

@@ -274,9 +274,7 @@ def region_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = views.regions(spark, sf_dir).unionByName(
         spark.range(1).select(F.lit("UNSERVED").alias("region"))
     )
-    return region_features(views.sales(spark, sf_dir), listed).withColumn(
-        "price_std", F.round("price_std", 4)
-    )
+    return region_features(views.sales(spark, sf_dir), listed)
 
 
 @query
@@ -296,7 +294,7 @@ def score_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(views.events(spark, sf_dir), REGION_WEIGHTS)
-    return score_summary(scored).withColumn("mean_score", F.round("mean_score", 6))
+    return score_summary(scored)
 
 
 def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,9 @@ def write_table(
     writer.save(path)
 
 
+SAMPLED_KEYS = 256
+
+
 def _bounds(low: int, high: int) -> list[int]:
     """Places between two keys: evenly spread, and closer and closer to each end."""
     width = high - low
@@ -71,19 +74,11 @@ def _bounds(low: int, high: int) -> list[int]:
     return sorted(p for p in places if low < p <= high)
 
 
-def key_bound(df: DataFrame, n: int, key: str) -> int | None:
-    """A key that at least n and at most 4n rows do not exceed; more only where
-    one key alone has so many rows, fewer than n where the table has no more.
-
-    Every pass counts keys up to some bounds and goes on within the interval that
-    was found. It is 32 times narrower at least, and much narrower where keys
-    crowd at one end.
-    """
-    value = F.col(key)
-    low, high = df.agg(F.min(value), F.max(value)).first()
-    if low is None:
-        return None
-    low, found = low - 1, None
+def _narrowed(df: DataFrame, n: int, key: str, low: int, high: int) -> int:
+    """The bound between ``low`` (too few rows) and ``high`` (enough), by passes that
+    count keys up to some bounds and go on within the interval that was found. It
+    is 32 times narrower at least, and much narrower where keys crowd at one end."""
+    value, found = F.col(key), None
     while found is None or (found > 4 * n and high - low > 1):
         bounds = _bounds(low, high)
         counts = df.agg(*(F.count_if(value <= F.lit(b)) for b in bounds)).first()
@@ -93,12 +88,51 @@ def key_bound(df: DataFrame, n: int, key: str) -> int | None:
     return high
 
 
+def key_bound(df: DataFrame, n: int, key: str) -> int | None:
+    """A key that at least n and at most 4n rows do not exceed; more only where
+    one key alone has so many rows, fewer than n where the table has no more.
+
+    Two passes over the key column. The first takes rows at such a rate that the
+    ``SAMPLED_KEYS`` smallest of them reach to about the 2n-th row of the table: tasks
+    send on their smallest sampled keys, never more, and those of several tasks merge
+    into those of all. The second counts exactly how many rows some of these keys do
+    not exceed. Only if none of them will do, which takes luck of eight deviations or
+    crowded keys, further passes narrow the interval down.
+    """
+    value = F.col(key)
+    share = min(1.0, SAMPLED_KEYS / (2 * n))
+    wanted = SAMPLED_KEYS if share < 1 else 2 * n
+    keys = df.select(value.alias("key")).filter(value.isNotNull())
+    sample = keys if share == 1 else keys.filter(F.rand(17) < share)
+    smallest = [r.key for r in sample.orderBy("key").limit(wanted).collect()]
+    places = {len(smallest) * i // 8 for i in range(1, 9)}
+    bounds = sorted({smallest[p - 1] for p in places if p})
+    counts = df.agg(
+        F.max(value),
+        F.min(value),
+        *(F.count_if(value <= F.lit(b)) for b in bounds),
+        *(F.count_if(value < F.lit(b)) for b in bounds),
+    ).first()
+    high, low = counts[0], counts[1]
+    if high is None:
+        return None
+    up_to, below = counts[2 : 2 + len(bounds)], counts[2 + len(bounds) :]
+    at = next((i for i, count in enumerate(up_to) if count >= n), None)
+    if at is None:
+        # The sample ended before the n-th row; a short one has seen the whole table.
+        start = bounds[-1] if bounds else low - 1
+        return high if len(smallest) < wanted else _narrowed(df, n, key, start, high)
+    if up_to[at] <= 4 * n or below[at] < n:
+        return bounds[at]
+    return _narrowed(df, n, key, bounds[at - 1] if at else low - 1, bounds[at])
+
+
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
     """The n rows with the smallest keys: a sample that is the same every time.
 
     ``key`` is a whole number; rows without one are left out. An ordered limit
     alone would read every column of the table and send up to n rows of each
-    task to a single one. Passes over the key alone first find a bound that few
+    task to a single one. Two passes over the key alone first find a bound that few
     more than n rows do not exceed, and which reaches the scan.
     """
     bound = key_bound(df, n, key)

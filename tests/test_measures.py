@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from lakestrata.functions import (
     as_doubles,
     exact_avg,
+    exact_stddev_samp,
     exact_sum,
     fits_broadcast,
     measured_bytes,
@@ -129,3 +131,37 @@ def test_rank_tells_totals_apart_that_are_equal_as_doubles(spark):
         "DECIMAL(38,4)), 'rest', CAST(NULL AS DOUBLE))) AS t(region, date, daily_revenue)"
     )
     assert {r.region: r.rank_in_day for r in rank_in_day(rows).collect()} == {"a": 2, "b": 1}
+
+
+def deviations(spark, groups, partitions):
+    rows = [(name, v) for name, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "name string, v double").repartition(partitions)
+    found = df.groupBy("name").agg(exact_stddev_samp(F.col("v")).alias("std")).collect()
+    return {r.name: r.std for r in found}
+
+
+def test_deviation_has_the_same_bits_however_rows_are_dealt(spark):
+    rng = random.Random(9)
+    groups = {
+        "prices": [round(rng.uniform(1, 1e5), 2) for _ in range(3000)],
+        "close": [1e8 + rng.choice([0.0001, 0.0002, 0.0003]) for _ in range(999)],
+        "signed": [round(rng.gauss(0, 50), 4) for _ in range(500)],
+        "equal": [7.25] * 100,
+        "one": [3.0],
+        "none": [None],
+    }
+    found = [deviations(spark, groups, n) for n in (1, 3, 7)]
+    assert found[0] == found[1] == found[2]
+    assert found[0]["one"] is None and found[0]["none"] is None and found[0]["equal"] == 0.0
+    for name in ("prices", "close", "signed"):
+        exact = [Fraction(round(v * 10**4), 10**4) for v in groups[name]]
+        mean = sum(exact) / len(exact)
+        variance = sum((x - mean) ** 2 for x in exact) / (len(exact) - 1)
+        assert found[0][name] == pytest.approx(math.sqrt(variance), rel=1e-14)
+
+
+def test_deviation_of_other_values_is_that_of_doubles(spark):
+    found = deviations(spark, {"thirds": [1 / 3, 2 / 3, 1.0], "nan": [1.0, math.nan], "large": [1e12, 3e12]}, 2)
+    assert found["thirds"] == pytest.approx(1 / 3)
+    assert math.isnan(found["nan"])
+    assert found["large"] == pytest.approx(math.sqrt(2) * 1e12)

@@ -132,6 +132,29 @@ def test_few_rows_pass_the_bound_beside_an_outlier(spark, far):
     assert key_bound(keys.limit(0), 50, "k") is None
 
 
+@pytest.mark.parametrize("n", [50, 1000])
+@pytest.mark.parametrize("kind", ["even", "outliers", "crowded"])
+def test_bound_takes_two_passes(spark, monkeypatch, n, kind):
+    ids = spark.range(0, 300_000)
+    key = {
+        "even": F.col("id") * 7,
+        "outliers": F.when(F.col("id") < 5, -(10**18) + F.col("id")).otherwise(10**17 + F.col("id")),
+        "crowded": F.when(F.col("id") % 3 == 0, 10).otherwise(F.col("id") + 11),
+    }[kind]
+    keys = ids.select(key.cast("bigint").alias("k"))
+    DataFrame = type(keys)
+    passes, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: passes.append(1) or collect(df))
+    bound = key_bound(keys, n, "k")
+    assert len(passes) == 2
+    monkeypatch.undo()
+    count = keys.filter(F.col("k") <= bound).count()
+    if kind == "crowded":
+        assert bound == 10 and count == 100_000
+    else:
+        assert n <= count <= 4 * n
+
+
 def test_run_folder_is_fresh_and_in_the_shared_folder(spark):
     first, second = run_folder(spark, "x"), run_folder(spark, "x")
     assert first != second
