@@ -162,6 +162,29 @@ def test_run_folder_is_fresh_and_in_the_shared_folder(spark):
     assert first.startswith((shared or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/"))
 
 
+@pytest.mark.parametrize(
+    "master, warehouse, fine",
+    [
+        ("local[4]", "/tmp/w", True), ("local", "file:/tmp/w", True), ("yarn", "hdfs://a/w", True),
+        ("yarn", "file:/tmp/w", False), ("spark://a:7077", "/tmp/w", False),
+    ],
+)
+def test_run_folder_on_a_cluster_is_not_a_machines_own(master, warehouse, fine):
+    class Session:
+        sparkContext = type("Context", (), {"master": master})
+        conf = type(
+            "Conf",
+            (),
+            {"get": staticmethod(lambda k, d=None: d if k == "spark.checkpoint.dir" else warehouse)},
+        )
+
+    if fine:
+        assert run_folder(Session, "x").startswith(f"{warehouse}/lakestrata/x-")
+    else:
+        with pytest.raises(ValueError, match="checkpoint"):
+            run_folder(Session, "x")
+
+
 def test_pipeline_layers(spark, tmp_path):
     raw = many_events(spark).unionByName(events(spark, event(900, price=0.0), event(901, user_id=None)))
     products = spark.createDataFrame([(i, "abc"[i % 3], float(i)) for i in range(4)], PRODUCTS)
