@@ -26,7 +26,6 @@ Turns = Sequence[tuple[str, str]]
 Render = Callable[[Turns], str]
 
 TURNS_AT_ONCE = 64
-CONTEXT_TURNS = 4
 _PROBES = ("\ue000", "\ue001\ue001")
 
 
@@ -169,6 +168,7 @@ def format_conversations(
     render: Render = marked_turns,
     loss_roles: Sequence[str] = ("assistant",),
     on_rewrite: str = "raise",
+    history: int | None = None,
 ) -> DataFrame:
     """Conversations as a template writes them: conv_id, piece, text, rewritten, spans.
 
@@ -180,18 +180,25 @@ def format_conversations(
 
     A conversation is one piece, unless it has more than ``TURNS_AT_ONCE`` turns
     or lies over a border of the sort: then it is several, whose texts follow each
-    other, so that no task holds a long conversation. A later piece is rendered
-    behind the ``CONTEXT_TURNS`` turns before it; should the template look farther
-    back (fewer turns before it give another text), that is an error.
+    other. A later piece is rendered behind all turns before it, as a black box may
+    look at any of them; so its task holds the conversation up to there. Where the
+    template is known to write a turn by the ``history`` turns before it alone, give
+    that number: then no task holds more than a piece and those turns. The number is
+    the caller's promise; it is not checked.
 
     A template that rewrites history is an error, or, with ``on_rewrite="flag"``,
-    gives pieces marked ``rewritten`` with the whole text and no spans.
+    gives the conversation as one piece marked ``rewritten``, with the whole text
+    as written for all its turns and no spans.
     """
     chunks = stored(_chunks(turns), "chat-turns")
     order = Window.partitionBy("conv_id").orderBy("shard", "n")
-    tail = F.slice("turns", F.greatest(F.size("turns") - CONTEXT_TURNS + 1, F.lit(1)), CONTEXT_TURNS)
+    # Every piece has a turn at least, so as many pieces hold that many turns.
+    reach = Window.unboundedPreceding if history is None else -max(history, 1)
+    earlier = F.flatten(F.collect_list("turns").over(order.rowsBetween(reach, -1)))
+    if history is not None:
+        earlier = F.slice(earlier, F.greatest(F.size(earlier) - history + 1, F.lit(1)), history)
     placed = chunks.withColumns(
-        {"piece": (F.row_number().over(order) - 1).cast("long"), "context": F.lag(tail).over(order)}
+        {"piece": (F.row_number().over(order) - 1).cast("long"), "context": earlier}
     ).select("conv_id", "piece", "context", "turns")
     loss, flag = frozenset(loss_roles), on_rewrite == "flag"
 
@@ -201,12 +208,10 @@ def format_conversations(
     def one(context: Turns, own: Turns) -> tuple[str, bool, list[dict]]:
         try:
             text, spans = turn_spans(render, [*context, *own], len(context))
-            if len(context) > 1 and text != turn_spans(render, [*context[1:], *own], len(context) - 1)[0]:
-                raise ValueError("the template looks farther back than the turns it is given")
         except HistoryRewritten:
             if not flag:
                 raise
-            return render(own), True, []
+            return "", True, []
         found = [
             {
                 "role": role, "start": s.start, "end": s.end,
@@ -234,7 +239,30 @@ def format_conversations(
                 names=["conv_id", "piece", "text", "rewritten", "spans"],
             )
 
-    return placed.mapInArrow(write, _FORMATTED)
+    formatted = placed.mapInArrow(write, _FORMATTED)
+    if not flag:
+        return formatted
+    formatted = stored(formatted, "chat-pieces")
+    # A rewrite is seen where it happens; the whole conversation is then written anew.
+    rewritten = formatted.filter("rewritten").select(F.col("conv_id").alias("_conv")).distinct()
+    same = F.col("conv_id").eqNullSafe(F.col("_conv"))
+    said = F.array_sort(F.collect_list(F.struct("shard", "n", "turns")))
+    whole = chunks.join(rewritten, same, "left_semi").groupBy("conv_id").agg(
+        F.flatten(F.transform(said, lambda chunk: chunk["turns"])).alias("turns")
+    )
+
+    def write_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [render(pairs(own)) for own in batch.column(1).to_pylist()]
+            yield pa.record_batch(
+                [batch.column(0), pa.array(texts, pa.string())], names=["conv_id", "text"]
+            )
+
+    anew = whole.mapInArrow(write_whole, "conv_id long, text string").select(
+        "conv_id", F.lit(0).cast("long").alias("piece"), "text", F.lit(True).alias("rewritten"),
+        F.array().cast(formatted.schema["spans"].dataType).alias("spans"),
+    )
+    return formatted.join(rewritten, same, "left_anti").unionByName(anew)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

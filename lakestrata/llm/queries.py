@@ -129,7 +129,9 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame(
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema
     )
-    return read_back(stored(format_conversations(turns.unionByName(planted)), "chat"))
+    # The built-in template writes a turn without a look at others.
+    formatted = format_conversations(turns.unionByName(planted), history=0)
+    return read_back(stored(formatted, "chat"))
 
 
 @query

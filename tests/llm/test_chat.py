@@ -45,6 +45,65 @@ def test_template_that_rewrites_history(spark):
     assert [(r.rewritten, r.spans, r.text) for r in flagged] == [(True, [], "<user>...<assistant>b")]
 
 
+def template(name):
+    """Templates made here, so that they travel to the tasks whole."""
+
+    def numbered(said):
+        return "".join(f"[{i}|{r}] {t}\n" for i, (r, t) in enumerate(said))
+
+    def marks_turn_80(said):
+        return "".join(f"{'*' if i == 80 else ''}{r}: {t}\n" for i, (r, t) in enumerate(said))
+
+    def mentions_one_before(said):
+        return "".join(
+            f"<{r}{' after ' + said[i - 1][0] if i else ''}>{t}" for i, (r, t) in enumerate(said)
+        )
+
+    return locals()[name]
+
+
+@pytest.mark.parametrize("n", [64, 65, 200])
+@pytest.mark.parametrize("name", ["numbered", "marks_turn_80"])
+def test_templates_that_look_far_back(spark, name, n):
+    render = template(name)
+    rows = [(1, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(n)]
+    rows += [(conv, i, "user", f"{conv} {i}") for conv in range(2, 22) for i in range(6)]
+    found = chat.format_conversations(turns(spark, rows).repartition(8), render).collect()
+    assert {r.conv_id for r in found} == set(range(1, 22))
+    for conv in range(1, 22):
+        said = [(r, t) for c, _, r, t in rows if c == conv]
+        pieces = sorted((r for r in found if r.conv_id == conv), key=lambda r: r.piece)
+        assert "".join(r.text for r in pieces) == render(said)
+        texts = [r.text[s.text_start : s.text_end] for r in pieces for s in r.spans]
+        assert texts == [t for _, t in said]
+
+
+@pytest.mark.parametrize("history", [None, 1, 3])
+def test_a_stated_history(spark, history):
+    rows = [(1, i, f"r{i % 7}", f"t{i}") for i in range(150)]
+    mentions_one_before = template("mentions_one_before")
+    found = chat.format_conversations(turns(spark, rows), mentions_one_before, history=history)
+    pieces = found.orderBy("piece").collect()
+    assert len(pieces) >= 3
+    assert "".join(r.text for r in pieces) == mentions_one_before([r[2:] for r in rows])
+
+
+def test_a_rewrite_in_a_later_piece_is_seen(spark):
+    def drops_the_first_answer_late(said):
+        gone = len(said) > 130
+        return "".join("" if gone and i == 1 else f"<{r}>{t}" for i, (r, t) in enumerate(said))
+
+    rows = [(conv, i, "user", f"t{i}") for conv, n in ((None, 140), (2, 100)) for i in range(n)]
+    with pytest.raises(Exception, match="HistoryRewritten"):
+        chat.format_conversations(turns(spark, rows), drops_the_first_answer_late).collect()
+    found = chat.format_conversations(turns(spark, rows), drops_the_first_answer_late, on_rewrite="flag")
+    whole = drops_the_first_answer_late([r[2:] for r in rows[:140]])
+    got = {(r.conv_id, r.rewritten, r.piece): r.text for r in found.collect()}
+    assert got[None, True, 0] == whole
+    assert {k[:2] for k in got} == {(None, True), (2, False)}
+    assert [k for k in got if k[0] is None] == [(None, True, 0)]
+
+
 def expected(rows):
     found = {}
     for conv, turn, role, text in sorted(
