@@ -255,8 +255,9 @@ def taken_words(mix: Mix) -> DataFrame:
 def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix as rows with the columns of ``docs``, one per row and round.
 
-    A row that is taken in part keeps the words that are taken, joined by single
-    spaces; ``n_chars``, if there, is then their length.
+    A row that is taken in part keeps its text from the first word that is taken to
+    the end of the last, white space between them as it is; ``n_chars``, if there, is
+    then its length.
     """
     names, mark = docs.columns, free_prefix(docs, "mix_")
     row, size, begin, stop = (f"{mark}{c}" for c in ("row", "size", "begin", "stop"))
@@ -271,14 +272,19 @@ def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     ).dropDuplicates([row, "doc_id"])
     same = (F.col(row) == F.col(f"{mark}hash")) & F.col("doc_id").eqNullSafe(F.col(f"{mark}id"))
     whole = (F.col(begin) == 0) & (F.col(stop) == F.col(size))
-    words = F.filter(F.split("text", f"[{SPACES}]+"), lambda w: w != "")
-    some = F.array_join(
-        F.slice(
-            words,
-            (F.col(begin) + 1).cast("int"),
-            (F.col(stop) - F.col(begin)).cast("int"),
+    # A word with the white space behind it is one part of the text.
+    white = F.lit(" \t\n\x0b\x0c\r")
+    words = F.split(F.ltrim("text", white), f"(?<=[{SPACES}])(?=[^{SPACES}])")
+    some = F.rtrim(
+        F.array_join(
+            F.slice(
+                words,
+                (F.col(begin) + 1).cast("int"),
+                (F.col(stop) - F.col(begin)).cast("int"),
+            ),
+            "",
         ),
-        " ",
+        white,
     )
     mixed = texts.join(parts, same).withColumn("text", F.when(whole, F.col("text")).otherwise(some))
     if "n_chars" in names:

@@ -93,6 +93,16 @@ def test_mixed_documents_hold_what_is_taken(documents):
     assert words == {d: n for d, n in taken.items() if n}
 
 
+def test_rows_taken_in_part_keep_their_white_space(documents):
+    text = "\n  one\n\ntwo\tthree  é ist\u00a0da\r\n end \n"
+    docs = documents([(i, text * 20, "en", "ab"[i % 2]) for i in range(12)])
+    mixed = [r.text for r in mixed_documents(docs, mix_sources(docs, block=7)).collect()]
+    parts = [t for t in mixed if t != text * 20]
+    assert parts and all(t in text * 20 and t == t.strip(" \t\n\r") for t in parts)
+    words = sum(r.taken for r in taken_words(mix_sources(docs, block=7)).collect())
+    assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in mixed) == words
+
+
 def test_slots_follow_the_weights_all_along(documents):
     rows = [(i, "w " * 50, "en", "abc"[i % 3]) for i in range(600)]
     pieces = mix_sources(documents(rows), block=20).pieces
