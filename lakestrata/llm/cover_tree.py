@@ -138,9 +138,28 @@ class TopK:
         self.ids[rows] = np.take_along_axis(ids, order, 1)
 
 
-def search(queries: CoverTree, data: CoverTree, k: int) -> TopK:
-    """The k largest inner products of each query with points of another id."""
+def no_floor(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Score and id of the kth candidate of ``n`` queries that have none yet."""
+    return np.full(n, NOTHING), np.full(n, NOBODY)
+
+
+def outer_bounds(queries: tuple, data: tuple) -> np.ndarray:
+    """What no inner product exceeds, for groups of queries and groups of points:
+    each a pair of centres (one a row, equally wide) and radii."""
+    (q, r), (p, s) = queries, data
+    q_norm, p_norm = np.linalg.norm(q, axis=1)[:, None], np.linalg.norm(p, axis=1)[None, :]
+    bound = q @ p.T + q_norm * s + p_norm * r[:, None] + r[:, None] * s
+    return bound + 1e-9 * np.abs(bound) + 1e-3
+
+
+def search(queries: CoverTree, data: CoverTree, k: int, floor: tuple | None = None) -> TopK:
+    """The k largest inner products of each query with points of another id.
+
+    ``floor``: score and id of each query's kth candidate found elsewhere; what comes
+    after it may be left out.
+    """
     best = TopK(len(queries.ids), k)
+    floor_scores, floor_ids = floor or no_floor(len(queries.ids))
     if not len(queries.ids) or not len(data.ids):
         return best
     q_norm = np.linalg.norm(queries.points[queries.centre], axis=1)
@@ -155,10 +174,13 @@ def search(queries: CoverTree, data: CoverTree, k: int) -> TopK:
 
     def alive(q: int, nodes: np.ndarray, bound: np.ndarray) -> np.ndarray:
         rows = slice(queries.begin[q], queries.end[q])
-        worst = best.scores[rows, -1]
+        own, elsewhere = best.scores[rows, -1], floor_scores[rows]
+        worst = np.maximum(own, elsewhere)
         least = worst.min()
         # At the worst score itself only a smaller id could matter.
-        last_id = best.ids[rows, -1][worst == least].max()
+        own_ids = np.where(own == worst, best.ids[rows, -1], NOBODY)
+        other_ids = np.where(elsewhere == worst, floor_ids[rows], NOBODY)
+        last_id = np.minimum(own_ids, other_ids)[worst == least].max()
         whole = np.floor(bound)
         return (whole > least) | ((whole == least) & (data.least[nodes] < last_id))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.llm import topk
 from lakestrata.llm.cover_tree import CoverTree, build, search
-from lakestrata.llm.topk import top_k
+from lakestrata.llm.topk import search_rounds, top_k
 
 NAN, INF = float("nan"), float("inf")
 
@@ -52,6 +52,38 @@ def test_equals_brute_force(spark, monkeypatch, shard):
     assert {tuple(r) for r in found.collect()} == brute(rows)
 
 
+def test_far_shards_are_not_searched(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 60)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 8)
+    monkeypatch.setattr(topk, "ROOTS", 7)
+    monkeypatch.setattr(topk, "LEAF", 16)
+    monkeypatch.setattr(topk, "QUERY_LEAF", 1)
+    rng = random.Random(3)
+    centres = [[rng.gauss(0, 5) for _ in range(6)] for _ in range(12)]
+    rows = [(i, [rng.gauss(c, 0.05) for c in centres[i % 12]]) for i in range(1200)]
+    rows += [(5000 + i, [2.0] * 6) for i in range(300)]
+    rule = F.col("vec_id") % 50 == 0
+    first, second, near, left = search_rounds(table(spark, rows), rule, 10)
+    found = top_k(table(spark, rows), rule)
+    assert {tuple(r) for r in found.collect()} == brute(rows)
+    near, left = ({(r.block, r.shard) for r in d.collect()} for d in (near, left))
+    blocks = {b for b, _ in near | left}
+    n, query_cells = topk._cells(len(rows), 60), topk._cells(30, 8)
+    pairs = len(blocks) * sum(-(-c // 60) for c in cell_sizes(spark, rows, n).values())
+    assert query_cells <= len(blocks) < 30 and not near & left
+    # Of all pairs, most cannot hold a better row.
+    assert len(near) + len(left) < pairs / 2
+    assert {r.block for r in first.collect()} == blocks
+    assert second.count() <= len(left) * 8 * 10
+
+
+def cell_sizes(spark, rows, n):
+    vectors = topk.whole_vectors(table(spark, rows))
+    pivots = topk._pivots(vectors, len(rows), n)
+    placed = topk._in_cells(vectors, pivots, n, 1)
+    return {r.cell: r["count"] for r in placed.groupBy("cell").count().collect()}
+
+
 def test_few_or_no_candidates(spark):
     rule = F.col("vec_id") % 50 == 0
     assert top_k(table(spark, []), rule).count() == 0
