@@ -9,6 +9,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,17 @@ from .ppm import BITS, AdaptiveModel, Trie, grams, mask
 
 ORDER = 5
 WORDS_AT_ONCE = 1 << 18
+GRAMS_AT_ONCE = 1 << 20
 COUNTED_BYTES = 1 << 20
 FREQUENT_WORDS = 1 << 17
-TRIE_PAIRS = 1 << 22
+# Pairs of a part of the trie, parts at least, bytes of texts whose different grams are
+# gathered, bytes of text per share of the grams, shares at least.
+TRIE_PAIRS = 1 << 18
+TRIE_PARTS = 64
+TEXT_BLOCK = 16 << 20
+SHARE_BYTES = 16 << 20
+SHARES = 64
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -61,7 +71,7 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
                 parts.append((keys, n.astype(np.int64)))
                 if len(parts) >= 8:
                     parts = _merge(parts)
-                    if len(parts[0][0]) > TRIE_PAIRS // 4:
+                    if len(parts[0][0]) > GRAMS_AT_ONCE:
                         yield gram_batch(parts.pop())
                 whole = base.tobytes()
                 for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
@@ -97,17 +107,13 @@ class LanguageModel:
 
     def trie(self, part: int, parts: int) -> Trie:
         """The part of the trie for the contexts whose last two symbols fall into
-        it; all parts hold the orders 0 and 1, at most 257 x 258 pairs."""
-
-        def arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-            table = rows.toArrow()
-            keys, n = (table.column(i).to_numpy() for i in (0, 1))
-            return keys.astype(np.uint64), n
-
-        pair = F.col("gram").bitwiseAND(F.lit(int(mask(1))))
-        low = self.grams.groupBy(pair.alias("gram")).agg(F.sum("n").alias("n"))
+        it, for use outside Spark: scoring leaves all but ``low`` where it is."""
         high = self.grams.select("gram", "n").filter(_part_of(F.col("gram"), parts) == part)
-        return Trie(self.order, arrays(low), arrays(high))
+        return Trie(self.order, self.low(), _arrays(high.toArrow()))
+
+    def low(self) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of order 1, which all parts hold: at most 257 x 258 pairs."""
+        return _arrays(_folded(self.grams, 1).toArrow())
 
     def frequent(self) -> tuple[int, dict[bytes, float]]:
         """At most ``FREQUENT_WORDS`` words with the log of their count plus one,
@@ -127,9 +133,26 @@ class LanguageModel:
         return least, {w.encode(): x for w, x in zip(names, logs.tolist())}
 
 
+def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return table.column("gram").to_numpy().astype(np.uint64), table.column("n").to_numpy()
+
+
+def _folded(grams_: DataFrame, order: int) -> DataFrame:
+    """Counts of the last ``order`` symbols before each symbol."""
+    short = F.col("gram").bitwiseAND(F.lit(int(mask(order))))
+    return grams_.groupBy(short.alias("gram")).agg(F.sum("n").alias("n"))
+
+
+def _last_two(gram):
+    return F.shiftright(gram, BITS).bitwiseAND(F.lit((1 << 2 * BITS) - 1))
+
+
 def _part_of(gram, parts: int):
-    two = F.shiftright(gram, BITS).bitwiseAND(F.lit((1 << 2 * BITS) - 1))
-    return F.pmod(two * F.lit(40_503), F.lit(parts))
+    return F.pmod(_last_two(gram) * F.lit(40_503), F.lit(parts))
+
+
+def _shares(keys: np.ndarray, n: int) -> np.ndarray:
+    return (keys * _SPREAD >> np.uint64(32)) % np.uint64(n)
 
 
 def train_language_model(docs: DataFrame, order: int = ORDER) -> LanguageModel:
@@ -156,81 +179,228 @@ class _Frequent(dict):
         return -1.0
 
 
-def _scored(docs: DataFrame, model: LanguageModel, part: int, parts: int, words) -> DataFrame:
-    """lm_row, doc_id, n_tokens, n_known, logs, score, tail: one row per document.
+def _blocks(docs: DataFrame, order: int, shares: int) -> DataFrame:
+    """Texts in blocks, and the different grams of each block by shares.
 
-    With ``words`` (the frequent ones) also the word model: the sum of logs of
-    counts plus one over frequent words, and the other words with their number.
+    One row per document (block, lm_row, doc_id, text) and one per block and share
+    (block, share, grams); the other columns are NULL.
     """
-    context, depth = docs.sparkSession.sparkContext, model.order
-    trie = context.broadcast(model.trie(part, parts))
-    frequent = context.broadcast(words)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = None if frequent.value is None else _Frequent(frequent.value)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        names = ["block", "share", "lm_row", "doc_id", "text", "grams"]
         for batch in batches:
             data, at = text_bytes(batch.column(2))
             data = LOWER[data]
-            for a, b in row_blocks(at, COUNTED_BYTES):
-                base, ends = data[at[a] : at[b]], at[a : b + 1] - at[a]
-                packed, begins = grams(base, ends, depth)
-                order = np.argsort(packed)
-                packed = packed[order]
-                new = np.append(True, packed[1:] != packed[:-1])
-                keys = packed[new]
-                values = trie.value.log10(keys)
-                if parts > 1:
-                    two = (keys >> np.uint64(BITS) & np.uint64((1 << 2 * BITS) - 1)).astype(np.int64)
-                    values[two * 40_503 % parts != part] = 0.0
-                costs = np.empty(len(order))
-                costs[order] = values[np.cumsum(new, dtype=np.int32) - 1]
-                scores = np.add.reduceat(costs, begins[:-1])
-                del packed, order, new, costs
-                n_tokens, n_known, sums, tails, sizes = [], [], [], [], []
-                if logs is not None:
-                    whole = base.tobytes()
-                    for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                        found = whole[x:y].split()
-                        value = np.fromiter(map(logs.__getitem__, found), float, len(found))
-                        rare = np.flatnonzero(value < 0)
-                        tail = Counter([found[i] for i in rare.tolist()])
-                        n_tokens.append(len(found) + 1)
-                        n_known.append(len(found) - len(rare))
-                        sums.append(float(value.sum()) + len(rare))
-                        tails += tail.items()
-                        sizes.append(len(tail))
-                else:
-                    n_tokens = n_known = sizes = [0] * (b - a)
-                    sums = [0.0] * (b - a)
-                kind = pa.struct([("word", pa.string()), ("times", pa.int64())])
-                flat = pa.StructArray.from_arrays(
-                    [
-                        pa.array([w for w, _ in tails], pa.binary()).cast(pa.string()),
-                        pa.array([n for _, n in tails], pa.int64()),
-                    ],
-                    fields=list(kind),
+            for first, last in row_blocks(at, TEXT_BLOCK):
+                n, part = last - first, at[first : last + 1]
+                own = [batch.column(c).slice(first, n) for c in (0, 1, 2)]
+                number = pa.array(np.full(n, block))
+                yield pa.record_batch(
+                    [number, pa.nulls(n, pa.int64()), *own, pa.nulls(n, pa.binary())], names=names
                 )
-                cuts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                found = [
+                    np.unique(grams(data[part[a] : part[b]], part[a : b + 1] - part[a], order)[0])
+                    for a, b in row_blocks(part, COUNTED_BYTES)
+                ]
+                keys = np.unique(np.concatenate(found))
+                share = _shares(keys, shares)
+                keys = keys[np.argsort(share, kind="stable")]
+                sizes = np.bincount(share.astype(np.int64), minlength=shares)
+                used = np.flatnonzero(sizes)
+                ends = np.cumsum(sizes[used])
+                n = len(used)
                 yield pa.record_batch(
                     [
-                        batch.column(0).slice(a, b - a),
-                        batch.column(1).slice(a, b - a),
-                        pa.array(n_tokens, pa.int64()),
-                        pa.array(n_known, pa.int64()),
-                        pa.array(sums, pa.float64()),
-                        pa.array(scores),
-                        pa.ListArray.from_arrays(cuts, flat),
+                        pa.array(np.full(n, block)),
+                        pa.array(used),
+                        *(pa.nulls(n, kind) for kind in (pa.int64(), pa.int64(), pa.string())),
+                        pa.array(
+                            [keys[e - s : e].tobytes() for s, e in zip(sizes[used], ends)],
+                            pa.binary(),
+                        ),
                     ],
-                    names=["lm_row", "doc_id", "n_tokens", "n_known", "logs", "score", "tail"],
+                    names=names,
                 )
+                block += 1
 
     return docs.select("lm_row", "doc_id", "text").mapInArrow(
+        cut, "block long, share long, lm_row long, doc_id long, text string, grams binary"
+    )
+
+
+def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """Numbers that the rows of a binary column hold, one row after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _different(key: tuple, table: pa.Table) -> pa.Table:
+    keys = np.unique(_numbers(table.column("grams"), np.uint64))
+    return pa.table({"gram": pa.array(keys.view(np.int64))})
+
+
+def _costs(asked: DataFrame, model: LanguageModel, shares: int) -> DataFrame:
+    """share, gram, cost: log probability of every gram that a block asks for.
+
+    The trie is built part by part where its grams are: a part has the contexts whose
+    last two symbols fall into it, and of two symbols with more than ``TRIE_PAIRS``
+    grams, those with one third symbol. Only the counts of order 1 pass through the
+    driver.
+    """
+    order, low = model.order, model.low()
+    parts = max(TRIE_PARTS, model.trie_parts())
+    two, third = _last_two(F.col("gram")), F.shiftright("gram", 3 * BITS).bitwiseAND(F.lit(511))
+    # At most 257 x 258 contexts of two symbols.
+    crowded = (
+        model.grams.groupBy(two.alias("two"))
+        .agg(F.count(F.lit(1)).alias("size"))
+        .filter(F.col("size") > TRIE_PAIRS)
+    )
+    crowded = F.broadcast(stored(crowded, "lm-crowded").select("two", F.lit(True).alias("split")))
+
+    def keyed(rows: DataFrame, symbol) -> DataFrame:
+        own = F.lit(parts) + F.col("two") * F.lit(512) + symbol
+        key = F.when(F.col("split"), own).otherwise(_part_of(F.col("gram"), parts))
+        return rows.withColumn("two", two).join(crowded, "two", "left").withColumn("part", key)
+
+    # Counts of order 2 go to every part of their two symbols.
+    thirds = F.when(F.col("split"), F.sequence(F.lit(0), F.lit(511)))
+    middle = _folded(model.grams, 2).withColumn("two", two).join(crowded, "two", "left")
+    middle = middle.select(
+        "gram", "n", F.explode(F.coalesce(thirds, F.array(F.lit(0)))).alias("third")
+    )
+    known = (
+        keyed(middle, F.col("third"))
+        .select("part", "gram", "n", F.lit(True).alias("middle"))
+        .unionByName(
+            keyed(model.grams, third).select("part", "gram", "n", F.lit(False).alias("middle"))
+        )
+    )
+    wanted = asked.groupBy("share").applyInArrow(_different, "gram long")
+
+    def cost(key: tuple, pairs: pa.Table, grams_: pa.Table) -> pa.Table:
+        keys = np.sort(grams_.column("gram").to_numpy().astype(np.uint64))
+        values = np.zeros(0)
+        if len(keys):
+            of_order_2 = pairs.column("middle")
+            high = _arrays(pairs.filter(pc.invert(of_order_2)))
+            values = Trie(order, low, high, _arrays(pairs.filter(of_order_2))).log10(keys)
+        return pa.table(
+            {
+                "share": pa.array(_shares(keys, shares).astype(np.int64)),
+                "gram": pa.array(keys.view(np.int64)),
+                "cost": pa.array(values),
+            }
+        )
+
+    return (
+        known.groupBy("part")
+        .cogroup(keyed(wanted, third).select("part", "gram").groupBy("part"))
+        .applyInArrow(cost, "share long, gram long, cost double")
+    )
+
+
+def _answers(key: tuple, asked: pa.Table, costs: pa.Table) -> pa.Table:
+    """Rows of one share: the grams that each block asks for, with their costs."""
+    keys = costs.column("gram").to_numpy().astype(np.uint64)
+    order = np.argsort(keys)
+    keys, values = keys[order], costs.column("cost").to_numpy()[order]
+    found = [
+        values[np.searchsorted(keys, np.frombuffer(g, np.uint64))].tobytes()
+        for g in asked.column("grams").to_pylist()
+    ]
+    return pa.table(
+        {"block": asked.column("block"), "grams": asked.column("grams"), "costs": pa.array(found, pa.binary())}
+    )
+
+
+def _scored(blocks: DataFrame, model: LanguageModel, words: dict, shares: int) -> DataFrame:
+    """lm_row, doc_id, n_tokens, n_known, logs, score, tail: one row per document.
+
+    ``score`` of the byte model; of the word model the sum of logs of counts plus one
+    over ``words`` (the frequent ones), and the other words with their number.
+    """
+    asked = blocks.filter("share IS NOT NULL").select("block", "share", "grams")
+    texts = blocks.filter("share IS NULL").select("block", "lm_row", "doc_id", "text")
+    costs = stored(_costs(asked, model, shares), "lm-costs")
+    answers = (
+        asked.groupBy("share")
+        .cogroup(costs.groupBy("share"))
+        .applyInArrow(_answers, "block long, grams binary, costs binary")
+    )
+    frequent, depth = blocks.sparkSession.sparkContext.broadcast(words), model.order
+
+    def score(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
+        logs = _Frequent(frequent.value)
+        keys = _numbers(known.column("grams"), np.uint64)
+        order = np.argsort(keys)
+        keys, values = keys[order], _numbers(known.column("costs"), np.float64)[order]
+        rows = rows.combine_chunks()
+        out = [
+            _scored_rows(batch, depth, keys, values, logs)
+            for batch in rows.to_batches()
+            if batch.num_rows
+        ]
+        return pa.concat_tables(out)
+
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score,
         "lm_row long, doc_id long, n_tokens long, n_known long, logs double, score double, "
         "tail array<struct<word: string, times: long>>",
     )
 
 
+def _scored_rows(
+    batch: pa.RecordBatch, depth: int, keys: np.ndarray, values: np.ndarray, logs: dict
+) -> pa.Table:
+    """Rows of a block, given the costs of all its grams."""
+    data, at = text_bytes(batch.column("text"))
+    data = LOWER[data]
+    scores, n_tokens, n_known, sums, tails, sizes = [], [], [], [], [], []
+    for a, b in row_blocks(at, COUNTED_BYTES):
+        base, ends = data[at[a] : at[b]], at[a : b + 1] - at[a]
+        packed, begins = grams(base, ends, depth)
+        order = np.argsort(packed)
+        packed = packed[order]
+        new = np.append(True, packed[1:] != packed[:-1])
+        known = values[np.searchsorted(keys, packed[new])]
+        costs = np.empty(len(order))
+        costs[order] = known[np.cumsum(new, dtype=np.int32) - 1]
+        scores.append(np.add.reduceat(costs, begins[:-1]))
+        del packed, order, new, costs
+        whole = base.tobytes()
+        for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            found = whole[x:y].split()
+            value = np.fromiter(map(logs.__getitem__, found), float, len(found))
+            rare = np.flatnonzero(value < 0)
+            tail = Counter([found[i] for i in rare.tolist()])
+            n_tokens.append(len(found) + 1)
+            n_known.append(len(found) - len(rare))
+            sums.append(float(value.sum()) + len(rare))
+            tails += tail.items()
+            sizes.append(len(tail))
+    kind = pa.struct([("word", pa.string()), ("times", pa.int64())])
+    flat = pa.StructArray.from_arrays(
+        [
+            pa.array([w for w, _ in tails], pa.binary()).cast(pa.string()),
+            pa.array([n for _, n in tails], pa.int64()),
+        ],
+        fields=list(kind),
+    )
+    cuts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return pa.table(
+        {
+            "lm_row": batch.column("lm_row"),
+            "doc_id": batch.column("doc_id"),
+            "n_tokens": pa.array(n_tokens, pa.int64()),
+            "n_known": pa.array(n_known, pa.int64()),
+            "logs": pa.array(sums, pa.float64()),
+            "score": pa.array(np.concatenate(scores)),
+            "tail": pa.ListArray.from_arrays(cuts, flat),
+        }
+    )
+
+
 def score_documents(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, base_score, score.
 
@@ -240,19 +410,16 @@ def score_documents(docs: DataFrame, model: LanguageModel) -> DataFrame:
     A NULL text is empty; every row is returned, repeated ids and rows too.
 
     Words up to a fixed number, the frequent ones, are looked up in memory; the
-    rest, of which none is crowded, is joined with the vocabulary. A trie of more
-    than ``TRIE_PAIRS`` pairs is used part by part, each over all documents.
+    rest, of which none is crowded, is joined with the vocabulary. Texts are gathered
+    in blocks; the different grams of a block go to the parts of the trie, their costs
+    come back, and each text is scored in its block.
     """
     least, words = model.frequent()
-    parts = model.trie_parts()
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shares = max(SHARES, size // SHARE_BYTES)
     keyed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("lm_row"))
-    if parts > 1:
-        keyed = stored(keyed, "lm-documents")
-    rows = stored(_scored(keyed, model, 0, parts, words), "lm-scores")
-    more = [
-        _scored(keyed, model, part, parts, None).select("lm_row", "score")
-        for part in range(1, parts)
-    ]
+    blocks = stored(_blocks(keyed, model.order, shares), "lm-blocks")
+    rows = stored(_scored(blocks, model, words, shares), "lm-scores")
     rare = (
         rows.select("lm_row", F.explode("tail").alias("t"))
         .select("lm_row", "t.word", "t.times")
@@ -264,11 +431,6 @@ def score_documents(docs: DataFrame, model: LanguageModel) -> DataFrame:
         )
     )
     whole = rows.drop("tail").join(rare, "lm_row", "left")
-    score = F.col("score")
-    for i, other in enumerate(more):
-        other = stored(other, "lm-scores").withColumnRenamed("score", f"score_{i}")
-        whole = whole.join(other, "lm_row")
-        score = score + F.col(f"score_{i}")
     end = F.log10(F.lit(model.documents + 1.0))
     scale = F.log10(F.lit(float(model.tokens + model.types + 1)))
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) + end
@@ -279,7 +441,7 @@ def score_documents(docs: DataFrame, model: LanguageModel) -> DataFrame:
             F.col("n_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(model.documents > 0))
         ).alias("n_known"),
         (logs - F.col("n_tokens") * scale).alias("base_score"),
-        score.alias("score"),
+        "score",
     )
 
 

@@ -86,14 +86,15 @@ class Trie:
 
     ``low``: counts of orders 0 and 1 over all texts (packed pairs of order 1);
     ``high``: counts of the full order. For a part of the trie ``high`` holds the
-    contexts of that part only.
+    contexts of that part only. ``middle``: counts of order 2, where ``high`` does not
+    hold all of the contexts of that order which it holds any of.
     """
 
-    def __init__(self, order: int, low: tuple, high: tuple):
+    def __init__(self, order: int, low: tuple, high: tuple, middle: tuple | None = None):
         self.order = order
         self.levels: list[_Level] = []
         for m in range(order + 1):
-            keys, counts = low if m < 2 else high
+            keys, counts = low if m < 2 else middle if m == 2 and middle else high
             folded, inverse = np.unique(np.asarray(keys, np.uint64) & mask(m), return_inverse=True)
             summed = np.bincount(inverse, counts, len(folded)).astype(np.int64)
             level = _Level(folded, summed)

@@ -101,3 +101,19 @@ def test_empty_tables(documents):
     assert r.score == pytest.approx(-3 * math.log10(257))
     assert (r.n_tokens, r.n_known, r.base_score) == (2, 0, 0.0)
     assert isinstance(model.trie(0, 1), Trie)
+
+
+def test_crowded_contexts_are_split(documents, monkeypatch):
+    monkeypatch.setattr(lm_score, "TRIE_PAIRS", 3)
+    monkeypatch.setattr(lm_score, "TEXT_BLOCK", 200)
+    monkeypatch.setattr(lm_score, "SHARES", 3)
+    rng = random.Random(7)
+    rows = [(i, "".join(rng.choices("abc d", k=rng.randint(0, 60)))) for i in range(80)]
+    train = [r for r in rows if r[0] % 4]
+    for order in (1, 2, 4):
+        plain = AdaptiveModel(order)
+        for _, t in train:
+            plain.score(t.encode(), learn=True, score=False)
+        model = train_language_model(documents(train), order=order)
+        found = {r.doc_id: r.score for r in score_documents(documents(rows), model).collect()}
+        assert found == pytest.approx({d: plain.score(t.encode(), learn=False) for d, t in rows})
