@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, raw_bytes, row_blocks, stored, text_bytes
@@ -23,13 +23,13 @@ GRAMS_AT_ONCE = 1 << 20
 COUNTED_BYTES = 1 << 20
 FREQUENT_WORDS = 1 << 17
 # Pairs of a part of the trie, parts at least, bytes of texts whose different grams are
-# gathered, bytes of text per share of the grams, shares at least.
+# gathered, blocks of texts that one copy of a part answers.
 TRIE_PAIRS = 1 << 18
-TRIE_PARTS = 64
-TEXT_BLOCK = 16 << 20
-SHARE_BYTES = 16 << 20
-SHARES = 64
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+TRIE_PARTS = 256
+TEXT_BLOCK = 32 << 20
+BLOCKS_AT_ONCE = 1 << 10
+_ZSTD = pa.Codec("zstd")
+_ROWS = pa.schema([("lm_row", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string())])
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -151,8 +151,24 @@ def _part_of(gram, parts: int):
     return F.pmod(_last_two(gram) * F.lit(40_503), F.lit(parts))
 
 
-def _shares(keys: np.ndarray, n: int) -> np.ndarray:
-    return (keys * _SPREAD >> np.uint64(32)) % np.uint64(n)
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit values, their bytes apart by place, compressed; with their number."""
+    columns = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + _ZSTD.compress(columns).to_pybytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    columns = np.frombuffer(_ZSTD.decompress(data[8:], 8 * n), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(columns.T).view(np.uint64).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data), dtype=np.uint64)
 
 
 def train_language_model(docs: DataFrame, order: int = ORDER) -> LanguageModel:
@@ -179,168 +195,167 @@ class _Frequent(dict):
         return -1.0
 
 
-def _blocks(docs: DataFrame, order: int, shares: int) -> DataFrame:
-    """Texts in blocks, and the different grams of each block by shares.
+@dataclass(frozen=True)
+class _Parts:
+    """Where the grams of a trie are. A part has the contexts whose last two symbols
+    fall into it; two symbols with more than ``TRIE_PAIRS`` grams (``crowded``, at most
+    257 x 258, sorted) have a part for each third symbol."""
+
+    n: int
+    crowded: np.ndarray
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        two = (keys >> np.uint64(BITS) & np.uint64((1 << 2 * BITS) - 1)).astype(np.int64)
+        third = (keys >> np.uint64(3 * BITS) & np.uint64(511)).astype(np.int64)
+        return np.where(np.isin(two, self.crowded), self.n + two * 512 + third, two * 40_503 % self.n)
+
+    def keyed(self, spark: SparkSession, rows: DataFrame, third=None) -> DataFrame:
+        """``rows`` with the ``part`` of their gram; without a ``third`` symbol those of
+        crowded symbols once for each."""
+        two = _last_two(F.col("gram"))
+        listed = spark.createDataFrame([(int(c),) for c in self.crowded], "two long")
+        listed = F.broadcast(listed.withColumn("split", F.lit(True)))
+        thirds = F.sequence(F.lit(0), F.lit(511)) if third is None else F.array(third)
+        own = F.transform(thirds, lambda t: F.lit(self.n) + F.col("two") * F.lit(512) + t)
+        part = F.when(F.col("split"), own).otherwise(F.array(_part_of(F.col("gram"), self.n)))
+        joined = rows.withColumn("two", two).join(listed, "two", "left")
+        return joined.withColumn("part", F.explode(part)).drop("two", "split")
+
+
+def _parts(model: LanguageModel) -> _Parts:
+    sizes = model.grams.groupBy(_last_two(F.col("gram")).alias("two")).agg(
+        F.count(F.lit(1)).alias("size")
+    )
+    crowded = sizes.filter(F.col("size") > TRIE_PAIRS).select("two").toArrow()
+    n = max(TRIE_PARTS, model.trie_parts())
+    return _Parts(n, np.sort(crowded.column(0).to_numpy().astype(np.int64)))
+
 
-    One row per document (block, lm_row, doc_id, text) and one per block and share
-    (block, share, grams); the other columns are NULL.
+def _blocks(docs: DataFrame, order: int, parts: _Parts) -> DataFrame:
+    """Texts in blocks, and the different grams of each block by parts of the trie.
+
+    One row per run of documents (block, texts: lm_row, doc_id, text as a compressed
+    Arrow stream) and one per block and part (block, part, grams); the rest is NULL.
     """
 
+    def stream(rows: list[pa.Array]) -> bytes:
+        sink = pa.BufferOutputStream()
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        with pa.ipc.new_stream(sink, _ROWS, options=options) as out:
+            out.write(pa.record_batch(rows, schema=_ROWS))
+        return sink.getvalue().to_pybytes()
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        names = ["block", "share", "lm_row", "doc_id", "text", "grams"]
+        names = ["block", "part", "texts", "grams"]
         for batch in batches:
-            data, at = text_bytes(batch.column(2))
+            rows = [batch.column(i).cast(_ROWS.field(i).type) for i in range(3)]
+            data, at = text_bytes(rows[2])
             data = LOWER[data]
             for first, last in row_blocks(at, TEXT_BLOCK):
-                n, part = last - first, at[first : last + 1]
-                own = [batch.column(c).slice(first, n) for c in (0, 1, 2)]
-                number = pa.array(np.full(n, block))
-                yield pa.record_batch(
-                    [number, pa.nulls(n, pa.int64()), *own, pa.nulls(n, pa.binary())], names=names
-                )
-                found = [
-                    np.unique(grams(data[part[a] : part[b]], part[a : b + 1] - part[a], order)[0])
-                    for a, b in row_blocks(part, COUNTED_BYTES)
-                ]
+                part, found = at[first : last + 1], []
+                for a, b in row_blocks(part, COUNTED_BYTES):
+                    base, ends = data[part[a] : part[b]], part[a : b + 1] - part[a]
+                    found.append(np.unique(grams(base, ends, order)[0]))
+                    texts = stream([c.slice(first + a, b - a) for c in rows])
+                    yield pa.record_batch(
+                        [
+                            pa.array([block]),
+                            pa.nulls(1, pa.int64()),
+                            pa.array([texts], pa.binary()),
+                            pa.nulls(1, pa.binary()),
+                        ],
+                        names=names,
+                    )
                 keys = np.unique(np.concatenate(found))
-                share = _shares(keys, shares)
-                keys = keys[np.argsort(share, kind="stable")]
-                sizes = np.bincount(share.astype(np.int64), minlength=shares)
-                used = np.flatnonzero(sizes)
-                ends = np.cumsum(sizes[used])
-                n = len(used)
+                place = parts.of(keys)
+                inner = np.argsort(place, kind="stable")
+                used, starts = np.unique(place[inner], return_index=True)
+                asked = [_packed_keys(k) for k in np.split(keys[inner], starts[1:])]
                 yield pa.record_batch(
                     [
-                        pa.array(np.full(n, block)),
+                        pa.array(np.full(len(used), block)),
                         pa.array(used),
-                        *(pa.nulls(n, kind) for kind in (pa.int64(), pa.int64(), pa.string())),
-                        pa.array(
-                            [keys[e - s : e].tobytes() for s, e in zip(sizes[used], ends)],
-                            pa.binary(),
-                        ),
+                        pa.nulls(len(used), pa.binary()),
+                        pa.array(asked, pa.binary()),
                     ],
                     names=names,
                 )
                 block += 1
 
     return docs.select("lm_row", "doc_id", "text").mapInArrow(
-        cut, "block long, share long, lm_row long, doc_id long, text string, grams binary"
+        cut, "block long, part long, texts binary, grams binary"
     )
 
 
-def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    """Numbers that the rows of a binary column hold, one row after the other."""
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
-
+def _answers(asked: DataFrame, model: LanguageModel, parts: _Parts, copies: int) -> DataFrame:
+    """block, grams, costs: the log probabilities of the grams that a block asks for.
 
-def _different(key: tuple, table: pa.Table) -> pa.Table:
-    keys = np.unique(_numbers(table.column("grams"), np.uint64))
-    return pa.table({"gram": pa.array(keys.view(np.int64))})
-
-
-def _costs(asked: DataFrame, model: LanguageModel, shares: int) -> DataFrame:
-    """share, gram, cost: log probability of every gram that a block asks for.
-
-    The trie is built part by part where its grams are: a part has the contexts whose
-    last two symbols fall into it, and of two symbols with more than ``TRIE_PAIRS``
-    grams, those with one third symbol. Only the counts of order 1 pass through the
-    driver.
+    The trie is built part by part where its grams are, so often that one copy answers
+    a bounded number of blocks. Only the counts of order 1 pass through the driver.
     """
-    order, low = model.order, model.low()
-    parts = max(TRIE_PARTS, model.trie_parts())
-    two, third = _last_two(F.col("gram")), F.shiftright("gram", 3 * BITS).bitwiseAND(F.lit(511))
-    # At most 257 x 258 contexts of two symbols.
-    crowded = (
-        model.grams.groupBy(two.alias("two"))
-        .agg(F.count(F.lit(1)).alias("size"))
-        .filter(F.col("size") > TRIE_PAIRS)
-    )
-    crowded = F.broadcast(stored(crowded, "lm-crowded").select("two", F.lit(True).alias("split")))
-
-    def keyed(rows: DataFrame, symbol) -> DataFrame:
-        own = F.lit(parts) + F.col("two") * F.lit(512) + symbol
-        key = F.when(F.col("split"), own).otherwise(_part_of(F.col("gram"), parts))
-        return rows.withColumn("two", two).join(crowded, "two", "left").withColumn("part", key)
-
+    order, low, spark = model.order, model.low(), asked.sparkSession
+    third = F.shiftright("gram", 3 * BITS).bitwiseAND(F.lit(511))
     # Counts of order 2 go to every part of their two symbols.
-    thirds = F.when(F.col("split"), F.sequence(F.lit(0), F.lit(511)))
-    middle = _folded(model.grams, 2).withColumn("two", two).join(crowded, "two", "left")
-    middle = middle.select(
-        "gram", "n", F.explode(F.coalesce(thirds, F.array(F.lit(0)))).alias("third")
-    )
+    middle = parts.keyed(spark, _folded(model.grams, 2))
     known = (
-        keyed(middle, F.col("third"))
-        .select("part", "gram", "n", F.lit(True).alias("middle"))
+        middle.select("part", "gram", "n", F.lit(True).alias("middle"))
         .unionByName(
-            keyed(model.grams, third).select("part", "gram", "n", F.lit(False).alias("middle"))
+            parts.keyed(spark, model.grams, third).select(
+                "part", "gram", "n", F.lit(False).alias("middle")
+            )
         )
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     )
-    wanted = asked.groupBy("share").applyInArrow(_different, "gram long")
 
-    def cost(key: tuple, pairs: pa.Table, grams_: pa.Table) -> pa.Table:
-        keys = np.sort(grams_.column("gram").to_numpy().astype(np.uint64))
-        values = np.zeros(0)
-        if len(keys):
+    def answer(key: tuple, pairs: pa.Table, rows: pa.Table) -> pa.Table:
+        costs = []
+        if rows.num_rows:
+            wanted = [_unpacked_keys(g) for g in rows.column("grams").to_pylist()]
+            keys, inverse = np.unique(np.concatenate(wanted), return_inverse=True)
             of_order_2 = pairs.column("middle")
             high = _arrays(pairs.filter(pc.invert(of_order_2)))
             values = Trie(order, low, high, _arrays(pairs.filter(of_order_2))).log10(keys)
+            ends = np.cumsum([len(w) for w in wanted])
+            costs = [_packed(v) for v in np.split(values[inverse], ends[:-1])]
         return pa.table(
             {
-                "share": pa.array(_shares(keys, shares).astype(np.int64)),
-                "gram": pa.array(keys.view(np.int64)),
-                "cost": pa.array(values),
+                "block": rows.column("block"),
+                "grams": rows.column("grams"),
+                "costs": pa.array(costs, pa.binary()),
             }
         )
 
+    copy = F.pmod(F.xxhash64("block"), F.lit(copies)).cast("int").alias("copy")
     return (
-        known.groupBy("part")
-        .cogroup(keyed(wanted, third).select("part", "gram").groupBy("part"))
-        .applyInArrow(cost, "share long, gram long, cost double")
+        known.groupBy("part", "copy")
+        .cogroup(asked.select("*", copy).groupBy("part", "copy"))
+        .applyInArrow(answer, "block long, grams binary, costs binary")
     )
 
 
-def _answers(key: tuple, asked: pa.Table, costs: pa.Table) -> pa.Table:
-    """Rows of one share: the grams that each block asks for, with their costs."""
-    keys = costs.column("gram").to_numpy().astype(np.uint64)
-    order = np.argsort(keys)
-    keys, values = keys[order], costs.column("cost").to_numpy()[order]
-    found = [
-        values[np.searchsorted(keys, np.frombuffer(g, np.uint64))].tobytes()
-        for g in asked.column("grams").to_pylist()
-    ]
-    return pa.table(
-        {"block": asked.column("block"), "grams": asked.column("grams"), "costs": pa.array(found, pa.binary())}
-    )
-
-
-def _scored(blocks: DataFrame, model: LanguageModel, words: dict, shares: int) -> DataFrame:
+def _scored(blocks: DataFrame, model: LanguageModel, words: dict, parts: _Parts, copies: int) -> DataFrame:
     """lm_row, doc_id, n_tokens, n_known, logs, score, tail: one row per document.
 
     ``score`` of the byte model; of the word model the sum of logs of counts plus one
     over ``words`` (the frequent ones), and the other words with their number.
     """
-    asked = blocks.filter("share IS NOT NULL").select("block", "share", "grams")
-    texts = blocks.filter("share IS NULL").select("block", "lm_row", "doc_id", "text")
-    costs = stored(_costs(asked, model, shares), "lm-costs")
-    answers = (
-        asked.groupBy("share")
-        .cogroup(costs.groupBy("share"))
-        .applyInArrow(_answers, "block long, grams binary, costs binary")
-    )
+    asked = blocks.filter("part IS NOT NULL").select("block", "part", "grams")
+    texts = blocks.filter("part IS NULL").select("block", "texts")
+    answers = _answers(asked, model, parts, copies)
     frequent, depth = blocks.sparkSession.sparkContext.broadcast(words), model.order
 
     def score(key: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
         logs = _Frequent(frequent.value)
-        keys = _numbers(known.column("grams"), np.uint64)
+        keys = np.concatenate([_unpacked_keys(g) for g in known.column("grams").to_pylist()])
+        values = np.concatenate([_unpacked(c) for c in known.column("costs").to_pylist()])
         order = np.argsort(keys)
-        keys, values = keys[order], _numbers(known.column("costs"), np.float64)[order]
-        rows = rows.combine_chunks()
-        out = [
-            _scored_rows(batch, depth, keys, values, logs)
-            for batch in rows.to_batches()
-            if batch.num_rows
-        ]
+        keys, values = keys[order], values.view(np.float64)[order]
+        out = []
+        for column in rows.column("texts").chunks:
+            for texts in column:
+                for batch in pa.ipc.open_stream(texts.as_buffer()):
+                    out.append(_scored_rows(batch, depth, keys, values, logs))
         return pa.concat_tables(out)
 
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
@@ -416,10 +431,13 @@ def score_documents(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """
     least, words = model.frequent()
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shares = max(SHARES, size // SHARE_BYTES)
-    keyed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("lm_row"))
-    blocks = stored(_blocks(keyed, model.order, shares), "lm-blocks")
-    rows = stored(_scored(blocks, model, words, shares), "lm-scores")
+    copies = 1 + size // (TEXT_BLOCK * BLOCKS_AT_ONCE)
+    parts = _parts(model)
+    keyed = docs.select(
+        F.monotonically_increasing_id().alias("lm_row"), F.col("doc_id").cast("long"), "text"
+    )
+    blocks = stored(_blocks(keyed, model.order, parts), "lm-blocks")
+    rows = stored(_scored(blocks, model, words, parts, copies), "lm-scores")
     rare = (
         rows.select("lm_row", F.explode("tail").alias("t"))
         .select("lm_row", "t.word", "t.times")

@@ -106,7 +106,8 @@ def test_empty_tables(documents):
 def test_crowded_contexts_are_split(documents, monkeypatch):
     monkeypatch.setattr(lm_score, "TRIE_PAIRS", 3)
     monkeypatch.setattr(lm_score, "TEXT_BLOCK", 200)
-    monkeypatch.setattr(lm_score, "SHARES", 3)
+    monkeypatch.setattr(lm_score, "TRIE_PARTS", 3)
+    monkeypatch.setattr(lm_score, "BLOCKS_AT_ONCE", 2)
     rng = random.Random(7)
     rows = [(i, "".join(rng.choices("abc d", k=rng.randint(0, 60)))) for i in range(80)]
     train = [r for r in rows if r[0] % 4]
