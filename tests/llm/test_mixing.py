@@ -95,7 +95,7 @@ def test_mixed_documents_hold_what_is_taken(documents):
 
 def test_rows_taken_in_part_keep_their_white_space(documents):
     text = "\n  one\n\ntwo\tthree  é ist\u00a0da\r\n end \n"
-    docs = documents([(i, text * 20, "en", "ab"[i % 2]) for i in range(12)])
+    docs = documents([(i, text * 20, "en", "ab"[i % 2]) for i in range(13)])
     mixed = [r.text for r in mixed_documents(docs, mix_sources(docs, block=7)).collect()]
     parts = [t for t in mixed if t != text * 20]
     assert parts and all(t in text * 20 and t == t.strip(" \t\n\r") for t in parts)
