@@ -4,8 +4,8 @@ Every 200-byte window has an anchor: its 48-byte string with the least hash. Equ
 windows have equal anchors at equal places, so windows are dealt to shards by
 anchor, and only those whose anchor occurs twice. The consecutive windows of one
 anchor are a segment; equal segments are one with a count. Each shard sorts the
-suffixes of its segments. A crowded anchor is cut over several shards, which are
-merged by binary search of each other's windows.
+suffixes of its segments. A crowded anchor is cut over several shards. Windows of
+these shards are cut at sampled splitters, and each range is merged by binary search.
 """
 
 from __future__ import annotations
@@ -18,13 +18,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_blocks, stored, text_bytes
+from .common import raw_bytes, row_blocks, stored, text_bytes
 from .suffix import common_prefixes, found_in, packed_words, suffix_array
 
 LENGTH = 200
 GRAM = 48
 SHARD_BYTES = 2 << 20
 CROWDED = 4096
+RANGE = 1 << 14
+SAMPLES = 16
 _BLOCK = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -156,6 +158,23 @@ def _segments(texts: DataFrame) -> DataFrame:
     return texts.select("k1", "k2", "copies", "places", "text").mapInArrow(cut, _SEGMENTS)
 
 
+def window_hashes(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Hash of the ``length`` bytes from each place."""
+    with np.errstate(over="ignore"):
+        sizes, doubled = [1], [_BYTES[data]]
+        while sizes[-1] * 2 <= length:
+            h, size = doubled[-1], sizes[-1]
+            doubled.append(h[:-size] * _power(size) + h[size:])
+            sizes.append(size * 2)
+        n = len(data) - length + 1
+        out, done = doubled[-1][:n], sizes[-1]
+        for size, h in zip(sizes[-2::-1], doubled[-2::-1]):
+            if length & size:
+                out = out * _power(size) + h[done : done + n]
+                done += size
+    return out
+
+
 class _Shard:
     """Segments of a shard: packed text, sorted windows, owner of each place."""
 
@@ -174,7 +193,7 @@ class _Shard:
         return np.arange(int(ends[-1]) if len(ends) else 0) + shift
 
     def sort(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the windows in order, and which of them occur again."""
+        """Places of the windows in order, and which equal the one before them."""
         order = suffix_array(self.words, self.n)
         shared = common_prefixes(self.words, order, self.at, LENGTH)
         is_start = np.zeros(self.n, bool)
@@ -186,93 +205,253 @@ class _Shard:
         # suffixes between; those after the last window count for none.
         least = np.minimum.reduceat(shared[: at[-1] + 1], np.concatenate([[0], at[:-1] + 1]))
         least[0] = 0
-        equal = least >= LENGTH
-        return order[at], equal | np.append(equal[1:], False)
+        return order[at], least >= LENGTH
 
-    def runs(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Segment, first and last window of the runs that ``places`` make up."""
-        places = np.sort(places)
-        owner = np.searchsorted(self.at, places, "right") - 1
-        new = np.ones(len(places), bool)
-        new[1:] = (np.diff(places) != 1) | (np.diff(owner) != 0)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(places))[: len(first)] - 1
-        own = owner[first]
-        return own, places[first] - self.at[own], places[last] - self.at[own]
+
+def _twice(equal: np.ndarray) -> np.ndarray:
+    """Which windows of a sorted shard occur in it again."""
+    return equal | np.append(equal[1:], False)[: len(equal)]
 
 
 _RUNS = "anchor long, s1 long, s2 long, begin int, stop int"
 
 
-def _run_batch(table: pa.Table | pa.RecordBatch, found) -> pa.RecordBatch:
-    own, begin, stop = found
+def _runs(table: pa.Table | pa.RecordBatch, at: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    """Segment, first and last window of the runs that ``places`` make up; the
+    segments of ``table`` begin at ``at``."""
+    places = np.sort(places)
+    owner = np.searchsorted(at, places, "right") - 1
+    new = np.ones(len(places), bool)
+    new[1:] = (np.diff(places) != 1) | (np.diff(owner) != 0)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(places))[: len(first)] - 1
+    own = owner[first]
     rows = pa.array(own.astype(np.int64))
     keys = []
     for name in ("anchor", "s1", "s2"):
         column = table.column(name).take(rows)
         keys.append(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
     return pa.record_batch(
-        [*keys, pa.array(begin.astype(np.int32)), pa.array(stop.astype(np.int32))],
+        [
+            *keys,
+            pa.array((places[first] - at[own]).astype(np.int32)),
+            pa.array((places[last] - at[own]).astype(np.int32)),
+        ],
         names=["anchor", "s1", "s2", "begin", "stop"],
     )
 
 
 def _repeated_in_shard(key: tuple, table: pa.Table) -> pa.Table:
     shard = _Shard(table)
-    order, again = shard.sort()
+    order, equal = shard.sort()
     own = np.searchsorted(shard.at, order, "right") - 1
-    again |= (np.asarray(table.column("n")) > 1)[own]
-    return pa.Table.from_batches([_run_batch(table, shard.runs(order[again]))])
+    again = _twice(equal) | (np.asarray(table.column("n")) > 1)[own]
+    return pa.Table.from_batches([_runs(table, shard.at, order[again])])
+
+
+_LISTED = {"s1": "long", "s2": "long", "n": "long", "data": "binary"}
+_PARTS = (
+    "anchor long, part long, "
+    + ", ".join(f"{name} array<{kind}>" for name, kind in _LISTED.items())
+    + ", sorted array<int>, equal array<boolean>"
+)
 
 
 def _sorted_part(key: tuple, table: pa.Table) -> pa.Table:
     """One row that holds a part of a crowded anchor, with its sorted windows."""
-    order, _ = _Shard(table).sort()
-    columns = {name: [table.column(name).to_pylist()] for name in ("s1", "s2", "windows", "data")}
+    order, equal = _Shard(table).sort()
+    lists = [table.column(name).combine_chunks() for name in _LISTED]
+    lists += [pa.array(order.astype(np.int32)), pa.array(equal)]
     return pa.table(
-        {
-            "anchor": pa.array([key[0].as_py()], pa.int64()),
-            "part": pa.array([key[1].as_py()], pa.int64()),
-            "s1": pa.array(columns["s1"], pa.list_(pa.int64())),
-            "s2": pa.array(columns["s2"], pa.list_(pa.int64())),
-            "windows": pa.array(columns["windows"], pa.list_(pa.int32())),
-            "data": pa.array(columns["data"], pa.list_(pa.binary())),
-            "sorted": pa.array([order], pa.list_(pa.int64())),
-        }
+        [
+            pa.array([key[0].as_py()], pa.int64()),
+            pa.array([key[1].as_py()], pa.int64()),
+            *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists),
+        ],
+        names=["anchor", "part", *_LISTED, "sorted", "equal"],
     )
 
 
-_PARTS = (
-    "anchor long, part long, s1 array<long>, s2 array<long>, windows array<int>, "
-    "data array<binary>, sorted array<long>"
-)
+def _values(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
+    """The numbers of a list; none for NULL."""
+    cell = batch.column(name)[row]
+    return cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else np.zeros(0, np.int64)
 
 
-def _merged(pairs: DataFrame) -> DataFrame:
-    """Rows of two parts of one anchor -> runs of windows that both hold."""
+def _row(batch: pa.RecordBatch, row: int, **more) -> pa.RecordBatch:
+    """A row with the keys of a part; each further column is one list or value."""
+    columns = {"anchor": batch.column("anchor").slice(row, 1), "part": batch.column("part").slice(row, 1)}
+    for name, value in more.items():
+        columns[name] = pa.array([value])
+    return pa.record_batch(list(columns.values()), names=list(columns))
 
-    def part(batch: pa.RecordBatch, row: int, prefix: str):
-        lists = {
-            name: batch.column(prefix + name)[row].values for name in ("s1", "s2", "windows", "data")
-        }
-        anchor = pa.array([batch.column("anchor")[row].as_py()] * len(lists["s1"]), pa.int64())
-        table = pa.table({"anchor": anchor, **lists})
-        return table, _Shard(table), np.asarray(batch.column(prefix + "sorted")[row].values)
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts -> the different windows of each by rank in its order, with a hash."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            text, _ = text_bytes(batch.column("data")[row].values)
+            ranks = np.flatnonzero(~_values(batch, "equal", row))
+            hashes = window_hashes(text)[_values(batch, "sorted", row)[ranks]]
+            yield _row(batch, row, ranks=ranks.astype(np.int32), hashes=hashes.view(np.int64))
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts with ranks -> text of the part, ranks and places of these windows in order."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            text, _ = text_bytes(batch.column("data")[row].values)
+            ranks = np.sort(_values(batch, "ranks", row))
+            places = _values(batch, "sorted", row)[ranks]
+            yield _row(batch, row, text=text.tobytes(), ranks=ranks, places=places)
+
+
+def _sampler(step: int):
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every ``step``-th window of a part, from a place that its number gives."""
         for batch in batches:
             for row in range(batch.num_rows):
-                table, shard, order = part(batch, row, "")
-                others, other, sorted_ = part(batch, row, "o_")
-                low, high = found_in(other.words, sorted_, shard.words, order, LENGTH)
-                met = high > low
-                yield _run_batch(others, other.runs(sorted_[met]))
-                mark = np.zeros(len(order) + 1, np.int64)
-                np.add.at(mark, low[met], 1)
-                np.add.at(mark, high[met], -1)
-                yield _run_batch(table, shard.runs(order[np.cumsum(mark[:-1]) > 0]))
+                text = raw_bytes(batch.column("text")[row])
+                keys = f"{batch.column('anchor')[row]} {batch.column('part')[row]}"
+                chosen = _values(batch, "places", row)[xxhash.xxh64_intdigest(keys) % step :: step]
+                yield pa.record_batch(
+                    [
+                        pa.array([batch.column("anchor")[row].as_py()] * len(chosen), pa.int64()),
+                        pa.array([text[p : p + LENGTH] for p in chosen.tolist()], pa.binary()),
+                    ],
+                    names=["anchor", "window"],
+                )
+
+    return sample
+
 
-    return pairs.mapInArrow(merge, _RUNS)
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted windows of a part, cut at the splitters by binary search."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            text, _ = text_bytes(batch.column("text").slice(row, 1))
+            ranks, places = _values(batch, "ranks", row), _values(batch, "places", row)
+            cell = batch.column("splitters")[row]
+            splitters, at = text_bytes(cell.values if cell.is_valid else pa.array([], pa.binary()))
+            cuts, _ = found_in(
+                packed_words(splitters, LENGTH + 64),
+                at[:-1],
+                packed_words(text, LENGTH + 64),
+                places,
+                LENGTH,
+            )
+            edges = np.concatenate([[0], cuts, [len(places)]])
+            for i in np.flatnonzero(np.diff(edges)).tolist():
+                inside = slice(edges[i], edges[i + 1])
+                windows = text[places[inside][:, None] + np.arange(LENGTH)]
+                yield _row(batch, row, range=np.int32(i), ranks=ranks[inside], windows=windows.tobytes())
+
+
+def _two_merged(words: np.ndarray, same: np.ndarray, blocks: list[np.ndarray]) -> np.ndarray:
+    """Different windows of two sorted blocks in order, found by binary search of
+    the one's in the other; ``same`` leads from a window to an equal one."""
+    if len(blocks) == 1:
+        return blocks[0]
+    a, b = blocks
+    low, high = found_in(words, a * LENGTH, words, b * LENGTH, LENGTH)
+    met = high > low
+    same[a[met]] = b[low[met]]
+    return np.insert(b, low[~met], a[~met])
+
+
+def _merged_range(key: tuple, table: pa.Table) -> pa.Table:
+    """Pieces of all parts between two splitters -> ranks of windows in two parts."""
+    data, at = text_bytes(table.column("windows").combine_chunks())
+    words = packed_words(data, LENGTH + 64)
+    edges = at // LENGTH
+    same = np.arange(edges[-1])
+    blocks = [np.arange(a, b) for a, b in zip(edges[:-1], edges[1:])]
+    while len(blocks) > 1:
+        blocks = [_two_merged(words, same, blocks[i : i + 2]) for i in range(0, len(blocks), 2)]
+    while (same[same] != same).any():
+        same = same[same]
+    again = np.bincount(same, minlength=len(same))[same] > 1
+    ranks = table.column("ranks").combine_chunks().flatten().filter(pa.array(again))
+    counts = np.add.reduceat(again.astype(np.int64), edges[:-1])
+    return pa.table(
+        [table.column("anchor"), table.column("part"), _lists(ranks, counts, pa.int32())],
+        names=["anchor", "part", "ranks"],
+    )
+
+
+def _runs_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts with the ranks met in other parts -> runs of windows that occur again."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            order, equal = _values(batch, "sorted", row), _values(batch, "equal", row).astype(bool)
+            _, at = text_bytes(batch.column("data")[row].values)
+            own = np.searchsorted(at, order, "right") - 1
+            met = np.zeros(len(order), bool)
+            met[_values(batch, "ranks", row)] = True
+            # The first of equal windows stands for all of them.
+            first = np.maximum.accumulate(np.where(equal, 0, np.arange(len(order))))
+            again = _twice(equal) | met[first] | (_values(batch, "n", row) > 1)[own]
+            anchor = pa.array([batch.column("anchor")[row].as_py()] * (len(at) - 1), pa.int64())
+            keys = {name: batch.column(name)[row].values for name in ("s1", "s2")}
+            yield _runs(pa.table({"anchor": anchor, **keys}), at, order[again])
+
+
+def _met_in_parts(parts: DataFrame) -> DataFrame:
+    """anchor, part, text, ranks, places: of each part the windows whose hash is in
+    another part of the anchor too."""
+    each = parts.mapInArrow(_hashed, "anchor long, part long, ranks array<int>, hashes array<long>")
+    each = stored(
+        each.select("anchor", "part", F.explode(F.arrays_zip("ranks", "hashes")).alias("w")).select(
+            "anchor", "part", F.col("w.ranks").alias("rank"), F.col("w.hashes").alias("hash")
+        ),
+        "repeat-hashes",
+    )
+    shared = each.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    ranks = (
+        each.join(shared.select("anchor", "hash"), ["anchor", "hash"], "left_semi")
+        .groupBy("anchor", "part")
+        .agg(F.collect_list("rank").alias("ranks"))
+    )
+    return parts.join(ranks, ["anchor", "part"]).mapInArrow(
+        _met, "anchor long, part long, text binary, ranks array<int>, places array<int>"
+    )
+
+
+def _in_ranges(met: DataFrame) -> DataFrame:
+    """anchor, part, range, ranks, windows: each window once, in the range between
+    sampled splitters that holds about ``RANGE`` windows of all parts."""
+    step = max(1, RANGE // SAMPLES)
+    samples = met.mapInArrow(_sampler(step), "anchor long, window binary")
+    splitters = samples.groupBy("anchor").agg(F.sort_array(F.collect_list("window")).alias("all"))
+    splitters = splitters.select(
+        "anchor",
+        F.array_distinct(F.filter("all", lambda w, i: i % SAMPLES == SAMPLES - 1)).alias("splitters"),
+    )
+    return met.join(splitters, "anchor", "left").mapInArrow(
+        _pieces, "anchor long, part long, range int, ranks array<int>, windows binary"
+    )
+
+
+def _runs_of_crowded(segments: DataFrame) -> DataFrame:
+    """Runs of the segments of crowded anchors, which are dealt to parts.
+
+    Each part is sorted once. Windows that only one part holds stay where they are;
+    the others go, once each, to the range of their order, where the parts' pieces
+    are merged by binary search. What is sent grows with the windows, not with the
+    pairs of parts.
+    """
+    parts = stored(
+        segments.groupBy("anchor", "part").applyInArrow(_sorted_part, _PARTS), "repeat-parts"
+    )
+    met = stored(_met_in_parts(parts), "repeat-met")
+    found = (
+        _in_ranges(met)
+        .groupBy("anchor", "range")
+        .applyInArrow(_merged_range, "anchor long, part long, ranks array<int>")
+        .groupBy("anchor", "part")
+        .agg(F.flatten(F.collect_list("ranks")).alias("ranks"))
+    )
+    return parts.join(found, ["anchor", "part"], "left").mapInArrow(_runs_of_parts, _RUNS)
 
 
 def _repeated_runs(segments: DataFrame) -> DataFrame:
@@ -297,19 +476,12 @@ def _repeated_runs(segments: DataFrame) -> DataFrame:
         .groupBy(shard.alias("shard"))
         .applyInArrow(_repeated_in_shard, _RUNS)
     )
-    split = distinct.join(crowded, "anchor").withColumn(
-        "part", F.pmod(F.xxhash64("s1", "s2"), F.col("parts"))
-    )
-    part = F.col("part").cast("long").alias("part")
-    in_parts = split.groupBy("anchor", part).applyInArrow(_repeated_in_shard, _RUNS)
-    parts = stored(
-        split.groupBy("anchor", part).applyInArrow(_sorted_part, _PARTS), "repeat-parts"
-    )
-    others = parts.select(
-        "anchor", *[F.col(c).alias(f"o_{c}") for c in parts.columns if c != "anchor"]
+    if crowded.isEmpty():
+        return within
+    part = F.pmod(F.xxhash64("s1", "s2"), F.col("parts")).cast("long")
+    return within.unionByName(
+        _runs_of_crowded(distinct.join(crowded, "anchor").withColumn("part", part))
     )
-    pairs = parts.join(others, "anchor").filter("part < o_part")
-    return within.unionByName(in_parts).unionByName(_merged(pairs))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -39,9 +39,10 @@ def some_rows():
     return rows
 
 
-@pytest.mark.parametrize("crowded", [4096, 3])
-def test_equals_brute_force(documents, monkeypatch, crowded):
+@pytest.mark.parametrize(("crowded", "range_"), [(4096, 16384), (3, 16384), (3, 40)])
+def test_equals_brute_force(documents, monkeypatch, crowded, range_):
     monkeypatch.setattr(repeats, "CROWDED", crowded)
+    monkeypatch.setattr(repeats, "RANGE", range_)
     monkeypatch.setattr(repeats, "SHARD_BYTES", 20_000)
     rows = some_rows()
     found = Counter(
@@ -51,6 +52,41 @@ def test_equals_brute_force(documents, monkeypatch, crowded):
     assert found == brute(rows)
 
 
+def test_windows_sent_do_not_grow_with_pairs_of_parts(documents, monkeypatch):
+    # 24 texts around one passage: by threes it has many parts, by eights few.
+    rng = random.Random(8)
+    passage, ends = words(rng, 60), [words(rng, 20) for _ in range(6)]
+    rows = [(i, f"{ends[i % 6]} {i:04} {passage} {ends[i // 4]}") for i in range(24)]
+    sent, in_ranges = {}, repeats._in_ranges
+
+    def counted(met):
+        pieces = in_ranges(met).cache()
+        sizes = [(r.anchor, r.part, r.range, len(r.ranks), len(r.windows)) for r in pieces.collect()]
+        held = sum(len(r.places) for r in met.collect())
+        assert sum(s[3] for s in sizes) == held and all(s[4] == s[3] * 200 for s in sizes)
+        sent[repeats.CROWDED] = (held, len({s[:2] for s in sizes}), len({(s[0], s[2]) for s in sizes}))
+        return pieces
+
+    monkeypatch.setattr(repeats, "_in_ranges", counted)
+    monkeypatch.setattr(repeats, "RANGE", 64)
+    for crowded in (3, 8):
+        monkeypatch.setattr(repeats, "CROWDED", crowded)
+        found = Counter(
+            (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+            for r in remove_repeats(documents(rows)).collect()
+        )
+        assert found == brute(rows)
+    assert sent[3][1] > sent[8][1] > 1 and sent[3][2] > 1
+    # A window goes once per part that holds it, 24 texts at most.
+    assert sent[3][0] <= 24 * 400
+
+
+def test_hash_of_a_window_depends_on_its_bytes_alone():
+    text = np.frombuffer(("abc" * 300).encode(), np.uint8)
+    hashes = repeats.window_hashes(text)
+    assert len(hashes) == 701 and len(set(hashes.tolist())) == 3 and hashes[0] == hashes[3]
+
+
 def test_greatest_window_is_the_only_shared_one(documents):
     # "zz" is no window's begin, and sorts after the shared window.
     body = "".join(random.Random(6).choices("abcdefgh", k=196))
