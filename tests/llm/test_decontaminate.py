@@ -1,6 +1,10 @@
 from __future__ import annotations
 
-from lakestrata.llm.decontaminate import benchmark_leaks, drop_leaks
+import os
+import re
+from collections import Counter, defaultdict
+
+from lakestrata.llm.decontaminate import UNITS, benchmark_leaks, drop_leaks
 
 ITEM = (
     "A train leaves Paris at 60 km per hour and Maria walks 5 km to the station. "
@@ -93,3 +97,108 @@ def test_nulls_repeats_long_texts_and_short_items(spark, documents):
 def test_empty_tables(spark, documents):
     assert found(spark, documents, []) == set()
     assert found(spark, documents, [(1, ITEM)], items=()) == set()
+
+
+TOKEN = re.compile(rb"[0-9]+(?:[.,][0-9]+)*|[A-Za-z\x80-\xff]+|[.!?:;\n]|%")
+
+
+def plain_forms(text):
+    """Per form a list of (token, placeholder or None)."""
+    out, before = ([], [], []), "break"
+    for token in TOKEN.findall((text or "").encode()):
+        word = token.decode()
+        if word in ".!?:;\n":
+            before = "break"
+            continue
+        titled = word[0].isupper() and not word.isupper()
+        kind = "number" if word[0] in "0123456789" else "name" if titled else "word"
+        unit = word == "%" or word.lower() in UNITS and (titled or before == "number")
+        kind = "unit" if unit else kind
+        holder = kind if kind == "number" or unit and before == "number" else None
+        inside = "name" if kind == "name" and before != "break" else holder
+        for form, typed in zip(out, (holder, inside, "name" if kind == "name" else holder)):
+            form.append((word.lower(), typed))
+        before = "%" if word == "%" else kind if not unit else "name" if titled else "word"
+    return out
+
+
+def plain_windows(text, n=5):
+    """(key, place, holes, slots) of all windows in all forms; and their places."""
+    forms = plain_forms(text)
+    total = len(forms[0])
+    found = set()
+    for form in forms:
+        for at in range(max(total - n, 0) + 1 if total else 0):
+            window = form[at : at + n]
+            holes = tuple(i for i, (_, typed) in enumerate(window) if typed)
+            bare = len(holes) == len(window)
+            key = tuple((w, None) if bare or not t else ("", t) for w, t in window)
+            if all((key, at) != f[:2] for f in found if f[1] == at):
+                found.add((key, at, holes, tuple(window[i][0] for i in holes)))
+    return found, max(total - n, 0) + 1
+
+
+def plain_line(windows, total, literals=5):
+    """Places that count of the windows of one alignment, and whether all is equal."""
+    pairs = {at + i: (a, g) for at, _, holes, asked, given in windows
+             for i, a, g in zip(holes, asked, given)}
+    often = Counter(pairs.values())
+    kept = {
+        p for p in often
+        if all(often[q] < often[p] for q in often if q != p and (q[0] == p[0] or q[1] == p[1]))
+    }
+    equal = {w[0] for w in windows if w[3] == w[4]}
+    mapped, around = set(equal), set()
+    for at, size, _, asked, given in windows:
+        if at in equal or set(zip(asked, given)) <= kept:
+            mapped.add(at)
+            around |= set(range(at, at + size))
+    around = {p for p in around if p not in pairs or pairs[p][0] == pairs[p][1]}
+    size = next(iter(windows))[1]
+    enough = len(around) >= min(literals, (total - 1 + size) // 2)
+    return mapped if enough else equal, all(a == g for a, g in pairs.values())
+
+
+def plain_leaks(docs, items):
+    by_key, totals = defaultdict(list), {}
+    for item, text in items:
+        windows, totals[item] = plain_windows(text)
+        for key, at, holes, slots in windows:
+            by_key[key].append((item, at, holes, slots))
+    out = set()
+    for doc, text in docs:
+        lines = defaultdict(set)
+        for key, at, _, given in plain_windows(text)[0]:
+            for item, pos, holes, asked in by_key.get(key, ()):
+                if len(asked) == len(given):
+                    lines[item, at - pos].add((pos, len(key), holes, asked, given))
+        judged = defaultdict(list)
+        for (item, _), windows in lines.items():
+            places, same = plain_line(windows, totals[item])
+            if places:
+                judged[item].append((places, same))
+        for item, found_ in judged.items():
+            covered = set().union(*(places for places, _ in found_))
+            if len(covered) / totals[item] >= 0.8 or max(len(p) for p, _ in found_) >= 9:
+                out.add((doc, item, len(covered), all(same for _, same in found_)))
+    return out
+
+
+def test_equals_a_plain_search_with_templates_and_slots(spark):
+    folder = f"{os.environ.get('TEST_SF_DIR', '/root/testdata/sf0.001')}"
+    docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    asked = [(r.item_id, r.text) for r in items.collect()]
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    # The items again with other values, names and units, and with one value changed.
+    edits = [("0", "7"), (" 3", " 41"), ("Maria", "Ahmed"), (" m", " km"), (" The ", " Otto ")]
+    for i, (old, new) in enumerate(edits):
+        rows += [(-1000 * (i + 1) - k, f"{FILLER}{(t or '').replace(old, new)} {FILLER}")
+                 for k, (_, t) in enumerate(asked)]
+        rows += [(-9000 * (i + 1) - k, (t or "").replace(old, new, 1)) for k, (_, t) in enumerate(asked)]
+    rows += [(-1, ITEM.replace("60", "85").replace("Maria", "Ahmed")), (-2, ITEM.replace("60", "5"))]
+    asked.append((-1, ITEM))
+    table = spark.createDataFrame(asked, "item_id long, text string")
+    leaks_ = benchmark_leaks(spark.createDataFrame(rows, "doc_id long, text string"), table)
+    found_ = {(r.doc_id, r.item_id, r.n_windows, r.exact) for r in leaks_.collect()}
+    assert found_ == plain_leaks(rows, asked)
+    assert {exact for *_, exact in found_} == {True, False}

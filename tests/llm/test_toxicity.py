@@ -1,7 +1,15 @@
 from __future__ import annotations
 
+import math
 import random
+import re
+from collections import Counter
 
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from lakestrata.llm import toxicity
 from lakestrata.llm.toxicity import FtrlSettings, is_toxic, score_toxicity, train_toxicity
 
 
@@ -54,3 +62,45 @@ def test_without_labels_every_score_is_even(spark, documents):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     model = train_toxicity(documents([(1, "a"), (2, None)]), none)
     assert [r.toxicity for r in score_toxicity(documents([(1, "a")]), model).collect()] == [0.5]
+
+
+def plain_fit(rows, s):
+    """The same regression coordinate by coordinate: (weights by feature, bias)."""
+    sample = []
+    for text, label in rows:
+        h = [xxhash.xxh64_intdigest(w) for w in re.findall(rb"[0-9a-z\x80-\xff]+", text.lower().encode())]
+        a, b, c = (int(m) for m in toxicity._MULTIPLIERS)
+        found = {x * a for x in h} | {x * b + y * a for x, y in zip(h, h[1:])}
+        found |= {x * c + y * b for x, y in zip(h, h[2:])}
+        sample.append(({x % 2**64 >> 32 for x in found}, label))
+    often = Counter(bucket for found, _ in sample for bucket in {x >> 10 for x in found})
+    z, n = Counter(), Counter()
+
+    def weight(x):
+        l1 = 0 if x == "bias" else s.l1
+        if abs(z[x]) <= l1:
+            return 0.0
+        return -math.copysign(abs(z[x]) - l1, z[x]) / ((s.beta + math.sqrt(n[x])) / s.alpha + s.l2)
+
+    for _ in range(s.epochs):
+        for found, label in sample:
+            used = ["bias", *(x for x in found if often[x >> 10] >= s.min_docs)]
+            w = {x: weight(x) for x in used}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for x in used:
+                z[x] += g - (math.sqrt(n[x] + g * g) - math.sqrt(n[x])) / s.alpha * w[x]
+                n[x] += g * g
+    return {x: weight(x) for x in z if x != "bias" and weight(x)}, weight("bias")
+
+
+def test_fit_equals_a_plain_one(spark, documents):
+    rows, labels = some_rows()
+    docs = documents(rows).filter("doc_id < 400")
+    order = docs.orderBy(F.xxhash64("doc_id", F.lit(11))).select("doc_id", "text").collect()
+    for settings in (FtrlSettings(), FtrlSettings(l1=1.0, min_docs=2, epochs=2, sample_rows=150)):
+        model = fitted(spark, documents, **vars(settings))
+        marked = [(r.text, labels[r.doc_id][1]) for r in order[: settings.sample_rows]]
+        weights, bias = plain_fit(marked, settings)
+        assert model.keys.tolist() == sorted(weights) and weights
+        assert model.weights.tolist() == pytest.approx([weights[k] for k in sorted(weights)], rel=1e-4)
+        assert model.bias == pytest.approx(bias, rel=1e-4)
