@@ -31,7 +31,7 @@ from . import dac
 from .common import row_blocks, text_bytes
 
 SEGMENT_IDS = 1 << 18
-KNOWN_PIECES = 1 << 18
+KNOWN_PIECES = 1 << 20
 ENCODED_AT_ONCE = 4 << 20
 WORDS_A_TEXT = 100
 _SEGMENT = (
