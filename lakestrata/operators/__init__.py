@@ -15,7 +15,7 @@ from .aggregates import (
 from .joins import category_revenue
 from .paths import mean_final_price, path_summary
 from .quality import clean
-from .scans import count_rows
+from .scans import count_keys, count_rows
 from .scoring import score, score_summary
 from .upsert import merge_upsert
 from .windows import daily_revenue, rank_in_day, rolling_revenue
@@ -24,6 +24,7 @@ __all__ = [
     "best_products",
     "category_revenue",
     "clean",
+    "count_keys",
     "count_rows",
     "daily_event_counts",
     "daily_revenue",

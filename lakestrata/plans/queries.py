@@ -12,6 +12,7 @@ from ..functions import as_doubles, exact_sum, revenue
 from ..operators import (
     category_revenue,
     clean,
+    count_keys,
     count_rows,
     daily_event_counts,
     daily_revenue,
@@ -149,6 +150,17 @@ def _stored_copies(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return copies
 
 
+STORED_VALUES = (
+    "n_rows",
+    "total_revenue",
+    "total_price",
+    "first_time",
+    "last_time",
+    "n_keys",
+    "n_groups",
+)
+
+
 def _stored_values(copies: dict[str, DataFrame]) -> DataFrame:
     """Figures that change if a format spoils a value."""
     return _stacked(
@@ -159,9 +171,10 @@ def _stored_values(copies: dict[str, DataFrame]) -> DataFrame:
                 exact_sum(F.col("price")).alias("total_price"),
                 F.min("event_timestamp").alias("first_time"),
                 F.max("event_timestamp").alias("last_time"),
-                F.countDistinct("order_id", "product_id", "user_id").alias("n_keys"),
                 F.countDistinct("region", "event_type").alias("n_groups"),
-            ).withColumn("format", F.lit(name))
+            )
+            .crossJoin(count_keys(rows, "order_id", "product_id", "user_id"))
+            .select(*STORED_VALUES, F.lit(name).alias("format"))
             for name, rows in copies.items()
         ]
     )

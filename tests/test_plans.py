@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.operators import category_revenue, merge_upsert, top_products
+from lakestrata.operators import category_revenue, count_keys, merge_upsert, scans, top_products
 from lakestrata.plans import QUERIES, views
 from lakestrata.sources import scan, write_table
 
@@ -100,6 +100,17 @@ def test_small_stored_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_keys_are_counted_in_tasks_of_a_fixed_size(spark, monkeypatch):
+    monkeypatch.setattr(scans, "KEYS_A_TASK", 100)
+    rows = spark.range(1000).selectExpr("id % 700 AS a", "nullif(id % 7, 3) AS b")
+    counted = count_keys(rows, "a", "b")
+    assert "REPARTITION_BY_NUM" in plan(counted) and ", 11)" in plan(counted)
+    assert counted.first().n_keys == 600
+    assert count_keys(rows.filter("a < 0"), "a", "b").first().n_keys == 0
+    # Two distinct counts in one pass would copy every row and hold all keys of a scan.
+    assert "Expand" not in plan(QUERIES["format_roundtrip"](spark, SF_DIR))
+
+
 def test_crowded_key_is_split_in_the_merge(spark, tmp_path):
     session = spark.newSession()
     for name, value in {
