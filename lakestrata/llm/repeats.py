@@ -28,6 +28,7 @@ CROWDED = 4096
 RANGE = 1 << 14
 SAMPLES = 16
 _BLOCK = 1 << 18
+_CACHED = 1 << 14
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BYTES = np.random.default_rng(48).integers(0, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -53,7 +54,18 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 def anchors(data: np.ndarray, at: np.ndarray, length: int = LENGTH):
     """Of all rows of a block: row, hash and place of each anchor, and the first
-    and last window that it stands for. Places count from the row's begin."""
+    and last window that it stands for. Places count from the row's begin.
+
+    Rows are taken some at a time, so that what is made of them stays in the cache.
+    """
+    found = []
+    for a, b in row_blocks(at, _CACHED):
+        row, *rest = _anchors(data[at[a] : at[b]], at[a : b + 1] - at[a], length)
+        found.append((row + a, *rest))
+    return tuple(map(np.concatenate, zip(*found))) if found else _anchors(data, at, length)
+
+
+def _anchors(data: np.ndarray, at: np.ndarray, length: int):
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none.astype(np.uint64), none, none, none

@@ -28,31 +28,33 @@ def suffix_array(words: np.ndarray, n: int) -> np.ndarray:
 
     The first sort is by 8 bytes. Then each group of equal suffixes is sorted by
     the group of the suffix h places on, h doubling; groups of one are done and
-    are not touched again.
+    are not touched again. Places are 32-bit numbers meanwhile, which takes half the
+    memory traffic; a shard has less than two gigabytes.
     """
-    order = np.argsort(words[:n], kind="stable")
-    group = np.zeros(n + 1, np.int64)
+    order = np.argsort(words[:n], kind="stable").astype(np.int32)
+    group = np.zeros(n + 1, np.int32)
     ranked = words[order]
     new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(new).astype(np.int32)
     # A group is named by its first place, plus one; zero is beyond the text.
-    group[order] = np.repeat(starts, np.diff(np.append(starts, n))) + 1
-    open_ = np.flatnonzero(~(new & np.append(new[1:], True)))
+    group[order] = np.repeat(starts + np.int32(1), np.diff(np.append(starts, n)))
+    open_ = np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
     h = WORD
     while len(open_):
         suffixes = order[open_]
-        head = group[suffixes]
-        key = head * (n + 1) + group[np.minimum(suffixes + h, n)]
+        key = group[suffixes].astype(np.int64) << 32
+        key |= group[np.minimum(suffixes, n - h) + h] if h < n else 0
         place = np.argsort(key, kind="stable")
-        order[open_] = suffixes[place]
+        suffixes = suffixes[place]
+        order[open_] = suffixes
         key = key[place]
         new = np.concatenate([[True], key[1:] != key[:-1]])
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, len(key)))
-        group[order[open_]] = np.repeat(open_[starts], sizes) + 1
+        group[suffixes] = np.repeat(open_[starts] + np.int32(1), sizes)
         open_ = open_[~(new & np.append(new[1:], True))]
         h *= 2
-    return order
+    return order.astype(np.int64)
 
 
 def common_prefixes(

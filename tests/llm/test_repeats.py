@@ -130,3 +130,22 @@ def test_search_in_a_sorted_part():
     order = np.array(sorted(range(13), key=lambda i: text.tobytes()[i : i + 9]))
     low, high = suffix.found_in(words_, np.array([0, 7, 3]), words_, order, 9)
     assert [order[a:b].tolist() for a, b in zip(low, high)] == [[0], [7], [3]]
+
+
+def test_anchors_are_found_some_rows_at_a_time(monkeypatch):
+    rng = random.Random(3)
+    texts = [words(rng, rng.choice((0, 3, 80, 400))).encode() for _ in range(60)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    whole, sizes = repeats._anchors(data, at, 200), []
+
+    def noted(part, *rest):
+        sizes.append(len(part))
+        return found(part, *rest)
+
+    found = repeats._anchors
+    monkeypatch.setattr(repeats, "_anchors", noted)
+    monkeypatch.setattr(repeats, "_CACHED", 1000)
+    for a, b in zip(whole, repeats.anchors(data, at)):
+        assert a.dtype == b.dtype and a.tolist() == b.tolist()
+    assert len(sizes) > 1 and max(sizes) <= max(1000, *map(len, texts))
