@@ -118,3 +118,10 @@ def test_crowded_contexts_are_split(documents, monkeypatch):
         model = train_language_model(documents(train), order=order)
         found = {r.doc_id: r.score for r in score_documents(documents(rows), model).collect()}
         assert found == pytest.approx({d: plain.score(t.encode(), learn=False) for d, t in rows})
+
+
+def test_different_keys_in_order():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, 3000):
+        keys = rng.integers(0, 2**54, max(1, n // 3), np.uint64)[rng.integers(0, max(1, n // 3), n)]
+        assert lm_score._distinct(keys).tolist() == sorted(set(keys.tolist()))
