@@ -56,4 +56,4 @@ class Lexicon(dict):
 def distinct_words(words: pa.Array) -> tuple[list[str], np.ndarray]:
     """The distinct strings of a column, and the place of each row's among them."""
     coded = words.dictionary_encode()
-    return coded.dictionary.to_pylist(), np.asarray(coded.indices)
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(coded.indices)

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from lakestrata.llm.common import stored
 from lakestrata.llm.packing import WordIds, cut_pieces, pack_documents, place_pieces, plan_best_fit
 from lakestrata.llm.queries import LLM_QUERIES
+from lakestrata.llm.ragged import distinct_words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -50,6 +51,14 @@ def test_words_of_any_text(plain, texts):
     assert encoded(texts) == [plain(t) for t in texts]
 
 
+def test_distinct_words_are_plain_strings():
+    words = pa.array(["x", "b", "é🙂", "", "b", None, "é🙂"])
+    names, index = distinct_words(words.slice(1, 4))
+    assert names == ["b", "é🙂", ""] and all(type(n) is str for n in names)
+    assert index.tolist() == [0, 1, 2, 0]
+    assert distinct_words(words.slice(0, 0))[0] == []
+
+
 def test_a_tokenizer_that_keeps_spaces_encodes_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     ids, ends = WordIds(path)(pa.array(["a b", None, " c"]))
